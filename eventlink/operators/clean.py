@@ -44,8 +44,7 @@ def number_list(text: Column, sep: str = ";", kind: str = "int") -> Column:
 
 def neighbour_arrays(earfcn: Column, pci: Column, rsrp: Column) -> tuple[Column, Column]:
     """Three parallel text lists → ``nc_cells`` array<struct<earfcn,pci>> and ``nc_rsrp``."""
-    zipped = F.arrays_zip(number_list(earfcn).alias("earfcn"), number_list(pci).alias("pci"))
-    cells = F.transform(zipped, lambda z: F.struct(z["0"].alias("earfcn"), z["1"].alias("pci")))
+    cells = F.arrays_zip(number_list(earfcn).alias("earfcn"), number_list(pci).alias("pci"))
     return cells, number_list(rsrp, kind="double")
 
 

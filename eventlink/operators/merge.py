@@ -49,6 +49,6 @@ def merge_arrays(
         *keys,
         "part",
         *[F.col("_members")[0][s].alias(s) for s in scalars],
-        *[F.flatten(F.transform("_members", lambda m, a=a: m[a])).alias(a) for a in arrays],
+        *[F.flatten(F.col("_members").getField(a)).alias(a) for a in arrays],
         F.size("_members").cast("long").alias("n_merged"),
     )
