@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 MICROS = 1_000_000
 HOUR = 3600 * MICROS
 
+UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
+
 # Fixed value: a raw epoch-millisecond time that means "no time".
 NO_TIME_MS = -1
 
@@ -26,7 +28,7 @@ def micros(df: DataFrame, name: str) -> Column:
     """Microseconds since the epoch for column ``name``.
 
     A long column is taken as raw epoch milliseconds, where -1 means missing.  A timestamp without
-    zone is read as written, whatever the session zone is.
+    zone is read as written, whatever the session zone is; under UTC that is a plain cast.
     """
     col, kind = F.col(name), df.schema[name].dataType
     if isinstance(kind, (T.LongType, T.IntegerType)):
@@ -34,6 +36,8 @@ def micros(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(col)
     if isinstance(kind, T.TimestampNTZType):
+        if df.sparkSession.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+            return F.unix_micros(col.cast("timestamp"))
         day = F.unix_date(col.cast("date")).cast("long") * (24 * HOUR)
         clock = (F.hour(col) * 60 + F.minute(col)).cast("long") * (60 * MICROS)
         return day + clock + (F.date_part(F.lit("SECOND"), col) * MICROS).cast("long")

@@ -8,13 +8,7 @@ from pyspark.sql import functions as F
 
 from eventlink.functions.times import floor_div, micros, span
 from eventlink.operators.sessions import session_heads, sessionize, tag_sessions
-from eventlink.operators.slicing import (
-    SPARE_BASE,
-    SPARE_LANES,
-    Slicing,
-    all_set,
-    with_slice,
-)
+from eventlink.operators.slicing import Slicing, all_set, crowded_slices, spare_lane, with_slice
 
 # A slice this many bounds wide copies each reference 1.5 times on average.
 SLICE_BOUNDS = 4
@@ -50,18 +44,18 @@ def _together(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def _look(both: DataFrame, on: list[str], first_of_time: bool = False) -> DataFrame:
+def _look(both: DataFrame, parts: list[str], first_of_time: bool = False) -> DataFrame:
     """Add ``_prev`` (last reference at or before the row) and ``_next`` (first one after it).
 
     One sort serves both directions.  Among references of one time, ``_prev`` is the last in order
     and ``_next`` the first; with ``first_of_time`` both are the first.
     """
-    by = W.partitionBy(*on, "_slice").orderBy("_t", "_kind", "_order")
+    by = W.partitionBy(*parts).orderBy("_t", "_kind", "_order")
     if first_of_time:
         again = (F.lag("_t").over(by) == F.col("_t")) & (F.col("_kind") == 0)
         both = both.withColumn("_again", F.coalesce(again, F.lit(False)))
         both = both.withColumn("_ref", F.when(~F.col("_again"), F.col("_ref"))).drop("_again")
-    keys = ", ".join(f"`{c}`" for c in [*on, "_slice"])
+    keys = ", ".join(f"`{c}`" for c in parts)
     return both.select(
         "*",
         F.last("_ref", ignorenulls=True)
@@ -71,17 +65,28 @@ def _look(both: DataFrame, on: list[str], first_of_time: bool = False) -> DataFr
     )
 
 
-def _bounded(left, right, on, reach, width, spread, first_of_time):
-    """Look within ``reach`` microseconds: references are copied to every slice they can serve."""
-    spare = F.lit(SPARE_BASE) + F.pmod(F.xxhash64(*spread), F.lit(SPARE_LANES))
-    left = left.withColumn(
-        "_slice", F.when(all_set(*on, "_t"), floor_div(F.col("_t"), width)).otherwise(spare)
-    )
+def _bounded(left, right, on, reach, width, crowd, spread, first_of_time):
+    """Look within ``reach`` microseconds: references are copied to every slice they can serve.
+
+    Observations do not depend on each other, so those of a crowded slice are dealt into lanes, each
+    with its own copy of the slice's references.
+    """
+    usable = all_set(*on, "_t")
+    slice_ = F.when(usable, floor_div(F.col("_t"), width)).otherwise(spare_lane(spread))
+    left = left.withColumn("_slice", slice_)
     low = floor_div(F.col("_t") - (reach - 1), width)
     high = floor_div(F.col("_t") + (reach - 1), width)
     right = right.withColumn("_slice", F.explode(F.sequence(low, high)))
-    both = _look(_together(left, right), on, first_of_time)
-    return both.where("_kind = 1").drop("_kind", "_slice", "_ref", "_order")
+    parts = [*on, "_slice"]
+    if crowd is not None:
+        crowded = F.broadcast(crowded_slices(left.where(usable), on, crowd, spread))
+        lane = F.pmod(F.xxhash64(*spread), F.coalesce("_lanes", F.lit(1)))
+        lanes = F.sequence(F.lit(0), F.coalesce("_lanes", F.lit(1)) - 1)
+        left = left.join(crowded, parts, "left").withColumn("_lane", lane.cast("int"))
+        right = right.join(crowded, parts, "left").withColumn("_lane", F.explode(lanes))
+        left, right, parts = left.drop("_lanes"), right.drop("_lanes"), [*parts, "_lane"]
+    both = _look(_together(left, right), parts, first_of_time)
+    return both.where("_kind = 1").drop("_kind", "_slice", "_lane", "_ref", "_order")
 
 
 def _unbounded(left, right, on, slicing, spread, first_of_time):
@@ -89,11 +94,12 @@ def _unbounded(left, right, on, slicing, spread, first_of_time):
     both = _together(left, right)
     sizes = left.select(*on, "_t").unionByName(right.select(*on, "_t"))
     both = with_slice(both, on, "_t", slicing, spread=spread, sizes=sizes)
-    both = _look(both, on, first_of_time)
+    parts = [*on, "_slice"]
 
-    # The first and the last row of a slice know its first and last reference.
-    by = W.partitionBy(*on, "_slice").orderBy("_t", "_kind", "_order")
-    edges = both.where("_cut").select(
+    # Of a cut key, the first and the last row of a slice know its first and last reference.
+    by = W.partitionBy(*parts).orderBy("_t", "_kind", "_order")
+    cut = both.where("_cut").select(*parts, "_t", "_kind", "_order", "_ref")
+    edges = _look(cut, parts, first_of_time).select(
         *on,
         "_slice",
         "_prev",
@@ -121,7 +127,7 @@ def _unbounded(left, right, on, slicing, spread, first_of_time):
             "_after"
         ),
     )
-    out = both.where("_kind = 1").join(s, [*on, "_slice"], "left")
+    out = _look(both, parts, first_of_time).where("_kind = 1").join(s, parts, "left")
     out = out.withColumn("_prev", F.coalesce("_prev", "_before"))
     out = out.withColumn("_next", F.coalesce("_next", "_after"))
     return out.drop("_kind", "_slice", "_cut", "_ref", "_order", "_before", "_after")
@@ -157,6 +163,7 @@ def nearest_join(
     tie: str = "later",
     how: str = "left",
     slice_width=None,
+    crowd: Slicing | None = Slicing(),
     carry: Slicing | None = None,
     distance: str | None = "distance",
     limit: str | None = None,
@@ -172,8 +179,9 @@ def nearest_join(
 
     Key and time slice together are the shuffle key, so a heavy key is spread over many tasks.  The
     slices are ``slice_width`` seconds wide (4 bounds if not given), and a reference is copied to the
-    slices within its reach.  For bounds so long that one slice of a heavy key is too much, pass
-    ``carry``: nothing is copied, and slices of any size exchange their outermost references.
+    slices within its reach.  Slices with more observations than ``crowd`` allows are spread further
+    (None: skip the look at their sizes).  Where one slice of a key has too many references, pass
+    ``carry``: nothing is copied, and slices of any width exchange their outermost references.
     """
     on, payload, reach = list(on), _as_map(payload), span(bound)
     left, right = _sides(obs, ref, on, obs_time, ref_time, payload, list(ref_order), offset)
@@ -181,7 +189,7 @@ def nearest_join(
     first = tie == "first"
     if carry is None:
         width = span(slice_width) if slice_width else SLICE_BOUNDS * reach
-        both = _bounded(left, right, on, reach, width, spread, first)
+        both = _bounded(left, right, on, reach, width, crowd, spread, first)
     else:
         both = _unbounded(left, right, on, carry, spread, first)
     if limit is not None:
@@ -257,7 +265,7 @@ def last_within(
         obs, ref, on, obs_time, ref_time, payload, list(ref_order), 0, obs_shift=w - 1
     )
     width = span(slice_width) if slice_width else SLICE_BOUNDS * reach
-    both = _bounded(left, right, on, reach, width, [*on, *obs_order], False)
+    both = _bounded(left, right, on, reach, width, Slicing(), [*on, *obs_order], False)
     both = both.withColumn("_hit", F.col("_prev"))
     return _finish(both, obs.columns, payload, reach, "left", None, all_set(*on, "_t"))
 

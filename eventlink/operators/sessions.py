@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from eventlink.functions.times import floor_div, micros, span
 from eventlink.operators.slicing import Slicing, with_slice
 
+# Sessions of one key that are ordered together to find each one's successor.
+SESSION_BLOCK = 1_000_000
+
 
 def sessionize(
     df: DataFrame,
@@ -52,31 +55,16 @@ def number_rows(
 
 def _number(rows, on, order, limit, cap, slicing, keep_slice) -> DataFrame:
     rows = with_slice(rows, on, "_t", slicing, spread=[*on, *order])
-    by = W.partitionBy(*on, "_slice").orderBy("_t", *order)
-    so_far = by.rowsBetween(W.unboundedPreceding, W.currentRow)
-
-    # Inside the slice.  Run 0 is the leading run: it may continue a session of an earlier slice.
-    breaks = F.lit(False)
-    if limit is not None:
-        breaks = F.coalesce(F.col("_t") - F.lag("_t").over(by) > limit, F.lit(False))
-    rows = rows.withColumn("_break", breaks)
-    rows = rows.withColumn("_rn", F.row_number().over(by).cast("long")).withColumn(
-        "_run", F.count_if("_break").over(so_far)
-    )
-    begin = F.coalesce(F.max(F.when(F.col("_break"), F.col("_rn"))).over(so_far), F.lit(1))
-    rows = rows.withColumn("_pos", F.col("_rn") - begin + 1)
-    head = _is_head(F.col("_pos"), cap)
-    rows = rows.withColumn("_heads", F.count_if(head).over(so_far)).withColumn(
-        "_inner", F.count_if(head & (F.col("_run") > 0)).over(so_far)
-    )
+    # What crosses slice borders is worked out from the rows of cut keys alone.
+    cut = _inside(rows.where("_cut").select(*on, "_slice", "_t", *order), on, order, limit, cap)
+    rows = _inside(rows, on, order, limit, cap)
 
     # Across slices: one row per slice of a cut key.
     per = W.partitionBy(*on).orderBy("_slice")
     earlier = per.rowsBetween(W.unboundedPreceding, -1)
     upto = per.rowsBetween(W.unboundedPreceding, W.currentRow)
     s = (
-        rows.where("_cut")
-        .groupBy(*on, "_slice")
+        cut.groupBy(*on, "_slice")
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.min("_t").alias("_first"),
@@ -126,8 +114,29 @@ def _number(rows, on, order, limit, cap, slicing, keep_slice) -> DataFrame:
     return rows.withColumnRenamed("_slice", "_part") if keep_slice else rows.drop("_slice")
 
 
-def _is_head(pos: Column, cap: int | None) -> Column:
-    return pos == 1 if cap is None else F.pmod(pos - 1, F.lit(cap)) == 0
+def _inside(rows, on, order, limit, cap) -> DataFrame:
+    """Runs, positions and session heads within the slice.
+
+    Run 0 is the leading run: it may continue a session of an earlier slice.
+    """
+    by = W.partitionBy(*on, "_slice").orderBy("_t", *order)
+    so_far = by.rowsBetween(W.unboundedPreceding, W.currentRow)
+    breaks = F.lit(False)
+    if limit is not None:
+        breaks = F.coalesce(F.col("_t") - F.lag("_t").over(by) > limit, F.lit(False))
+    rows = rows.withColumns({"_break": breaks, "_rn": F.row_number().over(by).cast("long")})
+    begin = F.coalesce(F.max(F.when(F.col("_break"), F.col("_rn"))).over(so_far), F.lit(1))
+    rows = rows.withColumns({"_run": F.count_if("_break").over(so_far), "_begin": begin})
+    rows = rows.withColumn("_pos", F.col("_rn") - F.col("_begin") + 1).drop("_begin")
+    if cap is None:
+        return rows.withColumns({"_heads": F.col("_run") + 1, "_inner": F.col("_run")})
+    head = F.pmod(F.col("_pos") - 1, F.lit(cap)) == 0
+    return rows.withColumns(
+        {
+            "_heads": F.count_if(head).over(so_far),
+            "_inner": F.count_if(head & (F.col("_run") > 0)).over(so_far),
+        }
+    )
 
 
 def _chunks(n: Column, cap: int | None) -> Column:
@@ -156,12 +165,22 @@ def session_heads(df: DataFrame, on: list[str], time: str, order: list[str]) ->
             *slices,
         )
     )
-    after = s.select(
-        *on,
-        (F.col("session_seq") - 1).alias("session_seq"),
-        F.col("start_ts").alias("next_start_ts"),
+    return _with_next_start(s, on)
+
+
+def _with_next_start(s: DataFrame, on: list[str]) -> DataFrame:
+    """Add ``next_start_ts``: a lead over blocks of consecutive sessions, so that a key with very many
+    sessions is spread; the first session of a block is copied to the block before."""
+    block = floor_div(F.col("session_seq") - 1, SESSION_BLOCK)
+    first = (F.col("session_seq") > 1) & (F.pmod(F.col("session_seq"), F.lit(SESSION_BLOCK)) == 1)
+    s = s.withColumn("_home", block)
+    s = s.withColumn(
+        "_block",
+        F.explode(F.when(first, F.array(block - 1, block)).otherwise(F.array(block))),
     )
-    return s.join(after, [*on, "session_seq"], "left")
+    by = W.partitionBy(*on, "_block").orderBy("session_seq")
+    s = s.withColumn("next_start_ts", F.lead("start_ts").over(by))
+    return s.where("_block = _home").drop("_block", "_home")
 
 
 def tag_sessions(rows: DataFrame, sessions: DataFrame, on: list[str]) -> DataFrame:

@@ -45,11 +45,16 @@ def all_set(*cols: str) -> Column:
     return cond
 
 
-def large_keys(df: DataFrame, on: list[str], at: str, how: Slicing) -> DataFrame:
+def sampled(df: DataFrame, how: Slicing, cols: list[str]) -> DataFrame:
+    """One in ``how.one_in`` of the rows, by a hash of the row's content."""
+    if how.one_in <= 1:
+        return df
+    return df.where(F.pmod(F.xxhash64(*cols), F.lit(how.one_in)) == 0)
+
+
+def large_keys(df: DataFrame, on: list[str], at: str, how: Slicing, spread: list[str] = ()):
     """Keys worth cutting, with the origin and width of their slices."""
-    part = df.where(all_set(*on, at)).select(*on, at)
-    if how.one_in > 1:
-        part = part.where(F.pmod(F.xxhash64(*on, at), F.lit(how.one_in)) == 0)
+    part = sampled(df.where(all_set(*on, at)), how, [*dict.fromkeys([*on, at, *spread])])
     n = F.count(F.lit(1)) * how.one_in
     sized = part.groupBy(*on).agg(n.alias("_n"), F.min(at).alias("_from"), F.max(at).alias("_to"))
     steps = F.ceil(F.col("_n") / how.rows)
@@ -62,26 +67,52 @@ def large_keys(df: DataFrame, on: list[str], at: str, how: Slicing) -> DataFrame
     )
 
 
-def with_slice(df: DataFrame, on: list[str], at: str, how: Slicing, spread: list[str], sizes=None):
+def crowded_slices(df: DataFrame, on: list[str], how: Slicing, spread: list[str]) -> DataFrame:
+    """Key slices with more than ``how.rows`` rows, and into how many lanes to deal them."""
+    part = sampled(df.where(all_set(*on)), how, spread)
+    n = F.count(F.lit(1)) * how.one_in
+    return (
+        part.groupBy(*on, "_slice")
+        .agg(n.alias("_n"))
+        .where(F.col("_n") > how.rows)
+        .orderBy(F.desc("_n"), *on, "_slice")
+        .limit(how.most_keys)
+        .select(*on, "_slice", F.ceil(F.col("_n") / how.rows).cast("int").alias("_lanes"))
+    )
+
+
+def with_slice(
+    df: DataFrame, on: list[str], at: str, how: Slicing, spread: list[str], sizes: DataFrame = None
+) -> DataFrame:
     """Add ``_slice`` and ``_cut``.
 
-    ``_cut`` tells whether the key has more than one slice.  ``sizes`` are the rows to judge the key
-    sizes by, if not ``df`` itself.
+    ``_cut`` tells whether the key has more than one slice.  ``spread`` are columns that tell rows
+    apart.  ``sizes`` are the rows to judge the key sizes by, if not ``df`` itself.
     """
     usable = all_set(*on, at)
-    spare = F.lit(SPARE_BASE) + F.pmod(F.xxhash64(*spread), F.lit(SPARE_LANES))
     if how.width is not None:
-        return df.withColumn(
-            "_slice", F.when(usable, floor_div(F.col(at), how.width)).otherwise(spare)
-        ).withColumn("_cut", usable)
-    large = large_keys(df if sizes is None else sizes, on, at, how)
+        step = floor_div(F.col(at), how.width)
+        return df.withColumns(
+            {"_slice": F.when(usable, step).otherwise(spare_lane(spread)), "_cut": usable}
+        )
+    if sizes is None:
+        large = large_keys(df, on, at, how, spread)
+    else:
+        large = large_keys(sizes, on, at, how)
     step = floor_div(F.col(at) - F.col("_from"), F.col("_width"))
+    step = F.coalesce(step, F.lit(0).cast("long"))
     return (
         df.join(F.broadcast(large), on, "left")
-        .withColumn(
-            "_slice",
-            F.when(usable, F.coalesce(step, F.lit(0).cast("long"))).otherwise(spare),
+        .withColumns(
+            {
+                "_slice": F.when(usable, step).otherwise(spare_lane(spread)),
+                "_cut": usable & F.col("_width").isNotNull(),
+            }
         )
-        .withColumn("_cut", usable & F.col("_width").isNotNull())
         .drop("_from", "_width")
     )
+
+
+def spare_lane(spread: list[str]) -> Column:
+    """Stands in for the slice of a row without key or position."""
+    return F.lit(SPARE_BASE) + F.pmod(F.xxhash64(*spread), F.lit(SPARE_LANES))

@@ -75,11 +75,13 @@ def test_number_rows(obs, name):
 
 
 @pytest.mark.parametrize("tie", ["later", "earlier", "first"])
-@pytest.mark.parametrize("how", ["copy", "copy_narrow", "default", "cut_large", "finer_than_gap"])
+@pytest.mark.parametrize("how", ["copy", "narrow", "lanes", "default", "cut_large", "finer_than_gap"])
 def test_nearest_join(obs, ref, tie, how):
     kw = {}
-    if how == "copy_narrow":
-        kw["slice_width"] = 0.9
+    if how == "narrow":
+        kw.update(slice_width=0.9, crowd=None)
+    elif how == "lanes":
+        kw["crowd"] = Slicing(rows=2, one_in=1)
     elif how in SLICINGS:
         kw["carry"] = SLICINGS[how]
     df = N.nearest_join(obs, ref, ["k"], 3, ["id"], tie=tie, **kw)
