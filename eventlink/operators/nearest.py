@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from eventlink.functions.times import floor_div, micros, span
+from eventlink.functions.times import MICROS, floor_div, micros, span
 from eventlink.operators.sessions import session_heads, sessionize, tag_sessions
 from eventlink.operators.slicing import Slicing, all_set, crowded_slices, spare_lane, with_slice
 
-# A slice this many bounds wide copies each reference 1.5 times on average.
+# A slice this many bounds wide copies each reference 1.5 times on average; crowded slices are not
+# made narrower.
 SLICE_BOUNDS = 4
+# Slices start at least this wide (one day) where crowded ones are looked for and split.
+WIDE_SLICE = 86400 * MICROS
 
 NEXT = "lead(_ref, 1) ignore nulls over (partition by {keys} order by _t, _kind, _order)"
 
@@ -68,24 +71,39 @@ def _look(both: DataFrame, parts: list[str], first_of_time: bool = False) -> Dat
 def _bounded(left, right, on, reach, width, crowd, spread, first_of_time):
     """Look within ``reach`` microseconds: references are copied to every slice they can serve.
 
-    Observations do not depend on each other, so those of a crowded slice are dealt into lanes, each
-    with its own copy of the slice's references.
+    A crowded slice is split into steps of time, and observations that crowd even a step are dealt
+    into lanes, each with its own copy of the step's references (observations do not depend on each
+    other).
     """
+    fine = SLICE_BOUNDS * reach
+    width = width or (fine if crowd is None else max(fine, WIDE_SLICE))
     usable = all_set(*on, "_t")
     slice_ = F.when(usable, floor_div(F.col("_t"), width)).otherwise(spare_lane(spread))
     left = left.withColumn("_slice", slice_)
-    low = floor_div(F.col("_t") - (reach - 1), width)
-    high = floor_div(F.col("_t") + (reach - 1), width)
-    right = right.withColumn("_slice", F.explode(F.sequence(low, high)))
+    low, high = F.col("_t") - (reach - 1), F.col("_t") + (reach - 1)
+    slices = F.sequence(floor_div(low, width), floor_div(high, width))
+    copies = right.withColumn("_slice", F.explode(slices))
     parts = [*on, "_slice"]
     if crowd is not None:
-        crowded = F.broadcast(crowded_slices(left.where(usable), on, crowd, spread))
-        lane = F.pmod(F.xxhash64(*spread), F.coalesce("_lanes", F.lit(1)))
-        lanes = F.sequence(F.lit(0), F.coalesce("_lanes", F.lit(1)) - 1)
-        left = left.join(crowded, parts, "left").withColumn("_lane", lane.cast("int"))
-        right = right.join(crowded, parts, "left").withColumn("_lane", F.explode(lanes))
-        left, right, parts = left.drop("_lanes"), right.drop("_lanes"), [*parts, "_lane"]
-    both = _look(_together(left, right), parts, first_of_time)
+        seen = left.select(*parts, "_t", F.xxhash64(*spread).alias("_hash"), F.lit(1).alias("_kind"))
+        own = floor_div(F.col("_t"), width).alias("_slice")
+        also = right.select(*on, own, "_t", F.xxhash64("_order").alias("_hash"), F.lit(0).alias("_kind"))
+        crowded = F.broadcast(
+            crowded_slices(seen.unionByName(also), on, crowd, width, min(width, fine))
+        )
+        step, lanes = F.coalesce("_step", F.lit(width)), F.coalesce("_lanes", F.lit(1))
+        start = F.col("_slice") * width
+        first = floor_div(F.greatest(low - start, F.lit(0)), step) * lanes
+        last = floor_div(F.least(high - start, F.lit(width - 1)), step) * lanes + lanes - 1
+        lane = floor_div(F.pmod("_t", F.lit(width)), step) * lanes
+        lane = lane + F.pmod(F.xxhash64(*spread), lanes)
+        left = left.join(crowded, parts, "left").withColumn("_lane", lane)
+        copies = copies.join(crowded, parts, "left").withColumn(
+            "_lane", F.explode(F.sequence(first, last))
+        )
+        left, copies = left.drop("_step", "_lanes"), copies.drop("_step", "_lanes")
+        parts = [*parts, "_lane"]
+    both = _look(_together(left, copies), parts, first_of_time)
     return both.where("_kind = 1").drop("_kind", "_slice", "_lane", "_ref", "_order")
 
 
@@ -177,18 +195,19 @@ def nearest_join(
     ``distance`` names a column with the distance in microseconds.  ``limit`` names an observation
     column: references after the observation must also (offset applied) be before that time.
 
-    Key and time slice together are the shuffle key, so a heavy key is spread over many tasks.  The
-    slices are ``slice_width`` seconds wide (4 bounds if not given), and a reference is copied to the
-    slices within its reach.  Slices with more observations than ``crowd`` allows are spread further
-    (None: skip the look at their sizes).  Where one slice of a key has too many references, pass
-    ``carry``: nothing is copied, and slices of any width exchange their outermost references.
+    Key and time slice together are the shuffle key, so a heavy key is spread over many tasks, and a
+    reference is copied to the slices within its reach.  Slices are ``slice_width`` seconds wide (a
+    day or 4 bounds, if not given); those with more rows than ``crowd`` allows are split.  With
+    ``crowd=None`` no sizes are looked at, and slices are 4 bounds wide.  With ``carry`` nothing is
+    copied: slices of any width exchange their outermost references, which suits bounds so long that
+    most slices would be within reach.
     """
     on, payload, reach = list(on), _as_map(payload), span(bound)
     left, right = _sides(obs, ref, on, obs_time, ref_time, payload, list(ref_order), offset)
     spread = [*on, *obs_order]
     first = tie == "first"
     if carry is None:
-        width = span(slice_width) if slice_width else SLICE_BOUNDS * reach
+        width = span(slice_width) if slice_width else None
         both = _bounded(left, right, on, reach, width, crowd, spread, first)
     else:
         both = _unbounded(left, right, on, carry, spread, first)
@@ -264,7 +283,7 @@ def last_within(
     left, right = _sides(
         obs, ref, on, obs_time, ref_time, payload, list(ref_order), 0, obs_shift=w - 1
     )
-    width = span(slice_width) if slice_width else SLICE_BOUNDS * reach
+    width = span(slice_width) if slice_width else None
     both = _bounded(left, right, on, reach, width, Slicing(), [*on, *obs_order], False)
     both = both.withColumn("_hit", F.col("_prev"))
     return _finish(both, obs.columns, payload, reach, "left", None, all_set(*on, "_t"))

@@ -67,17 +67,36 @@ def large_keys(df: DataFrame, on: list[str], at: str, how: Slicing, spread: list
     )
 
 
-def crowded_slices(df: DataFrame, on: list[str], how: Slicing, spread: list[str]) -> DataFrame:
-    """Key slices with more than ``how.rows`` rows, and into how many lanes to deal them."""
-    part = sampled(df.where(all_set(*on)), how, spread)
+def crowded_slices(rows: DataFrame, on: list[str], how: Slicing, width: int, fine: int):
+    """Slices with more than ``how.rows`` rows, and how to split them further.
+
+    ``rows`` has ``_slice``, ``_t``, ``_hash`` and ``_kind`` (1: observation).  A slice is split in
+    time into steps of at least ``fine``; if a step still has too many observations, they are dealt
+    into lanes.
+    """
+    most = max(1, width // fine)
+    step = floor_div(F.pmod("_t", F.lit(width)), fine)
     n = F.count(F.lit(1)) * how.one_in
+    part = sampled(rows.where(all_set(*on, "_t")), how, ["_hash"])
+    sized = (
+        part.groupBy(*on, "_slice", step.alias("_fine"))
+        .agg(n.alias("_n"), (F.count_if(F.col("_kind") == 1) * how.one_in).alias("_obs"))
+        .groupBy(*on, "_slice")
+        .agg(F.sum("_n").alias("_n"), F.max("_obs").alias("_peak"))
+    )
+    pieces = F.ceil(F.col("_n") / how.rows)
+    steps = F.least(pieces, F.lit(most))
+    crowd = F.floor(F.col("_peak") * F.ceil(F.lit(most) / steps) / how.rows)
     return (
-        part.groupBy(*on, "_slice")
-        .agg(n.alias("_n"))
-        .where(F.col("_n") > how.rows)
+        sized.where(F.col("_n") > how.rows)
         .orderBy(F.desc("_n"), *on, "_slice")
         .limit(how.most_keys)
-        .select(*on, "_slice", F.ceil(F.col("_n") / how.rows).cast("int").alias("_lanes"))
+        .select(
+            *on,
+            "_slice",
+            F.ceil(F.lit(width) / steps).cast("long").alias("_step"),
+            F.greatest(F.lit(1), F.least(crowd, pieces)).cast("long").alias("_lanes"),
+        )
     )
 
 
