@@ -41,7 +41,7 @@ def merge_arrays(
     rows = df.join(F.broadcast(large), keys, "left").withColumn(
         "part", F.when(all_set(*keys, at), F.coalesce(step, F.lit(0).cast("long"))).otherwise(0)
     )
-    member = F.struct(*[F.col(c) for c in [*order, *arrays, *[s for s in scalars]]])
+    member = F.struct(*dict.fromkeys([*order, *arrays, *scalars]))
     grouped = rows.groupBy(*keys, "part").agg(
         F.array_sort(F.collect_list(member)).alias("_members")
     )
