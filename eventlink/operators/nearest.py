@@ -68,7 +68,7 @@ def _look(both: DataFrame, parts: list[str], first_of_time: bool = False) -> Dat
     )
 
 
-def _bounded(left, right, on, reach, width, crowd, spread, first_of_time):
+def _bounded(left, right, on, reach, width, crowd, sizes, spread, first_of_time):
     """Look within ``reach`` microseconds: references are copied to every slice they can serve.
 
     A crowded slice is split into steps of time, and observations that crowd even a step are dealt
@@ -85,11 +85,13 @@ def _bounded(left, right, on, reach, width, crowd, spread, first_of_time):
     copies = right.withColumn("_slice", F.explode(slices))
     parts = [*on, "_slice"]
     if crowd is not None:
-        seen = left.select(*parts, "_t", F.xxhash64(*spread).alias("_hash"), F.lit(1).alias("_kind"))
         own = floor_div(F.col("_t"), width).alias("_slice")
-        also = right.select(*on, own, "_t", F.xxhash64("_order").alias("_hash"), F.lit(0).alias("_kind"))
+        seen = [
+            df.select(*on, own, "_t", F.xxhash64(*cols).alias("_hash"), F.lit(kind).alias("_kind"))
+            for df, cols, kind in ((sizes, sizes.columns, 1), (right, ["_order"], 0))
+        ]
         crowded = F.broadcast(
-            crowded_slices(seen.unionByName(also), on, crowd, width, min(width, fine))
+            crowded_slices(seen[0].unionByName(seen[1]), on, crowd, width, min(width, fine))
         )
         step, lanes = F.coalesce("_step", F.lit(width)), F.coalesce("_lanes", F.lit(1))
         start = F.col("_slice") * width
@@ -107,6 +109,12 @@ def _bounded(left, right, on, reach, width, crowd, spread, first_of_time):
     return both.where("_kind = 1").drop("_kind", "_slice", "_lane", "_ref", "_order")
 
 
+def _sizes(obs, on, time, order, shift=0):
+    """The columns of ``obs`` that tell how crowded its slices are."""
+    cols = dict.fromkeys([*on, *order])
+    return obs.select(*cols, (micros(obs, time) + shift).alias("_t"))
+
+
 def _unbounded(left, right, on, slicing, spread, first_of_time):
     """Look as far as the data goes: references of other slices are carried in, none is copied."""
     both = _together(left, right)
@@ -182,6 +190,7 @@ def nearest_join(
     how: str = "left",
     slice_width=None,
     crowd: Slicing | None = Slicing(),
+    sizes: DataFrame | None = None,
     carry: Slicing | None = None,
     distance: str | None = "distance",
     limit: str | None = None,
@@ -198,7 +207,9 @@ def nearest_join(
     Key and time slice together are the shuffle key, so a heavy key is spread over many tasks, and a
     reference is copied to the slices within its reach.  Slices are ``slice_width`` seconds wide (a
     day or 4 bounds, if not given); those with more rows than ``crowd`` allows are split.  With
-    ``crowd=None`` no sizes are looked at, and slices are 4 bounds wide.  With ``carry`` nothing is
+    ``crowd=None`` no sizes are looked at, and slices are 4 bounds wide.  ``sizes`` stands in for
+    ``obs`` in that look (same key, time and order columns), where ``obs`` is costly to compute:
+    Spark computes it once for the look and once for the join.  With ``carry`` nothing is
     copied: slices of any width exchange their outermost references, which suits bounds so long that
     most slices would be within reach.
     """
@@ -208,7 +219,8 @@ def nearest_join(
     first = tie == "first"
     if carry is None:
         width = span(slice_width) if slice_width else None
-        both = _bounded(left, right, on, reach, width, crowd, spread, first)
+        seen = _sizes(obs if sizes is None else sizes, on, obs_time, obs_order)
+        both = _bounded(left, right, on, reach, width, crowd, seen, spread, first)
     else:
         both = _unbounded(left, right, on, carry, spread, first)
     if limit is not None:
@@ -275,6 +287,8 @@ def last_within(
     obs_order: list[str] = ("row_id",),
     ref_order: list[str] = ("row_id",),
     slice_width=None,
+    crowd: Slicing | None = Slicing(),
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """The latest reference less than ``window`` seconds before or after each observation."""
     on, payload, w = list(on), _as_map(payload), span(window)
@@ -284,7 +298,8 @@ def last_within(
         obs, ref, on, obs_time, ref_time, payload, list(ref_order), 0, obs_shift=w - 1
     )
     width = span(slice_width) if slice_width else None
-    both = _bounded(left, right, on, reach, width, Slicing(), [*on, *obs_order], False)
+    seen = _sizes(obs if sizes is None else sizes, on, obs_time, obs_order, w - 1)
+    both = _bounded(left, right, on, reach, width, crowd, seen, [*on, *obs_order], False)
     both = both.withColumn("_hit", F.col("_prev"))
     return _finish(both, obs.columns, payload, reach, "left", None, all_set(*on, "_t"))
 
@@ -339,6 +354,10 @@ def session_nearest_start(
         tie="earlier",
         how="inner",
         slice_width=slice_width,
+        # There are no more sessions than rows in a slice.
+        sizes=obs.select(
+            *on, F.col(obs_time).alias("start_ts"), F.struct(*order).alias("session_seq")
+        ),
         limit="next_start_ts" if before_next else None,
     ).select(*on, "session_seq", "_part_from", "_part_to", *payload, "distance")
     return _tagged(rows, hits, on, how)
@@ -398,6 +417,7 @@ def session_nearest_pair(
         offset=offset,
         tie="earlier",
         slice_width=slice_width,
+        sizes=obs,
     )
     best = F.when(F.col("distance").isNotNull(), F.struct("distance", obs_time, *order))
     return _tagged(rows, _pick(near, on, payload, F.min_by, best, ["distance"]), on, how)
@@ -436,6 +456,7 @@ def segment_last_in_window(
         obs_order=order,
         ref_order=ref_order,
         slice_width=slice_width,
+        sizes=obs,
     )
     last = F.when(F.col("_found").isNotNull(), F.struct(obs_time, *order))
     return _tagged(rows, _pick(near, on, payload, F.max_by, last, []), on, how)

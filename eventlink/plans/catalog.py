@@ -301,15 +301,15 @@ def quality_backfill(spark, sf):
     return jobs.backfill_report(raw, views.ref_raw(spark, sf), _backfilled(spark, sf))
 
 
-def _attached(obs, spark, sf):
-    return jobs.attach_location(
-        obs, views.ref_raw(spark, sf), views.grid(spark, sf), MERIDIAN, bound=H12, distance=None
-    )
+def _attached(obs, spark, sf, **kw):
+    refs, grid = views.ref_raw(spark, sf), views.grid(spark, sf)
+    return jobs.attach_location(obs, refs, grid, MERIDIAN, bound=H12, distance=None, **kw)
 
 
 def quality_location(spark, sf):
     filled = _backfilled(spark, sf).drop("distance", "matched")
-    return jobs.location_report(filled, views.ref_raw(spark, sf), _attached(filled, spark, sf))
+    located = _attached(filled, spark, sf, crowd=None)
+    return jobs.location_report(filled, views.ref_raw(spark, sf), located)
 
 
 def quality_sessions(spark, sf):

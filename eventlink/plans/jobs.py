@@ -55,6 +55,7 @@ def backfill(
     """
     obs = decode_obs(obs)
     if merge:
+        nearest.setdefault("sizes", obs)
         rest = [c for c in obs.columns if c not in {*MERGE_KEYS, "nc_cells", "nc_rsrp"}]
         order = ["row_id"]
         obs = merge_arrays(obs, MERGE_KEYS, ["nc_cells", "nc_rsrp"], order, rest)
@@ -108,10 +109,15 @@ def location_output(located: DataFrame, xy_bounds) -> DataFrame:
 def chain(
     obs, ref, locations, grid, central_meridian, xy_bounds, backfill_args=None, location_args=None
 ) -> DataFrame:
-    """Backfill, then location, without writing in between."""
+    """Backfill, then location, without writing in between.
+
+    The location join cuts its slices at fixed steps unless told otherwise: looking at the sizes would
+    run the backfill a second time.
+    """
+    location_args = {"crowd": None, **(location_args or {})}
     filled = backfill_output(backfill(obs, ref, **(backfill_args or {})))
     filled = filled.drop("distance", "matched")
-    located = attach_location(filled, locations, grid, central_meridian, **(location_args or {}))
+    located = attach_location(filled, locations, grid, central_meridian, **location_args)
     return location_output(located, xy_bounds)
 
 
