@@ -1,6 +1,7 @@
 """Time the core operators on a made table in which one key holds a third of the rows.
 
-skew.py FOLDER [MILLIONS]: writes the table to FOLDER once, then times sliced against unsliced runs.
+skew.py FOLDER [MILLIONS] [RUN…]: writes the table to FOLDER once, then times sliced against unsliced
+runs (all, or those whose name starts with RUN).
 Not part of the registered queries: this only shows how the plans behave under skew.
 """
 
@@ -34,7 +35,7 @@ def make(spark, path, n, seed):
     ).write.parquet(path)
 
 
-def main(folder, millions):
+def main(folder, millions, only):
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "64")
@@ -70,7 +71,10 @@ def main(folder, millions):
             obs, ref, ["k"], 30, ["id"], slicing=fine
         ),
     }
+    nearest_join(obs.where("k = 7"), ref.where("k = 7"), ["k"], 30, ["id"]).count()  # warm up
     for name, run in runs.items():
+        if not name.startswith(tuple(only)):
+            continue
         t0 = time.time()
         df = run()
         sums = {}
@@ -83,4 +87,4 @@ def main(folder, millions):
 
 
 if __name__ == "__main__":
-    main(sys.argv[1], int(sys.argv[2]) if len(sys.argv) > 2 else 10)
+    main(sys.argv[1], int(sys.argv[2]) if len(sys.argv) > 2 else 10, sys.argv[3:] or [""])
