@@ -42,9 +42,9 @@ def run(df):
 
 
 def timed(fn):
-    """Best of two, after nothing but the session's own warm-up."""
+    """Best of three."""
     best = None
-    for _ in range(2):
+    for _ in range(3):
         t0 = time.perf_counter()
         run(fn())
         t = time.perf_counter() - t0

@@ -60,17 +60,20 @@ def parse_hour(day: Column, hour: Column) -> Column:
     return F.to_timestamp_ntz(F.concat(day, F.lpad(hour, 2, "0")), F.lit("yyyyMMddHH"))
 
 
+# The three below read a timestamp without zone as written, whatever the session zone is.
+
+
 def day_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyyMMdd")
+    return F.date_format(ts.cast("date"), "yyyyMMdd")
 
 
 def hour_text(ts: Column) -> Column:
-    return F.date_format(ts, "HH")
+    return F.lpad(F.hour(ts).cast("string"), 2, "0")
 
 
 def short_day(ts: Column) -> Column:
     """Day with a two-digit year."""
-    return F.date_format(ts, "yyMMdd")
+    return F.date_format(ts.cast("date"), "yyMMdd")
 
 
 def duration_text(ms: Column) -> Column:

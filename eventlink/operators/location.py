@@ -12,6 +12,9 @@ from eventlink.operators.nearest import nearest_join, session_nearest_start
 # Bound of the location join unless given, in seconds.
 LOCATION_BOUND = 30
 
+# Groups over which rows are spread that need no correction.
+SPREAD = 4096
+
 
 def to_gps(
     df: DataFrame,
@@ -28,21 +31,28 @@ def to_gps(
     a cell, or if a result is 0, the conversion has failed: ``converted`` is false and lon, lat null.
 
     There is no broadcast hint: Spark broadcasts the grid while its measured size is under the
-    session's threshold and sort-merges beyond it.
+    session's threshold and sort-merges beyond it.  For that case rows that need no cell (Gps, or no
+    position at all) are spread by a hash, so that they do not meet in one task; a crowded cell is
+    left to Spark's skew join.
     """
     per = round(1 / cell)
     g = grid.select(
         F.col("system").alias("_system"),
         F.col("cell_x").alias("_x"),
         F.col("cell_y").alias("_y"),
+        F.lit(0).alias("_one"),
         "dlon",
         "dlat",
     )
     rows = df.withColumn("_sys", system_name(F.coalesce(F.col(system), F.lit(0))))
+    needs = (F.col("_sys") != "Gps") & F.col(lon).isNotNull() & F.col(lat).isNotNull()
+    away = F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)).cast("int") + 1
+    rows = rows.withColumn("_spread", F.when(needs, 0).otherwise(away))
     on = (
         (F.col("_sys") == F.col("_system"))
         & (F.floor(F.col(lon) * per) == F.col("_x"))
         & (F.floor(F.col(lat) * per) == F.col("_y"))
+        & (F.col("_spread") == F.col("_one"))
     )
     new_lon, new_lat = F.round(F.col(lon) + F.col("dlon"), 6), F.round(F.col(lat) + F.col("dlat"), 6)
     gps = F.col("_sys") == "Gps"
@@ -52,7 +62,9 @@ def to_gps(
         lon: F.when(gps, F.col(lon)).when(ok, new_lon),
         lat: F.when(gps, F.col(lat)).when(ok, new_lat),
     }
-    return rows.withColumns(out).drop("_sys", "_system", "_x", "_y", "dlon", "dlat")
+    return rows.withColumns(out).drop(
+        "_sys", "_system", "_x", "_y", "_spread", "_one", "dlon", "dlat"
+    )
 
 
 def project(df: DataFrame, central_meridian: float, lon="lon", lat="lat") -> DataFrame:

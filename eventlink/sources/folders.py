@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from eventlink.functions.times import day_text, hour_text, hours_between, reference_range
 from eventlink.operators.clean import time_range
+from eventlink.sources.schemas import GRID_FIELDS, struct
 
 
 def scan_delimited(
@@ -44,6 +45,22 @@ def scan_delimited(
     return reader.schema(schema).csv(path)
 
 
+def load_grid(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Correction grid from delimited files with the columns system, cell_x, cell_y, dlon, dlat."""
+    return scan_delimited(spark, path, struct(GRID_FIELDS))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back.
+
+    For a costly result that is used more than once: the columns read later are pruned, and a lost
+    executor does not bring back the work that led to it.
+    """
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def with_hour(df: DataFrame, time: str = "ts") -> DataFrame:
     return df.withColumns({"day": day_text(F.col(time)), "hour": hour_text(F.col(time))})
 
@@ -94,6 +111,13 @@ def write_hours(df: DataFrame, path: str, fmt: str = "csv", by=("day", "hour"),
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared place the session names; a local one only where none is named."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="eventlink-")
+    """A new folder in the shared place that ``spark.checkpoint.dir`` names.
+
+    Only a local session may do without that setting: a folder of one machine is no use to a cluster.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="eventlink-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -116,6 +116,18 @@ def test_scan_delimited(spark, tmp_path):
     assert "c,1,x,4" in {r._corrupt_record for r in df.collect()}
 
 
+def test_load_grid_and_stored(spark, tmp_path):
+    (tmp_path / "bd.csv").write_text("Bd,1000,260,-0.006,-0.001\n")
+    (tmp_path / "gd.csv").write_text("Gd,1000,261,-0.005,-0.002\n")
+    grid = folders.load_grid(spark, str(tmp_path))
+    again = folders.stored(grid, "grid")
+    assert again.schema == grid.schema
+    assert rows(again, "system") == [
+        ("Bd", 1000, 260, -0.006, -0.001),
+        ("Gd", 1000, 261, -0.005, -0.002),
+    ]
+
+
 def test_merge_arrays_in_parts(spark):
     data = [(g, i, [f"{g}-{i}"], f"s{i}") for g, n in (("big", 50), ("small", 2)) for i in range(n)]
     df = spark.createDataFrame(data, "g string, pos int, a array<string>, s string").repartition(5)
