@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from eventlink.functions.geo import plausible, system_name, transverse_mercator
 from eventlink.operators.clean import nonzero_lonlat
-from eventlink.operators.nearest import nearest_join, session_nearest_start
+from eventlink.operators.nearest import nearest_join
+from eventlink.operators.session_joins import session_nearest_start
 
 # Bound of the location join unless given, in seconds.
 LOCATION_BOUND = 30

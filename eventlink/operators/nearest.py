@@ -1,4 +1,4 @@
-"""Joins to the reference nearest in time, per row and per session."""
+"""Joins to the reference nearest in time, per row."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventlink.functions.times import MICROS, floor_div, micros, span
-from eventlink.operators.sessions import session_heads, sessionize, tag_sessions
 from eventlink.operators.slicing import Slicing, all_set, crowded_slices, spare_lane, with_slice
 
 # A slice this many bounds wide copies each reference 1.5 times on average; crowded slices are not
@@ -16,31 +15,36 @@ SLICE_BOUNDS = 4
 # Slices start at least this wide (one day) where crowded ones are looked for and split.
 WIDE_SLICE = 86400 * MICROS
 
-NEXT = "lead(_ref, 1) ignore nulls over (partition by {keys} order by _t, _kind, _order)"
 
+def next_of(value: str, parts: list[str], order: list[str]) -> Column:
+    """The next non-null value after the row; linear, unlike a frame to the end of the partition."""
+    keys, by = (", ".join(f"`{c}`" for c in cols) for cols in (parts, order))
+    return F.expr(f"lead({value}, 1) ignore nulls over (partition by {keys} order by {by})")
 
-def _sides(obs, ref, on, obs_time, ref_time, payload, ref_order, offset, obs_shift=0):
-    """Both sides with ``_t``; the reference reduced to keys, order and one struct."""
-    left = obs.withColumn("_t", micros(obs, obs_time) + obs_shift)
+
+def reference_side(ref, on, payload, ref_order) -> DataFrame:
+    """The reference, which has ``_t``, reduced to keys, order and one struct."""
     order = F.struct(*[F.col(c) for c in ref_order])
-    right = (
-        ref.withColumn("_t", micros(ref, ref_time) - span(offset))
-        .where(all_set(*on, "_t"))
-        .select(
-            *on,
-            "_t",
-            order.alias("_order"),
-            F.struct(
-                F.col("_t").alias("t"),
-                order.alias("o"),
-                *[F.col(c).alias(f"p{i}") for i, c in enumerate(payload.values())],
-            ).alias("_ref"),
-        )
+    return ref.where(all_set(*on, "_t")).select(
+        *on,
+        "_t",
+        order.alias("_order"),
+        F.struct(
+            F.col("_t").alias("t"),
+            order.alias("o"),
+            *[F.col(c).alias(f"p{i}") for i, c in enumerate(payload.values())],
+        ).alias("_ref"),
     )
-    return left, right
 
 
-def _together(left: DataFrame, right: DataFrame) -> DataFrame:
+def _sides(obs, ref, on, obs_time, ref_time, payload, ref_order, offset, obs_shift=0):
+    """Both sides with ``_t``."""
+    left = obs.withColumn("_t", micros(obs, obs_time) + obs_shift)
+    ref = ref.withColumn("_t", micros(ref, ref_time) - span(offset))
+    return left, reference_side(ref, on, payload, ref_order)
+
+
+def together(left: DataFrame, right: DataFrame) -> DataFrame:
     """One table in which references come before observations of the same time."""
     return left.withColumn("_kind", F.lit(1)).unionByName(
         right.withColumn("_kind", F.lit(0)), allowMissingColumns=True
@@ -58,13 +62,12 @@ def _look(both: DataFrame, parts: list[str], first_of_time: bool = False) -> Dat
         again = (F.lag("_t").over(by) == F.col("_t")) & (F.col("_kind") == 0)
         both = both.withColumn("_again", F.coalesce(again, F.lit(False)))
         both = both.withColumn("_ref", F.when(~F.col("_again"), F.col("_ref"))).drop("_again")
-    keys = ", ".join(f"`{c}`" for c in parts)
     return both.select(
         "*",
         F.last("_ref", ignorenulls=True)
         .over(by.rowsBetween(W.unboundedPreceding, W.currentRow))
         .alias("_prev"),
-        F.expr(NEXT.format(keys=keys)).alias("_next"),
+        next_of("_ref", parts, ["_t", "_kind", "_order"]).alias("_next"),
     )
 
 
@@ -105,7 +108,7 @@ def _bounded(left, right, on, reach, width, crowd, sizes, spread, first_of_time)
         )
         left, copies = left.drop("_step", "_lanes"), copies.drop("_step", "_lanes")
         parts = [*parts, "_lane"]
-    both = _look(_together(left, copies), parts, first_of_time)
+    both = _look(together(left, copies), parts, first_of_time)
     return both.where("_kind = 1").drop("_kind", "_slice", "_lane", "_ref", "_order")
 
 
@@ -117,7 +120,7 @@ def _sizes(obs, on, time, order, shift=0):
 
 def _unbounded(left, right, on, slicing, spread, first_of_time):
     """Look as far as the data goes: references of other slices are carried in, none is copied."""
-    both = _together(left, right)
+    both = together(left, right)
     sizes = left.select(*on, "_t").unionByName(right.select(*on, "_t"))
     both = with_slice(both, on, "_t", slicing, spread=spread, sizes=sizes)
     parts = [*on, "_slice"]
@@ -142,16 +145,13 @@ def _unbounded(left, right, on, slicing, spread, first_of_time):
         )
     )
     per = W.partitionBy(*on).orderBy("_slice")
-    keys = ", ".join(f"`{c}`" for c in on)
     s = s.select(
         *on,
         "_slice",
         F.last("_last_ref", ignorenulls=True)
         .over(per.rowsBetween(W.unboundedPreceding, -1))
         .alias("_before"),
-        F.expr(f"lead(_first_ref, 1) ignore nulls over (partition by {keys} order by _slice)").alias(
-            "_after"
-        ),
+        next_of("_first_ref", on, ["_slice"]).alias("_after"),
     )
     out = _look(both, parts, first_of_time).where("_kind = 1").join(s, parts, "left")
     out = out.withColumn("_prev", F.coalesce("_prev", "_before"))
@@ -159,7 +159,7 @@ def _unbounded(left, right, on, slicing, spread, first_of_time):
     return out.drop("_kind", "_slice", "_cut", "_ref", "_order", "_before", "_after")
 
 
-def _closer(tie: str) -> Column:
+def closer(tie: str) -> Column:
     """True where the previous reference is taken rather than the next one."""
     d1 = F.col("_t") - F.col("_prev.t")
     d2 = F.col("_next.t") - F.col("_t")
@@ -171,7 +171,7 @@ def _closer(tie: str) -> Column:
     return F.col("_next").isNull() | win
 
 
-def _as_map(payload) -> dict[str, str]:
+def as_map(payload) -> dict[str, str]:
     return dict(payload) if isinstance(payload, dict) else {c: c for c in payload}
 
 
@@ -213,7 +213,7 @@ def nearest_join(
     copied: slices of any width exchange their outermost references, which suits bounds so long that
     most slices would be within reach.
     """
-    on, payload, reach = list(on), _as_map(payload), span(bound)
+    on, payload, reach = list(on), as_map(payload), span(bound)
     left, right = _sides(obs, ref, on, obs_time, ref_time, payload, list(ref_order), offset)
     spread = [*on, *obs_order]
     first = tie == "first"
@@ -227,7 +227,7 @@ def nearest_join(
         until = micros(both, limit)
         allowed = until.isNull() | (F.col("_next.t") < until)
         both = both.withColumn("_next", F.when(allowed, F.col("_next")))
-    both = both.withColumn("_hit", F.when(_closer(tie), F.col("_prev")).otherwise(F.col("_next")))
+    both = both.withColumn("_hit", F.when(closer(tie), F.col("_prev")).otherwise(F.col("_next")))
     return _finish(both, obs.columns, payload, reach, how, distance, all_set(*on, "_t"))
 
 
@@ -262,7 +262,7 @@ def prev_next(
 
     Payload columns come twice, with the prefixes ``prev_`` and ``next_``.
     """
-    on, payload = list(on), _as_map(payload)
+    on, payload = list(on), as_map(payload)
     left, right = _sides(obs, ref, on, obs_time, ref_time, payload, list(ref_order), 0)
     both = _unbounded(left, right, on, slicing, [*on, *obs_order], False)
     # Rows without key or time have no neighbours.
@@ -291,7 +291,7 @@ def last_within(
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """The latest reference less than ``window`` seconds before or after each observation."""
-    on, payload, w = list(on), _as_map(payload), span(window)
+    on, payload, w = list(on), as_map(payload), span(window)
     # Seen from the end of the observation's window, it is the nearest one backwards.
     reach = 2 * w - 1
     left, right = _sides(
@@ -307,185 +307,3 @@ def last_within(
 def keep_or_fill(df: DataFrame, own: str, found: str) -> DataFrame:
     """A match overwrites the row's own id; without one the row keeps it."""
     return df.withColumn(own, F.coalesce(F.col(found), F.col(own))).drop(found)
-
-
-# --- per session -------------------------------------------------------------------------------
-
-
-def session_nearest_start(
-    obs: DataFrame,
-    ref: DataFrame,
-    on: list[str],
-    bound,
-    payload,
-    gap=30,
-    cap: int | None = 150,
-    inclusive: bool = True,
-    obs_time: str = "ts",
-    ref_time: str = "ts",
-    order: list[str] = ("row_id",),
-    ref_order: list[str] = ("row_id",),
-    offset=0,
-    how: str = "left",
-    before_next: bool = True,
-    slicing: Slicing = Slicing(),
-    slice_width=None,
-) -> DataFrame:
-    """Give each session the reference nearest to its start (at equal distance the earlier).
-
-    With ``before_next`` references after the start must be before the next session of the key.
-    """
-    rows = sessionize(
-        obs, on, obs_time, list(order), gap, cap, inclusive, slicing, keep_slice=True
-    )
-    heads = session_heads(rows, list(on), obs_time, list(order))
-    payload = _as_map(payload)
-    hits = nearest_join(
-        heads,
-        ref,
-        on,
-        bound,
-        payload,
-        obs_time="start_ts",
-        ref_time=ref_time,
-        obs_order=["session_seq"],
-        ref_order=ref_order,
-        offset=offset,
-        tie="earlier",
-        how="inner",
-        slice_width=slice_width,
-        # There are no more sessions than rows in a slice.
-        sizes=obs.select(
-            *on, F.col(obs_time).alias("start_ts"), F.struct(*order).alias("session_seq")
-        ),
-        limit="next_start_ts" if before_next else None,
-    ).select(*on, "session_seq", "_part_from", "_part_to", *payload, "distance")
-    return _tagged(rows, hits, on, how)
-
-
-def session_nearest_dedup(obs, ref, on, bound, payload, ref_time="ts", ref_order=("row_id",), **kw):
-    """As :func:`session_nearest_start` without the next-session limit, and of several references
-    with the same time only the last in order counts."""
-    one = latest_per_time(ref, list(on), ref_time, list(ref_order))
-    return session_nearest_start(
-        obs, one, on, bound, payload, ref_time=ref_time, ref_order=ref_order, before_next=False, **kw
-    )
-
-
-def latest_per_time(ref: DataFrame, on: list[str], time: str, order: list[str]) -> DataFrame:
-    """One reference per key and time: the last in order.  Aggregates before the shuffle."""
-    last = F.max_by(F.struct("*"), F.struct(*order)).alias("_row")
-    return ref.groupBy(*on, time).agg(last).select("_row.*")
-
-
-def session_nearest_pair(
-    obs: DataFrame,
-    ref: DataFrame,
-    on: list[str],
-    bound,
-    payload,
-    gap=30,
-    cap: int | None = 150,
-    inclusive: bool = True,
-    obs_time: str = "ts",
-    ref_time: str = "ts",
-    order: list[str] = ("row_id",),
-    ref_order: list[str] = ("row_id",),
-    offset=0,
-    how: str = "left",
-    slicing: Slicing = Slicing(),
-    slice_width=None,
-) -> DataFrame:
-    """Give each session the reference of its closest pair of row and reference.
-
-    Equal pairs: the earlier row, then the earlier reference.
-    """
-    payload = _as_map(payload)
-    rows = sessionize(
-        obs, on, obs_time, list(order), gap, cap, inclusive, slicing, keep_slice=True
-    )
-    near = nearest_join(
-        _narrow(rows, on, obs_time, order),
-        ref,
-        on,
-        bound,
-        payload,
-        obs_time=obs_time,
-        ref_time=ref_time,
-        obs_order=order,
-        ref_order=ref_order,
-        offset=offset,
-        tie="earlier",
-        slice_width=slice_width,
-        sizes=obs,
-    )
-    best = F.when(F.col("distance").isNotNull(), F.struct("distance", obs_time, *order))
-    return _tagged(rows, _pick(near, on, payload, F.min_by, best, ["distance"]), on, how)
-
-
-def segment_last_in_window(
-    obs: DataFrame,
-    ref: DataFrame,
-    on: list[str],
-    window,
-    payload,
-    gap=10.025,
-    cap: int | None = None,
-    inclusive: bool = False,
-    obs_time: str = "ts",
-    ref_time: str = "ts",
-    order: list[str] = ("row_id",),
-    ref_order: list[str] = ("row_id",),
-    how: str = "left",
-    slicing: Slicing = Slicing(),
-    slice_width=None,
-) -> DataFrame:
-    """Give each segment the last reference within the window of its last row that has one."""
-    payload = _as_map(payload)
-    rows = sessionize(
-        obs, on, obs_time, list(order), gap, cap, inclusive, slicing, keep_slice=True
-    )
-    near = last_within(
-        _narrow(rows, on, obs_time, order),
-        ref,
-        on,
-        window,
-        {**payload, "_found": on[0]},
-        obs_time=obs_time,
-        ref_time=ref_time,
-        obs_order=order,
-        ref_order=ref_order,
-        slice_width=slice_width,
-        sizes=obs,
-    )
-    last = F.when(F.col("_found").isNotNull(), F.struct(obs_time, *order))
-    return _tagged(rows, _pick(near, on, payload, F.max_by, last, []), on, how)
-
-
-def _narrow(rows, on, time, order):
-    """Only what the search needs; the other columns do not travel through it."""
-    return rows.where("session_seq is not null").select(
-        *dict.fromkeys([*on, "session_seq", "_part", time, *order])
-    )
-
-
-def _pick(near, on, payload, best_by, rank, extra):
-    """Per session the columns of the row that ranks best."""
-    taken = [*payload, *extra]
-    return (
-        near.groupBy(*on, "session_seq")
-        .agg(
-            F.min("_part").alias("_part_from"),
-            F.max("_part").alias("_part_to"),
-            best_by(F.struct(*taken), rank).alias("_best"),
-        )
-        .where("_best is not null")
-        .select(*on, "session_seq", "_part_from", "_part_to", "_best.*")
-    )
-
-
-def _tagged(rows, hits, on, how):
-    hits = hits.withColumn("session_matched", F.lit(True))
-    out = tag_sessions(rows, hits, list(on))
-    out = out.withColumn("session_matched", F.coalesce("session_matched", F.lit(False)))
-    return out.where("session_matched") if how == "inner" else out

@@ -7,7 +7,17 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from eventlink.functions import geo, ids, times
-from eventlink.operators import clean, grouping, location, merge, nearest, quality, sessions, words
+from eventlink.operators import (
+    clean,
+    grouping,
+    location,
+    merge,
+    nearest,
+    quality,
+    session_joins,
+    sessions,
+    words,
+)
 from eventlink.plans import jobs, views
 from eventlink.sources import folders, schemas
 
@@ -215,22 +225,22 @@ def _session_join(join, spark, sf, **kw):
 
 
 def session_nearest_start(spark, sf):
-    return _session_join(nearest.session_nearest_start, spark, sf, cap=CAP)
+    return _session_join(session_joins.session_nearest_start, spark, sf, cap=CAP)
 
 
 def session_nearest_pair(spark, sf):
-    return _session_join(nearest.session_nearest_pair, spark, sf, cap=CAP)
+    return _session_join(session_joins.session_nearest_pair, spark, sf, cap=CAP)
 
 
 def session_nearest_dedup(spark, sf):
-    out = nearest.session_nearest_dedup(
+    out = session_joins.session_nearest_dedup(
         views.obs_day(spark, sf), views.ref_day(spark, sf), ["k"], DAYS30, ["id"], gap=H12, cap=CAP
     )
     return out.select("row_id", "k", "session_seq", "id")
 
 
 def segment_last_in_window(spark, sf):
-    return _session_join(nearest.segment_last_in_window, spark, sf)
+    return _session_join(session_joins.segment_last_in_window, spark, sf)
 
 
 def _located(spark, sf, **kw):

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from eventlink.operators import location, nearest, quality
+from eventlink.operators import location, nearest, quality, session_joins
 from eventlink.plans import jobs
 from eventlink.sources import folders
 
@@ -49,7 +49,7 @@ def test_nearest_edges(spark, obs, ref, tie, want):
 def test_session_start_edges(spark, obs, ref, gap, want):
     o = spark.createDataFrame([(1, t, i) for i, t in enumerate(obs)], OBS)
     r = spark.createDataFrame([(1, t, i, x) for i, (t, x) in enumerate(ref)], OBS + ", id string")
-    out = nearest.session_nearest_start(o, r, ["k"], 30, ["id"], gap=gap).orderBy("row_id")
+    out = session_joins.session_nearest_start(o, r, ["k"], 30, ["id"], gap=gap).orderBy("row_id")
     assert [x.id for x in out.collect()] == want
 
 

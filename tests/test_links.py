@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventlink.operators import nearest as N
+from eventlink.operators import session_joins as S
 from eventlink.operators.sessions import number_rows, session_heads, sessionize
 from eventlink.operators.slicing import Slicing
 
@@ -56,8 +57,7 @@ def named(model):
 
 
 @pytest.mark.parametrize("name", SLICINGS)
-@pytest.mark.parametrize("cap", [None, 1, 3])
-@pytest.mark.parametrize("inclusive", [True, False])
+@pytest.mark.parametrize("cap, inclusive", [(None, True), (None, False), (1, True), (3, True)])
 def test_sessionize(obs, name, cap, inclusive):
     df = sessionize(obs, ["k"], gap=2, cap=cap, inclusive=inclusive, slicing=SLICINGS[name])
     rows = df.collect()
@@ -108,15 +108,16 @@ def test_prev_next(obs, ref, name):
         assert r.next_row_id == (after[0][1] if after else None)
 
 
-@pytest.mark.parametrize("name", SLICINGS)
-@pytest.mark.parametrize("cap", [None, 3])
+@pytest.mark.parametrize(
+    "name, cap", [("default", None), ("default", 3), ("cut_large", 3), ("fine", 3), ("fine", None)]
+)
 def test_session_joins(obs, ref, name, cap):
     kw = dict(gap=2, cap=cap, slicing=SLICINGS[name], slice_width=2)
-    start = N.session_nearest_start(obs, ref, ["k"], 3, ["id"], **kw)
+    start = S.session_nearest_start(obs, ref, ["k"], 3, ["id"], **kw)
     assert got(start, "id") == named(models.session_start(OBS, REF, 2000, cap, 3000))
-    pair = N.session_nearest_pair(obs, ref, ["k"], 3, ["id"], **kw)
+    pair = S.session_nearest_pair(obs, ref, ["k"], 3, ["id"], **kw)
     assert got(pair, "id") == named(models.session_pair(OBS, REF, 2000, cap, 3000))
-    dedup = N.session_nearest_dedup(obs, ref, ["k"], 3, ["id"], **kw)
+    dedup = S.session_nearest_dedup(obs, ref, ["k"], 3, ["id"], **kw)
     last = {(k, t): i for k, t, i in sorted(REF, key=lambda r: r[2])}
     one = [(k, t, i) for (k, t), i in last.items()]
     want = models.session_start(OBS, one, 2000, cap, 3000, before_next=False)
@@ -125,7 +126,7 @@ def test_session_joins(obs, ref, name, cap):
 
 @pytest.mark.parametrize("name", SLICINGS)
 def test_segment_last(obs, ref, name):
-    df = N.segment_last_in_window(obs, ref, ["k"], 3, ["id"], gap=2, slicing=SLICINGS[name])
+    df = S.segment_last_in_window(obs, ref, ["k"], 3, ["id"], gap=2, slicing=SLICINGS[name])
     assert got(df, "id") == named(models.segment_last(OBS, REF, 2000, 3000))
 
 

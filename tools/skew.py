@@ -13,7 +13,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-from eventlink.operators.nearest import nearest_join, prev_next, session_nearest_start  # noqa: E402
+from eventlink.operators.nearest import nearest_join, prev_next  # noqa: E402
+from eventlink.operators.session_joins import session_nearest_start  # noqa: E402
 from eventlink.operators.sessions import sessionize  # noqa: E402
 from eventlink.operators.slicing import Slicing  # noqa: E402
 
