@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventlink.llm import secrets
+from eventlink.llm import language, quality, secrets
 from eventlink.llm.common import table
 
 
@@ -10,7 +10,17 @@ def op4_secret_scan(spark, sf):
     return secrets.secret_digest(table(spark, sf, "documents"))
 
 
+def op7_quality(spark, sf):
+    return quality.quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op9_language(spark, sf):
+    return language.language_report(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op4_secret_scan": op4_secret_scan,
+    "op7_quality": op7_quality,
+    "op9_language": op9_language,
 }
 ORACLES: dict[str, str] = {}
