@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from eventlink.llm import language, quality, secrets
+from eventlink.llm import decontaminate, language, quality, secrets
 from eventlink.llm.common import table
 
 
+def op1_decontamination(spark, sf):
+    return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op4_secret_scan(spark, sf):
     return secrets.secret_digest(table(spark, sf, "documents"))
 
@@ -19,8 +23,9 @@ def op9_language(spark, sf):
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op4_secret_scan": op4_secret_scan,
     "op7_quality": op7_quality,
     "op9_language": op9_language,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_decontamination": decontaminate.ORACLE}
