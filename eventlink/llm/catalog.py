@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventlink.llm import decontaminate, language, quality, secrets
+from eventlink.llm import decontaminate, language, licenses, quality, secrets
 from eventlink.llm.common import table
 
 
@@ -22,10 +22,15 @@ def op9_language(spark, sf):
     return language.language_report(table(spark, sf, "documents"))
 
 
+def op10_license_scan(spark, sf):
+    return licenses.license_report(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op4_secret_scan": op4_secret_scan,
     "op7_quality": op7_quality,
     "op9_language": op9_language,
+    "op10_license_scan": op10_license_scan,
 }
 ORACLES: dict[str, str] = {"op1_decontamination": decontaminate.ORACLE}
