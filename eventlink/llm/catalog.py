@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventlink.llm import decontaminate, language, licenses, quality, secrets
+from eventlink.llm import decontaminate, language, licenses, quality, secrets, topk
 from eventlink.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op4_secret_scan(spark, sf):
     return secrets.secret_digest(table(spark, sf, "documents"))
 
 
+def op5_exact_topk(spark, sf):
+    rows = topk.quantised(table(spark, sf, "embeddings"))
+    return topk.top_k(rows, rows.where("id % 20 = 0"))
+
+
 def op7_quality(spark, sf):
     return quality.quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -29,8 +34,12 @@ def op10_license_scan(spark, sf):
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op4_secret_scan": op4_secret_scan,
+    "op5_exact_topk": op5_exact_topk,
     "op7_quality": op7_quality,
     "op9_language": op9_language,
     "op10_license_scan": op10_license_scan,
 }
-ORACLES: dict[str, str] = {"op1_decontamination": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {
+    "op1_decontamination": decontaminate.ORACLE,
+    "op5_exact_topk": topk.ORACLE,
+}
