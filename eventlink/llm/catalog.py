@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventlink.llm import decontaminate, language, licenses, quality, secrets, topk
+from eventlink.llm import decontaminate, language, licenses, minhash, quality, secrets, topk
 from eventlink.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op7_quality(spark, sf):
     return quality.quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op8_near_duplicates(spark, sf):
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op9_language(spark, sf):
     return language.language_report(table(spark, sf, "documents"))
 
@@ -36,6 +40,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_exact_topk": op5_exact_topk,
     "op7_quality": op7_quality,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_language": op9_language,
     "op10_license_scan": op10_license_scan,
 }
