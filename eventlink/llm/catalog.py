@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventlink.llm import decontaminate, language, licenses, minhash, quality, secrets, topk
+from eventlink.llm import decontaminate, language, licenses, minhash, quality, secrets, suffix_dedup, topk
 from eventlink.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op1_decontamination(spark, sf):
     return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op2_suffix_dedup(spark, sf):
+    return suffix_dedup.repeat_report(table(spark, sf, "documents"))
+
+
 def op4_secret_scan(spark, sf):
     return secrets.secret_digest(table(spark, sf, "documents"))
 
@@ -37,6 +41,7 @@ def op10_license_scan(spark, sf):
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_exact_topk": op5_exact_topk,
     "op7_quality": op7_quality,

@@ -156,16 +156,44 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_VALUE = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _M3)
-_POWERS = [np.ones(1, np.uint64)]
+_POWERS: dict[int, np.ndarray] = {}
 
 
-def powers(n: int) -> np.ndarray:
-    """Powers of an odd base modulo 2**64."""
-    if len(_POWERS[0]) < n:
-        p = np.full(max(n, 1024), _M3, np.uint64)
+def powers(n: int, base: int = int(_M3)) -> np.ndarray:
+    """At least the first n powers of an odd base modulo 2**64."""
+    if len(_POWERS.get(base, ())) < n:
+        p = np.full(max(n, 1024), base, np.uint64)
         p[0] = 1
-        _POWERS[0] = np.multiply.accumulate(p)
-    return _POWERS[0]
+        _POWERS[base] = np.multiply.accumulate(p)
+    return _POWERS[base]
+
+
+# --- bit tables -------------------------------------------------------------------------------------------
+
+#: A bit table has 32 bits for each hash, within these bounds; where it gets crowded more rows pass it and
+#: reach the join behind it, which decides.
+LEAST_BITS, MOST_BITS = 12, 21
+
+
+def bit_table(hashes: DataFrame, n: int) -> Callable[[Column], Column]:
+    """A test that the hashes in column ``h`` (about n of them) pass, and few others.
+
+    The bits are a constant array of longs; what the driver collects for it is bounded whatever n is.
+    """
+    bits = max(LEAST_BITS, min(MOST_BITS, (32 * max(n, 1) - 1).bit_length()))
+    place = F.pmod("h", F.lit(1 << bits))
+    word, bit = F.shiftright(place, 6).cast("int"), F.pmod(place, F.lit(64)).cast("int")
+    rows = hashes.select(word.alias("k"), bit.alias("b")).groupBy("k").agg(F.expr("bit_or(shiftleft(1L, b))").alias("v"))
+    table = [0] * (1 << bits - 6)
+    for r in rows.toLocalIterator():
+        table[r["k"]] = r["v"]
+    packed = F.from_json(F.lit("[" + ",".join(map(str, table)) + "]"), "array<bigint>")
+
+    def passes(h: Column) -> Column:
+        place = F.pmod(h, F.lit(1 << bits))
+        return F.getbit(F.get(packed, F.shiftright(place, 6).cast("int")), F.pmod(place, F.lit(64)).cast("int")) == 1
+
+    return passes
 
 
 def tokens(buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray = WORD_BYTE):

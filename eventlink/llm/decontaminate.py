@@ -12,15 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlink.llm.common import fresh, let, maybe_broadcast, words
+from eventlink.llm.common import bit_table, fresh, let, maybe_broadcast, words
 
 WINDOW = 13
 SHINGLE = 5
 #: The windows are broadcast up to so many of them (about 200 bytes each); more are joined by a shuffle.
 BROADCAST_WINDOWS = 200_000
-#: The bit table has 32 bits for each shingle, within these bounds; where it gets crowded more places pass
-#: it and reach the join, which decides.
-LEAST_BITS, MOST_BITS = 12, 21
 
 
 def _shingle(w: Column, i: Column, size: int) -> Column:
@@ -61,35 +58,12 @@ def _shingles(win: DataFrame, size: int) -> DataFrame:
     return parts
 
 
-def _bit_table(hashes: DataFrame, n: int) -> tuple[Column, int]:
-    """Bits that are set for the hashes ``h``, as a constant array of longs; what is collected is bounded."""
-    bits = max(LEAST_BITS, min(MOST_BITS, (32 * max(n, 1) - 1).bit_length()))
-    place = F.pmod("h", F.lit(1 << bits))
-    rows = (
-        hashes.select(F.shiftright(place, 6).cast("int").alias("k"), F.pmod(place, F.lit(64)).cast("int").alias("b"))
-        .groupBy("k")
-        .agg(F.expr("bit_or(shiftleft(1L, b))").alias("v"))
-        .toLocalIterator()
-    )
-    table = [0] * (1 << bits - 6)
-    for r in rows:
-        table[r["k"]] = r["v"]
-    text = "[" + ",".join(map(str, table)) + "]"
-    return F.from_json(F.lit(text), "array<bigint>"), bits
-
-
-def _hits(w: Column, sizes: list[int], table: tuple[Column, int], make) -> Column:
-    """``make(i, h, size)`` for all places i of a text's words whose shingle h passes the bit table."""
-    bits, width = table
-
-    def passes(p):
-        place = F.pmod(p["h"], F.lit(1 << width))
-        word = F.get(bits, F.shiftright(place, 6).cast("int"))
-        return F.getbit(word, F.pmod(place, F.lit(64)).cast("int")) == 1
+def _hits(w: Column, sizes: list[int], passes, make) -> Column:
+    """``make(i, h)`` for all places i of a text's words whose shingle h passes the bit table."""
 
     def of(size):
         pairs = F.transform(_places(w, size), lambda i: F.struct(i.alias("i"), _shingle(w, i, size).alias("h")))
-        return F.transform(F.filter(pairs, passes), lambda p: make(p["i"], p["h"], size))
+        return F.transform(F.filter(pairs, lambda p: passes(p["h"])), lambda p: make(p["i"], p["h"]))
 
     return F.concat(*[of(s) for s in sizes])
 
@@ -112,8 +86,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, text: str = "text", windo
         words(F.col(text)).alias("w"),
     )
     # how often the documents have each shingle of the benchmark; only those that pass the bits are counted
-    table = _bit_table(shingles, stats["n"])
-    seen = base.select(F.explode(let(F.col("w"), lambda w: _hits(w, sizes, table, lambda i, h, s: h))).alias("h"))
+    table = bit_table(shingles, stats["n"])
+    seen = base.select(F.explode(let(F.col("w"), lambda w: _hits(w, sizes, table, lambda i, h: h))).alias("h"))
     seen = seen.groupBy("h").agg(F.count("*").alias("freq"))
     ranked = shingles.join(maybe_broadcast(shingles.select("h").distinct().join(seen, "h"), stats["n"], BROADCAST_WINDOWS), "h")
     prefix = ranked.groupBy("win").agg(F.min(F.struct("freq", "h", "pos")).alias("best"), F.first("items").alias("items"), F.count("*").alias("n"))
@@ -121,11 +95,11 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, text: str = "text", windo
     whole = F.greatest(F.size("win") - (size - 1), F.lit(1))
     prefix = prefix.where(F.col("n") == whole).select("win", "items", "best.h", "best.pos").persist()
     n = prefix.count()
-    table = _bit_table(prefix.select("h"), n)
+    table = bit_table(prefix.select("h"), n)
     back, reach = window - 1, 2 * window
 
     def found(w):
-        def one(i, h, s):
+        def one(i, h):
             start = F.greatest(i - back, F.lit(0))
             return F.struct(i.alias("i"), h.alias("h"), start.alias("begin"), F.slice(w, start + 1, F.lit(reach)).alias("ctx"))
 
