@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventlink.llm import decontaminate, language, licenses, minhash, quality, secrets, suffix_dedup, topk
+from eventlink.llm import decontaminate, katz, language, licenses, minhash, quality, secrets, suffix_dedup, topk
 from eventlink.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op5_exact_topk(spark, sf):
     return topk.top_k(rows, rows.where("id % 20 = 0"))
 
 
+def op6_katz_score(spark, sf):
+    return katz.katz_report(table(spark, sf, "documents"))
+
+
 def op7_quality(spark, sf):
     return quality.quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_exact_topk": op5_exact_topk,
+    "op6_katz_score": op6_katz_score,
     "op7_quality": op7_quality,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_language": op9_language,
