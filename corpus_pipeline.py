@@ -6,21 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlink.llm import secrets
+from eventlink.llm import decontaminate, minhash, packing, quality, secrets
 from eventlink.llm.common import saved, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model, learnt from ``labels``, rejects go."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near-duplicates the one with the smallest id stays."""
+    return minhash.drop_near_duplicates(docs)
+
+
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a twentieth or more of their words in passages of ``benchmark`` go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
     return secrets.redact(docs)
 
 
+def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bucket, batch and place of every document."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_quality),
+    ("near_duplicates", keep_one_of_each),
+    ("decontamination", keep_uncontaminated),
     ("secrets", redact_secrets),
+    ("packing", batches),
 ]
-#: The classifier, the signatures and the automaton have no SQL form; the tests compare with plain Python.
+#: The model, the signatures and the automaton have no SQL form; the tests compare with plain Python.
 ORACLE_SQL = None
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventlink.llm import decontaminate, katz, language, licenses, minhash, quality, secrets, suffix_dedup, topk
+from eventlink.llm import decontaminate, katz, language, licenses, minhash, packing, quality, secrets, suffix_dedup, topk
 from eventlink.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_suffix_dedup(spark, sf):
     return suffix_dedup.repeat_report(table(spark, sf, "documents"))
 
 
+def op3_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"))
+
+
 def op4_secret_scan(spark, sf):
     return secrets.secret_digest(table(spark, sf, "documents"))
 
@@ -46,6 +50,7 @@ def op10_license_scan(spark, sf):
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
     "op5_exact_topk": op5_exact_topk,
     "op6_katz_score": op6_katz_score,

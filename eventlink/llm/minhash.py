@@ -82,7 +82,7 @@ def signatures(doc: np.ndarray, unit: np.ndarray, n: int, k: int) -> np.ndarray:
         most = limit[todo][d]
         rank, cells, ranks, darts, t = np.zeros(len(u)), [], [], [], 0
         while len(u):
-            dart = mix(u + np.uint64(t + 1) * _STEP)
+            dart = mix(u + np.uint64((t + 1) * int(_STEP) & (1 << 64) - 1))
             rank = rank - np.log(((dart >> np.uint64(11)).astype(np.float64) + 1) * 2.0**-53)
             hit = rank < most
             d, u, most, rank, dart = d[hit], u[hit], most[hit], rank[hit], mix(dart[hit] ^ _SEEDS[0])
