@@ -27,10 +27,12 @@ HEADLINE = [
     "segment_last_in_window",
     "location_nearest",
     "merge_neighbours",
+    "merge_neighbours_long",
     "rows_per_key",
     "word_count",
     "quality_backfill",
     "job_backfill",
+    "job_backfill_written",
     "job_location",
     "job_chain",
 ]

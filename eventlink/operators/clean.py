@@ -48,6 +48,14 @@ def neighbour_arrays(earfcn: Column, pci: Column, rsrp: Column) -> tuple[Column,
     return cells, number_list(rsrp, kind="double")
 
 
+def neighbours_bad(*texts: Column, kinds=("int", "int", "double")) -> Column:
+    """Whether a neighbour list holds something that is not a number; such a record cannot be decoded."""
+    bad = F.lit(False)
+    for text, kind in zip(texts, kinds):
+        bad = bad | F.coalesce(F.exists(number_list(text, kind=kind), lambda x: x.isNull()), F.lit(False))
+    return bad
+
+
 def basic_columns(
     ts="ts",
     conn="mme_ue_s1ap_id",

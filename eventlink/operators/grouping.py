@@ -22,6 +22,16 @@ def group_by_id(df: DataFrame, id: str, time: str) -> DataFrame:
     )
 
 
+def id_totals(grouped: DataFrame) -> DataFrame:
+    """Over the result of :func:`group_by_id`: rows with an id, rows without one, and distinct ids."""
+    rows = lambda hit: F.coalesce(F.sum(F.when(hit, F.col("n_rows"))), F.lit(0)).cast("long")
+    return grouped.agg(
+        rows(F.col("is_matched")).alias("n_success"),
+        rows(~F.col("is_matched")).alias("n_fail"),
+        F.count_if("is_matched").alias("n_ids"),
+    )
+
+
 def rows_per_key(df: DataFrame, on: list[str]) -> DataFrame:
     return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n_rows"))
 

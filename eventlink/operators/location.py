@@ -90,22 +90,14 @@ def nearest_location(
 ) -> DataFrame:
     """Give each observation the lon/lat of the location nearest in time, in Gps coordinates.
 
-    By default the nearest location is chosen first and converted then; if its conversion fails the
-    row is unmatched and ``converted`` is false.  With ``convert_first`` locations that cannot be
-    converted do not take part.
+    By default the nearest location is chosen first; if it cannot be converted the row is unmatched and
+    ``converted`` is false.  With ``convert_first`` locations that cannot be converted do not take part.
+    Either way the locations are converted once, and the observations never meet the grid.
     """
-    refs = locations.where(nonzero_lonlat())
+    refs = to_gps(locations.where(nonzero_lonlat()), grid)
     if convert_first:
-        refs = to_gps(refs, grid).where("converted").drop("converted")
-        out = nearest_join(obs, refs, on, bound, ["lon", "lat"], **kw)
-        out = out.withColumn("converted", F.when(F.col("lon").isNotNull(), F.lit(True)))
-    else:
-        taken = ["lon", "lat", "locate_system"]
-        out = nearest_join(obs, refs, on, bound, taken, **kw)
-        out = out.withColumn("_found", F.col("lon").isNotNull())
-        out = to_gps(out, grid)
-        out = out.withColumn("converted", F.when(F.col("_found"), F.col("converted")))
-        out = out.drop("locate_system", "_found")
+        refs = refs.where("converted")
+    out = nearest_join(obs, refs, on, bound, ["lon", "lat", "converted"], **kw)
     return out.where(F.col("lon").isNotNull()) if how == "inner" else out
 
 

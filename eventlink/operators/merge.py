@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlink.operators.slicing import Slicing, all_set, large_keys
-from eventlink.functions.times import floor_div
-
-# Groups with more rows than this come out as several parts.
-PART_ROWS = Slicing(rows=100_000)
+from eventlink.operators.sessions import number_rows
+from eventlink.operators.slicing import Slicing
 
 
 def tagged_union(**sources: DataFrame) -> DataFrame:
@@ -22,33 +19,36 @@ def tagged_union(**sources: DataFrame) -> DataFrame:
 
 
 def merge_arrays(
-    df: DataFrame,
-    keys: list[str],
-    arrays: list[str],
-    order: list[str],
-    scalars: list[str] = (),
-    parts: Slicing = PART_ROWS,
+    df: DataFrame, keys: list[str], arrays: list[str], order: list[str], scalars: list[str] = ()
 ) -> DataFrame:
     """One row per key group: arrays concatenated in order, scalars of the group's first row.
 
-    ``order[0]`` must be a whole number.  A group of usual size has the single ``part`` 0.  A group with
-    more than ``parts.rows`` rows, which might not fit in a record or task, is cut along ``order[0]``
-    into several parts; read by ``part``, they are the whole group in order.
+    A merged group is one record, so it has to fit in one; for groups that might not, see
+    :func:`merge_arrays_long`.
     """
-    at = order[0]
-    large = large_keys(df.withColumn("_at", F.col(at).cast("long")), keys, "_at", parts)
-    step = floor_div(F.col(at).cast("long") - F.col("_from"), F.col("_width"))
-    rows = df.join(F.broadcast(large), keys, "left").withColumn(
-        "part", F.when(all_set(*keys, at), F.coalesce(step, F.lit(0).cast("long"))).otherwise(0)
-    )
-    member = F.struct(*dict.fromkeys([*order, *arrays, *scalars]))
-    grouped = rows.groupBy(*keys, "part").agg(
-        F.array_sort(F.collect_list(member)).alias("_members")
+    member = F.struct(*dict.fromkeys([*order, *arrays]))
+    first = F.min_by(F.struct(*scalars), F.struct(*order)).alias("_first") if scalars else None
+    grouped = df.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(member)).alias("_members"), *([first] if scalars else [])
     )
     return grouped.select(
         *keys,
-        "part",
-        *[F.col("_members")[0][s].alias(s) for s in scalars],
+        *[F.col("_first").getField(s).alias(s) for s in scalars],
         *[F.flatten(F.col("_members").getField(a)).alias(a) for a in arrays],
         F.size("_members").cast("long").alias("n_merged"),
     )
+
+
+def merge_arrays_long(
+    df: DataFrame, keys: list[str], arrays: list[str], order: list[str], slicing: Slicing = Slicing()
+) -> DataFrame:
+    """The merged arrays as rows: keys, ``pos`` (1, 2, … in the group's order), one element of each array.
+
+    No group is ever one record.  ``order[0]`` must be a whole number or a time; the arrays of a row are
+    parallel, a shorter one gives nulls.
+    """
+    zipped = F.arrays_zip(*[F.col(a).alias(a) for a in arrays])
+    rows = df.select(*dict.fromkeys([*keys, *order]), F.posexplode(zipped).alias("_at", "_element"))
+    rows = rows.withColumn("_first", F.col(order[0]).cast("long"))
+    rows = number_rows(rows, keys, "_first", [*order, "_at"], slicing, name="_place")
+    return rows.select(*keys, F.col("_place").alias("pos"), *[F.col("_element").getField(a).alias(a) for a in arrays])

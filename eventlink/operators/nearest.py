@@ -6,14 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from eventlink.functions.times import MICROS, floor_div, micros, span
-from eventlink.operators.slicing import Slicing, all_set, crowded_slices, spare_lane, with_slice
-
-# A slice this many bounds wide copies each reference 1.5 times on average; crowded slices are not
-# made narrower.
-SLICE_BOUNDS = 4
-# Slices start at least this wide (one day) where crowded ones are looked for and split.
-WIDE_SLICE = 86400 * MICROS
+from eventlink.functions.times import micros, span
+from eventlink.operators.slicing import Slicing, all_set, apart
 
 
 def next_of(value: str, parts: list[str], order: list[str]) -> Column:
@@ -51,112 +45,53 @@ def together(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def _look(both: DataFrame, parts: list[str], first_of_time: bool = False) -> DataFrame:
+def _look_up(left: DataFrame, right: DataFrame, on, slicing: Slicing, first_of_time: bool) -> DataFrame:
     """Add ``_prev`` (last reference at or before the row) and ``_next`` (first one after it).
 
-    One sort serves both directions.  Among references of one time, ``_prev`` is the last in order
-    and ``_next`` the first; with ``first_of_time`` both are the first.
+    Among references of one time, ``_prev`` is the last in order and ``_next`` the first; with
+    ``first_of_time`` both are the first.  Rows of one key and time have the same answer, so it is looked
+    up once for each distinct key and time and joined back: a crowded instant stays spread over the
+    tasks.  Only the first and last reference of a key and time can win, so the others end before the
+    shuffle.  No reference is copied: slices hand on their outermost ones.
     """
-    by = W.partitionBy(*parts).orderBy("_t", "_kind", "_order")
+    left, rest = apart(left, on, "_t")
+    refs = right.groupBy(*on, "_t").agg(
+        F.min_by("_ref", "_order").alias("_first"), F.max_by("_ref", "_order").alias("_last")
+    )
     if first_of_time:
-        again = (F.lag("_t").over(by) == F.col("_t")) & (F.col("_kind") == 0)
-        both = both.withColumn("_again", F.coalesce(again, F.lit(False)))
-        both = both.withColumn("_ref", F.when(~F.col("_again"), F.col("_ref"))).drop("_again")
-    return both.select(
-        "*",
-        F.last("_ref", ignorenulls=True)
+        refs = refs.withColumn("_last", F.col("_first"))
+    both = together(left.select(*on, "_t").distinct(), refs).withColumn("_slice", slicing.step("_t"))
+    parts = [*on, "_slice"]
+    by = W.partitionBy(*parts).orderBy("_t", "_kind")
+    look = both.select(
+        *parts,
+        "_t",
+        "_kind",
+        F.last("_last", ignorenulls=True)
         .over(by.rowsBetween(W.unboundedPreceding, W.currentRow))
         .alias("_prev"),
-        next_of("_ref", parts, ["_t", "_kind", "_order"]).alias("_next"),
-    )
-
+        next_of("_first", parts, ["_t", "_kind"]).alias("_next"),
+    ).where("_kind = 1")
 
-def _bounded(left, right, on, reach, width, crowd, sizes, spread, first_of_time):
-    """Look within ``reach`` microseconds: references are copied to every slice they can serve.
-
-    A crowded slice is split into steps of time, and observations that crowd even a step are dealt
-    into lanes, each with its own copy of the step's references (observations do not depend on each
-    other).
-    """
-    fine = SLICE_BOUNDS * reach
-    width = width or (fine if crowd is None else max(fine, WIDE_SLICE))
-    usable = all_set(*on, "_t")
-    slice_ = F.when(usable, floor_div(F.col("_t"), width)).otherwise(spare_lane(spread))
-    left = left.withColumn("_slice", slice_)
-    low, high = F.col("_t") - (reach - 1), F.col("_t") + (reach - 1)
-    slices = F.sequence(floor_div(low, width), floor_div(high, width))
-    copies = right.withColumn("_slice", F.explode(slices))
-    parts = [*on, "_slice"]
-    if crowd is not None:
-        own = floor_div(F.col("_t"), width).alias("_slice")
-        seen = [
-            df.select(*on, own, "_t", F.xxhash64(*cols).alias("_hash"), F.lit(kind).alias("_kind"))
-            for df, cols, kind in ((sizes, sizes.columns, 1), (right, ["_order"], 0))
-        ]
-        crowded = F.broadcast(
-            crowded_slices(seen[0].unionByName(seen[1]), on, crowd, width, min(width, fine))
-        )
-        step, lanes = F.coalesce("_step", F.lit(width)), F.coalesce("_lanes", F.lit(1))
-        start = F.col("_slice") * width
-        first = floor_div(F.greatest(low - start, F.lit(0)), step) * lanes
-        last = floor_div(F.least(high - start, F.lit(width - 1)), step) * lanes + lanes - 1
-        lane = floor_div(F.pmod("_t", F.lit(width)), step) * lanes
-        lane = lane + F.pmod(F.xxhash64(*spread), lanes)
-        left = left.join(crowded, parts, "left").withColumn("_lane", lane)
-        copies = copies.join(crowded, parts, "left").withColumn(
-            "_lane", F.explode(F.sequence(first, last))
-        )
-        left, copies = left.drop("_step", "_lanes"), copies.drop("_step", "_lanes")
-        parts = [*parts, "_lane"]
-    both = _look(together(left, copies), parts, first_of_time)
-    return both.where("_kind = 1").drop("_kind", "_slice", "_lane", "_ref", "_order")
-
-
-def _sizes(obs, on, time, order, shift=0):
-    """The columns of ``obs`` that tell how crowded its slices are."""
-    cols = dict.fromkeys([*on, *order])
-    return obs.select(*cols, (micros(obs, time) + shift).alias("_t"))
-
-
-def _unbounded(left, right, on, slicing, spread, first_of_time):
-    """Look as far as the data goes: references of other slices are carried in, none is copied."""
-    both = together(left, right)
-    sizes = left.select(*on, "_t").unionByName(right.select(*on, "_t"))
-    both = with_slice(both, on, "_t", slicing, spread=spread, sizes=sizes)
-    parts = [*on, "_slice"]
-
-    # Of a cut key, the first and the last row of a slice know its first and last reference.
-    by = W.partitionBy(*parts).orderBy("_t", "_kind", "_order")
-    cut = both.where("_cut").select(*parts, "_t", "_kind", "_order", "_ref")
-    edges = _look(cut, parts, first_of_time).select(
-        *on,
-        "_slice",
-        "_prev",
-        F.coalesce("_ref", "_next").alias("_own"),
-        F.row_number().over(by).alias("_rn"),
-        F.lead(F.lit(1)).over(by).isNull().alias("_is_last"),
-    )
-    s = (
-        edges.where("_rn = 1 or _is_last")
-        .groupBy(*on, "_slice")
-        .agg(
-            F.first(F.when(F.col("_is_last"), F.col("_prev")), ignorenulls=True).alias("_last_ref"),
-            F.first(F.when(F.col("_rn") == 1, F.col("_own")), ignorenulls=True).alias("_first_ref"),
-        )
+    edges = both.groupBy(*parts).agg(
+        F.min_by("_first", F.when(F.col("_kind") == 0, F.col("_t"))).alias("_head"),
+        F.max_by("_last", F.when(F.col("_kind") == 0, F.col("_t"))).alias("_tail"),
     )
     per = W.partitionBy(*on).orderBy("_slice")
-    s = s.select(
-        *on,
-        "_slice",
-        F.last("_last_ref", ignorenulls=True)
+    edges = edges.select(
+        *parts,
+        F.last("_tail", ignorenulls=True)
         .over(per.rowsBetween(W.unboundedPreceding, -1))
         .alias("_before"),
-        next_of("_first_ref", on, ["_slice"]).alias("_after"),
+        next_of("_head", on, ["_slice"]).alias("_after"),
     )
-    out = _look(both, parts, first_of_time).where("_kind = 1").join(s, parts, "left")
-    out = out.withColumn("_prev", F.coalesce("_prev", "_before"))
-    out = out.withColumn("_next", F.coalesce("_next", "_after"))
-    return out.drop("_kind", "_slice", "_cut", "_ref", "_order", "_before", "_after")
+    look = look.join(edges, parts, "left").select(
+        *on,
+        "_t",
+        F.coalesce("_prev", "_before").alias("_prev"),
+        F.coalesce("_next", "_after").alias("_next"),
+    )
+    return left.join(look, [*on, "_t"], "left").unionByName(rest, allowMissingColumns=True)
 
 
 def closer(tie: str) -> Column:
@@ -183,15 +118,11 @@ def nearest_join(
     payload,
     obs_time: str = "ts",
     ref_time: str = "ts",
-    obs_order: list[str] = ("row_id",),
     ref_order: list[str] = ("row_id",),
     offset=0,
     tie: str = "later",
     how: str = "left",
-    slice_width=None,
-    crowd: Slicing | None = Slicing(),
-    sizes: DataFrame | None = None,
-    carry: Slicing | None = None,
+    slicing: Slicing = Slicing(),
     distance: str | None = "distance",
     limit: str | None = None,
 ) -> DataFrame:
@@ -204,25 +135,12 @@ def nearest_join(
     ``distance`` names a column with the distance in microseconds.  ``limit`` names an observation
     column: references after the observation must also (offset applied) be before that time.
 
-    Key and time slice together are the shuffle key, so a heavy key is spread over many tasks, and a
-    reference is copied to the slices within its reach.  Slices are ``slice_width`` seconds wide (a
-    day or 4 bounds, if not given); those with more rows than ``crowd`` allows are split.  With
-    ``crowd=None`` no sizes are looked at, and slices are 4 bounds wide.  ``sizes`` stands in for
-    ``obs`` in that look (same key, time and order columns), where ``obs`` is costly to compute:
-    Spark computes it once for the look and once for the join.  With ``carry`` nothing is
-    copied: slices of any width exchange their outermost references, which suits bounds so long that
-    most slices would be within reach.
+    Key and time slice together are the shuffle key of the lookup, so a heavy key is spread over many
+    tasks whatever the bound is.
     """
     on, payload, reach = list(on), as_map(payload), span(bound)
     left, right = _sides(obs, ref, on, obs_time, ref_time, payload, list(ref_order), offset)
-    spread = [*on, *obs_order]
-    first = tie == "first"
-    if carry is None:
-        width = span(slice_width) if slice_width else None
-        seen = _sizes(obs if sizes is None else sizes, on, obs_time, obs_order)
-        both = _bounded(left, right, on, reach, width, crowd, seen, spread, first)
-    else:
-        both = _unbounded(left, right, on, carry, spread, first)
+    both = _look_up(left, right, on, slicing, tie == "first")
     if limit is not None:
         until = micros(both, limit)
         allowed = until.isNull() | (F.col("_next.t") < until)
@@ -254,7 +172,6 @@ def prev_next(
     payload,
     obs_time: str = "ts",
     ref_time: str = "ts",
-    obs_order: list[str] = ("row_id",),
     ref_order: list[str] = ("row_id",),
     slicing: Slicing = Slicing(),
 ) -> DataFrame:
@@ -264,7 +181,7 @@ def prev_next(
     """
     on, payload = list(on), as_map(payload)
     left, right = _sides(obs, ref, on, obs_time, ref_time, payload, list(ref_order), 0)
-    both = _unbounded(left, right, on, slicing, [*on, *obs_order], False)
+    both = _look_up(left, right, on, slicing, False)
     # Rows without key or time have no neighbours.
     usable = all_set(*on, "_t")
     cols = [F.col(c) for c in obs.columns]
@@ -284,11 +201,8 @@ def last_within(
     payload,
     obs_time: str = "ts",
     ref_time: str = "ts",
-    obs_order: list[str] = ("row_id",),
     ref_order: list[str] = ("row_id",),
-    slice_width=None,
-    crowd: Slicing | None = Slicing(),
-    sizes: DataFrame | None = None,
+    slicing: Slicing = Slicing(),
 ) -> DataFrame:
     """The latest reference less than ``window`` seconds before or after each observation."""
     on, payload, w = list(on), as_map(payload), span(window)
@@ -297,9 +211,7 @@ def last_within(
     left, right = _sides(
         obs, ref, on, obs_time, ref_time, payload, list(ref_order), 0, obs_shift=w - 1
     )
-    width = span(slice_width) if slice_width else None
-    seen = _sizes(obs if sizes is None else sizes, on, obs_time, obs_order, w - 1)
-    both = _bounded(left, right, on, reach, width, crowd, seen, [*on, *obs_order], False)
+    both = _look_up(left, right, on, slicing, False)
     both = both.withColumn("_hit", F.col("_prev"))
     return _finish(both, obs.columns, payload, reach, "left", None, all_set(*on, "_t"))
 

@@ -60,7 +60,9 @@ def report(kind: str, **parts: tuple[DataFrame, dict[str, Column]]) -> DataFrame
 
 
 def ok_bad(ok: str, bad: str, is_bad: Column) -> dict[str, Column]:
-    return {ok: count_of(~is_bad), bad: count_of(is_bad)}
+    """Both counts; a row whose flag is null is bad, so that they sum to the rows."""
+    flag = F.coalesce(is_bad, F.lit(True))
+    return {ok: F.count_if(~flag), bad: F.count_if(flag)}
 
 
 def match_counts(hit: Column, has_time: Column) -> dict[str, Column]:

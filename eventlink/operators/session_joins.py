@@ -1,8 +1,7 @@
 """Joins to the reference nearest in time, per session.
 
-Keys of usual size take one pass: their observations and references are shuffled once, and sessions,
-neighbours and the session's pick are windows over that.  Keys with too many rows for that go the
-longer way over slices; if there are none, Spark drops that branch at run time.
+All keys take the same way: sessions over time slices, a lookup of neighbours over time slices, and one join
+of each session's pick back to its rows by key, slice and session.
 """
 
 from __future__ import annotations
@@ -10,21 +9,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from eventlink.functions.times import micros, span
-from eventlink.operators.nearest import (
-    as_map,
-    closer,
-    last_within,
-    nearest_join,
-    next_of,
-    reference_side,
-    together,
-)
+from eventlink.operators.nearest import as_map, last_within, nearest_join
 from eventlink.operators.sessions import session_heads, sessionize, tag_sessions
-from eventlink.operators.slicing import Slicing, all_set, with_slice
+from eventlink.operators.slicing import Slicing
 
 
 @dataclass(frozen=True)
@@ -46,7 +35,6 @@ class Linking:
     ref_order: list[str] = ("row_id",)
     offset: float = 0
     slicing: Slicing = Slicing()
-    slice_width: float | None = None
 
     def sessions(self, obs: DataFrame) -> DataFrame:
         return sessionize(
@@ -66,7 +54,7 @@ class Linking:
             on=list(self.on),
             ref_time=self.ref_time,
             ref_order=self.ref_order,
-            slice_width=self.slice_width,
+            slicing=self.slicing,
         )
 
 
@@ -79,35 +67,20 @@ def session_nearest_start(
     """
     link = Linking(on, as_map(payload), **options)
 
-    def heavy(obs, ref):
-        rows = link.sessions(obs)
-        # There are no more sessions than rows in a slice.
-        sizes = obs.select(
-            *on, F.col(link.obs_time).alias("start_ts"), F.struct(*link.order).alias("session_seq")
-        )
-        hits = nearest_join(
-            session_heads(rows, list(on), link.obs_time, list(link.order)),
-            ref,
-            bound=bound,
-            payload=link.payload,
-            obs_time="start_ts",
-            obs_order=["session_seq"],
-            offset=link.offset,
-            tie="earlier",
-            how="inner",
-            sizes=sizes,
-            limit="next_start_ts" if before_next else None,
-            **link.search(),
-        )
-        return _tagged(rows, hits, on, [*link.payload, "distance"])
-
-    def pick(both):
-        if before_next:
-            allowed = F.col("_next_start").isNull() | (F.col("_next.t") < F.col("_next_start"))
-            both = both.withColumn("_next", F.when(allowed, F.col("_next")))
-        return _nearest_hit(both, F.col("_head"), span(bound), [], link), F.max
-
-    return _run(obs, ref, link, how, pick, heavy)
+    rows = link.sessions(obs)
+    hits = nearest_join(
+        session_heads(rows, list(on), link.obs_time, list(link.order)),
+        ref,
+        bound=bound,
+        payload=link.payload,
+        obs_time="start_ts",
+        offset=link.offset,
+        tie="earlier",
+        how="inner",
+        limit="next_start_ts" if before_next else None,
+        **link.search(),
+    )
+    return _tagged(rows, hits, on, [*link.payload, "distance"], how)
 
 
 def session_nearest_dedup(
@@ -135,30 +108,21 @@ def session_nearest_pair(
     """
     link = Linking(on, as_map(payload), **options)
 
-    def heavy(obs, ref):
-        rows = link.sessions(obs)
-        near = nearest_join(
-            _narrow(rows, link),
-            ref,
-            bound=bound,
-            payload=link.payload,
-            obs_time=link.obs_time,
-            obs_order=link.order,
-            offset=link.offset,
-            tie="earlier",
-            sizes=obs,
-            **link.search(),
-        )
-        rank = F.struct("distance", link.obs_time, *link.order)
-        best = F.when(F.col("distance").isNotNull(), rank)
-        taken = [*link.payload, "distance"]
-        return _tagged(rows, _best_row(near, on, taken, F.min_by, best), on, taken)
-
-    def pick(both):
-        rank = ["_distance", "_t", *link.order]
-        return _nearest_hit(both, F.lit(True), span(bound), rank, link), F.min
-
-    return _run(obs, ref, link, how, pick, heavy)
+    rows = link.sessions(obs)
+    near = nearest_join(
+        _narrow(rows, link),
+        ref,
+        bound=bound,
+        payload=link.payload,
+        obs_time=link.obs_time,
+        offset=link.offset,
+        tie="earlier",
+        **link.search(),
+    )
+    rank = F.struct("distance", link.obs_time, *link.order)
+    best = F.when(F.col("distance").isNotNull(), rank)
+    taken = [*link.payload, "distance"]
+    return _tagged(rows, _best_row(near, on, taken, F.min_by, best), on, taken, how)
 
 
 def segment_last_in_window(
@@ -175,118 +139,17 @@ def segment_last_in_window(
 ) -> DataFrame:
     """Give each segment the last reference within the window of its last row that has one."""
     link = Linking(on, as_map(payload), gap, cap, inclusive, **options)
-    w = span(window)
-
-    def heavy(obs, ref):
-        rows = link.sessions(obs)
-        near = last_within(
-            _narrow(rows, link),
-            ref,
-            window=window,
-            payload={**link.payload, "_found": on[0]},
-            obs_time=link.obs_time,
-            obs_order=link.order,
-            sizes=obs,
-            **link.search(),
-        )
-        last = F.when(F.col("_found").isNotNull(), F.struct(link.obs_time, *link.order))
-        return _tagged(rows, _best_row(near, on, [*link.payload], F.max_by, last), on, [*link.payload])
-
-    def pick(both):
-        # Times are shifted to the end of the row's window, see last_within.
-        near = F.col("_t") - F.col("_prev.t") < 2 * w - 1
-        return _with_pick(both, F.col("_prev"), near, ["_t", *link.order], link), F.max
-
-    return _run(obs, ref, link, how, pick, heavy, shift=w - 1, distance=False)
-
-
-# --- keys of usual size -----------------------------------------------------------------------------
-
-
-def _run(obs, ref, link, how, pick, heavy, shift=0, distance=True) -> DataFrame:
-    on, slicing = list(link.on), link.slicing
-    if slicing.width is not None:
-        out = heavy(obs, ref)
-    else:
-        left = obs.withColumn("_t", micros(obs, link.obs_time) + shift)
-        right = ref.withColumn("_t", micros(ref, link.ref_time) - span(link.offset))
-        sizes = left.select(*on, "_t").unionByName(right.select(*on, "_t"))
-        left = with_slice(left, on, "_t", slicing, spread=[*on, *link.order], sizes=sizes)
-        right = with_slice(right, on, "_t", slicing, spread=[*on, *link.ref_order], sizes=sizes)
-        usual = _one_pass(
-            left.where("not _cut").drop("_cut"),
-            reference_side(right.where("not _cut"), on, link.payload, link.ref_order),
-            link,
-            obs.columns,
-            pick,
-            distance,
-        )
-        large = heavy(
-            left.where("_cut").select(obs.columns), right.where("_cut").select(ref.columns)
-        )
-        out = usual.unionByName(large)
-    return out.where("session_matched") if how == "inner" else out
-
-
-def _one_pass(left, right, link, columns, pick, distance) -> DataFrame:
-    parts, order = [*link.on, "_slice"], ["_t", "_kind", "_order", *link.order]
-    both = together(left, right.withColumn("_slice", F.lit(0).cast("long")))
-    by = W.partitionBy(*parts).orderBy(*order)
-    earlier = by.rowsBetween(W.unboundedPreceding, -1)
-    so_far = by.rowsBetween(W.unboundedPreceding, W.currentRow)
-    is_obs = F.col("_kind") == 1
-
-    both = both.select(
-        "*",
-        F.last(F.when(is_obs, F.col("_t")), ignorenulls=True).over(earlier).alias("_last_t"),
-        F.count_if(is_obs).over(so_far).alias("_rn"),
-        F.last("_ref", ignorenulls=True).over(so_far).alias("_prev"),
-        next_of("_ref", parts, order).alias("_next"),
-    )
-    limit = span(link.gap) if link.inclusive else span(link.gap) - 1
-    gap = F.coalesce(F.col("_t") - F.col("_last_t") > limit, F.lit(False))
-    both = both.withColumn("_break", is_obs & gap)
-    begin = F.max(F.when(F.col("_break"), F.col("_rn"))).over(so_far)
-    both = both.withColumn("_pos", F.col("_rn") - F.coalesce(begin, F.lit(1)) + 1)
-    at = F.col("_pos") if link.cap is None else F.pmod(F.col("_pos") - 1, F.lit(link.cap)) + 1
-    both = both.withColumns({"session_pos": at, "_head": is_obs & (at == 1)})
-    both = both.withColumn("_head_t", F.when(F.col("_head"), F.col("_t")))
-    both = both.select(
-        "*",
-        F.count_if("_head").over(so_far).alias("session_seq"),
-        next_of("_head_t", parts, order).alias("_next_start"),
-    ).where("_kind = 1")
-
-    usable = all_set(*link.on, "_t")
-    both = both.withColumns(
-        {c: F.when(usable, F.col(c)) for c in ("session_seq", "session_pos")}
+    rows = link.sessions(obs)
+    near = last_within(
+        _narrow(rows, link),
+        ref,
+        window=window,
+        payload={**link.payload, "_found": on[0]},
+        obs_time=link.obs_time,
+        **link.search(),
     )
-    both, best_of = pick(both)
-    best = best_of("_pick").over(W.partitionBy(*parts, "session_seq"))
-    both = both.withColumn("_best", F.when(usable, best))
-    taken = [F.col(f"_best.p{i}").alias(name) for i, name in enumerate(link.payload)]
-    if distance:
-        taken.append(F.col("_best.d").alias("distance"))
-    found = F.col("_best").isNotNull().alias("session_matched")
-    return both.select(*columns, "session_seq", "session_pos", *taken, found)
-
-
-def _nearest_hit(both, eligible, reach, rank, link):
-    hit = F.when(closer("earlier"), F.col("_prev")).otherwise(F.col("_next"))
-    both = both.withColumn("_hit", hit)
-    both = both.withColumn("_distance", F.abs(F.col("_hit.t") - F.col("_t")))
-    return _with_pick(both, F.col("_hit"), eligible & (F.col("_distance") < reach), rank, link)
-
-
-def _with_pick(both, hit, ok, rank, link):
-    """Add ``_pick``: rank, payload and distance of the row's reference, null if it has none."""
-    fields = [F.col(c).alias(f"r{i}") for i, c in enumerate(rank)]
-    fields += [hit.getField(f"p{i}").alias(f"p{i}") for i in range(len(link.payload))]
-    fields.append(F.abs(hit.getField("t") - F.col("_t")).alias("d"))
-    return both.withColumn("_pick", F.when(F.coalesce(ok, F.lit(False)), F.struct(*fields)))
-
-
-# --- large keys -------------------------------------------------------------------------------------
+    last = F.when(F.col("_found").isNotNull(), F.struct(link.obs_time, *link.order))
+    return _tagged(rows, _best_row(near, on, [*link.payload], F.max_by, last), on, [*link.payload], how)
 
 
 def _narrow(rows, link):
@@ -310,7 +173,8 @@ def _best_row(near, on, taken, best_by, rank):
     )
 
 
-def _tagged(rows, hits, on, taken):
+def _tagged(rows, hits, on, taken, how):
     hits = hits.select(*on, "session_seq", "_part_from", "_part_to", *taken)
     out = tag_sessions(rows, hits.withColumn("session_matched", F.lit(True)), list(on))
-    return out.withColumn("session_matched", F.coalesce("session_matched", F.lit(False)))
+    out = out.withColumn("session_matched", F.coalesce("session_matched", F.lit(False)))
+    return out.where("session_matched") if how == "inner" else out

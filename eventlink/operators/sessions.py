@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventlink.functions.times import floor_div, micros, span
-from eventlink.operators.slicing import Slicing, with_slice
+from eventlink.operators.slicing import Slicing, apart
 
 # Sessions of one key that are ordered together to find each one's successor.
 SESSION_BLOCK = 1_000_000
@@ -54,12 +54,13 @@ def number_rows(
 
 
 def _number(rows, on, order, limit, cap, slicing, keep_slice) -> DataFrame:
-    rows = with_slice(rows, on, "_t", slicing, spread=[*on, *order])
-    # What crosses slice borders is worked out from the rows of cut keys alone.
-    cut = _inside(rows.where("_cut").select(*on, "_slice", "_t", *order), on, order, limit, cap)
+    rows, rest = apart(rows, on, "_t")
+    rows = rows.withColumn("_slice", slicing.step("_t"))
+    # What crosses slice borders is worked out from keys, times and order alone.
+    cut = _inside(rows.select(*on, "_slice", "_t", *order), on, order, limit, cap)
     rows = _inside(rows, on, order, limit, cap)
 
-    # Across slices: one row per slice of a cut key.
+    # Across slices: one row per key and slice.
     per = W.partitionBy(*on).orderBy("_slice")
     earlier = per.rowsBetween(W.unboundedPreceding, -1)
     upto = per.rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -96,24 +97,18 @@ def _number(rows, on, order, limit, cap, slicing, keep_slice) -> DataFrame:
     rows = rows.join(s, [*on, "_slice"], "left")
     leading = F.col("_run") == 0
     pos = F.col("_pos") + F.when(leading, F.coalesce("_carry", F.lit(0))).otherwise(0)
-    seq = F.when(F.col("_seq0").isNull(), F.col("_heads")).otherwise(
-        F.col("_seq0")
-        + F.when(leading, _chunks(pos, cap) - _chunks(F.col("_carry"), cap)).otherwise(
-            F.col("_lead_heads") + F.col("_inner")
-        )
+    seq = F.col("_seq0") + F.when(leading, _chunks(pos, cap) - _chunks(F.col("_carry"), cap)).otherwise(
+        F.col("_lead_heads") + F.col("_inner")
     )
-    known = F.col("_t").isNotNull()
-    for k in on:
-        known = known & F.col(k).isNotNull()
     at = pos if cap is None else F.pmod(pos - 1, F.lit(cap)) + 1
-    rows = rows.withColumn("session_seq", F.when(known, seq).cast("long")).withColumn(
-        "session_pos", F.when(known, at).cast("long")
-    )
-    inner = ["_break", "_rn", "_run", "_pos", "_heads", "_inner", "_carry", "_lead_heads", "_seq0"]
-    rows = rows.drop(*inner, "_cut")
+    rows = rows.withColumns({"session_seq": seq.cast("long"), "session_pos": at.cast("long")})
+    rows = rows.drop(*_INNER).unionByName(rest, allowMissingColumns=True)
     return rows.withColumnRenamed("_slice", "_part") if keep_slice else rows.drop("_slice")
 
 
+_INNER = ["_break", "_rn", "_run", "_pos", "_heads", "_inner", "_carry", "_lead_heads", "_seq0"]
+
+
 def _inside(rows, on, order, limit, cap) -> DataFrame:
     """Runs, positions and session heads within the slice.
 
@@ -191,4 +186,6 @@ def tag_sessions(rows: DataFrame, sessions: DataFrame, on: list[str]) -> DataFra
     """
     sessions = sessions.withColumn("_part", F.explode(F.sequence("_part_from", "_part_to")))
     sessions = sessions.drop("_part_from", "_part_to")
-    return rows.join(sessions, [*on, "_part", "session_seq"], "left").drop("_part")
+    none = F.col("session_seq").isNull()
+    tagged = rows.where(~none).join(sessions, [*on, "_part", "session_seq"], "left")
+    return tagged.unionByName(rows.where(none), allowMissingColumns=True).drop("_part")

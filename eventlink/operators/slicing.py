@@ -1,10 +1,10 @@
 """Cutting the rows of a key into time slices, so that no key has to fit in one task.
 
 Sessions, numbering and open-ended lookups need the rows of a key in time order.  A window over
-the key alone puts a key that holds a third of the table into one task.  Here a key with many rows
-is cut into slices of time; windows run inside a slice, and the little that crosses a slice border is
-carried over by a second, far smaller window over one row per slice.  The result is the same for
-any slicing.
+the key alone puts a key that holds a third of the table into one task.  Here every key is cut at fixed
+times; windows run inside a slice, and the little that crosses a slice border is carried over by a
+second window over one row per slice.  The result is the same for any width, and the plan is the same
+for any data.
 """
 
 from __future__ import annotations
@@ -14,28 +14,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlink.functions.times import floor_div
-
-# Rows that cannot take part (no key or no position) are spread over this many groups.
-SPARE_LANES = 1024
-SPARE_BASE = -(2**62)
+from eventlink.functions.times import HOUR, floor_div
 
 
 @dataclass(frozen=True)
 class Slicing:
-    """How to cut.
+    """``width`` of the slices in microseconds.
 
-    ``width`` (in units of the position, microseconds for times) cuts every key at fixed steps.
-    Without it only keys with more than ``rows`` rows are cut, in even steps of their own range.
-    Their sizes are estimated from one in ``one_in`` of the rows, chosen by a hash of the row's
-    content: a retried or repeated task chooses the same rows, and the choice decides where
-    to cut, never what comes out.  At most ``most_keys`` keys are cut, which bounds the broadcast.
+    An hour leaves a usual key few slices and cuts one that is busy for a month into 720.  What is carried
+    is one row per key and slice, so a width far below the usual distance of a key's rows only costs.
     """
 
-    rows: int = 2_000_000
-    one_in: int = 64
-    most_keys: int = 5_000
-    width: int | None = None
+    width: int = HOUR
+
+    def step(self, at: str) -> Column:
+        return floor_div(F.col(at), self.width)
 
 
 def all_set(*cols: str) -> Column:
@@ -45,93 +38,7 @@ def all_set(*cols: str) -> Column:
     return cond
 
 
-def sampled(df: DataFrame, how: Slicing, cols: list[str]) -> DataFrame:
-    """One in ``how.one_in`` of the rows, by a hash of the row's content."""
-    if how.one_in <= 1:
-        return df
-    return df.where(F.pmod(F.xxhash64(*cols), F.lit(how.one_in)) == 0)
-
-
-def large_keys(df: DataFrame, on: list[str], at: str, how: Slicing, spread: list[str] = ()):
-    """Keys worth cutting, with the origin and width of their slices."""
-    part = sampled(df.where(all_set(*on, at)), how, [*dict.fromkeys([*on, at, *spread])])
-    n = F.count(F.lit(1)) * how.one_in
-    sized = part.groupBy(*on).agg(n.alias("_n"), F.min(at).alias("_from"), F.max(at).alias("_to"))
-    steps = F.ceil(F.col("_n") / how.rows)
-    width = F.greatest(F.lit(1), F.ceil((F.col("_to") - F.col("_from") + 1) / steps)).cast("long")
-    return (
-        sized.where(F.col("_n") > how.rows)
-        .orderBy(F.desc("_n"), *on)
-        .limit(how.most_keys)
-        .select(*on, "_from", width.alias("_width"))
-    )
-
-
-def crowded_slices(rows: DataFrame, on: list[str], how: Slicing, width: int, fine: int):
-    """Slices with more than ``how.rows`` rows, and how to split them further.
-
-    ``rows`` has ``_slice``, ``_t``, ``_hash`` and ``_kind`` (1: observation).  A slice is split in
-    time into steps of at least ``fine``; if a step still has too many observations, they are dealt
-    into lanes.
-    """
-    most = max(1, width // fine)
-    step = floor_div(F.pmod("_t", F.lit(width)), fine)
-    n = F.count(F.lit(1)) * how.one_in
-    part = sampled(rows.where(all_set(*on, "_t")), how, ["_hash"])
-    sized = (
-        part.groupBy(*on, "_slice", step.alias("_fine"))
-        .agg(n.alias("_n"), (F.count_if(F.col("_kind") == 1) * how.one_in).alias("_obs"))
-        .groupBy(*on, "_slice")
-        .agg(F.sum("_n").alias("_n"), F.max("_obs").alias("_peak"))
-    )
-    pieces = F.ceil(F.col("_n") / how.rows)
-    steps = F.least(pieces, F.lit(most))
-    crowd = F.floor(F.col("_peak") * F.ceil(F.lit(most) / steps) / how.rows)
-    return (
-        sized.where(F.col("_n") > how.rows)
-        .orderBy(F.desc("_n"), *on, "_slice")
-        .limit(how.most_keys)
-        .select(
-            *on,
-            "_slice",
-            F.ceil(F.lit(width) / steps).cast("long").alias("_step"),
-            F.greatest(F.lit(1), F.least(crowd, pieces)).cast("long").alias("_lanes"),
-        )
-    )
-
-
-def with_slice(
-    df: DataFrame, on: list[str], at: str, how: Slicing, spread: list[str], sizes: DataFrame = None
-) -> DataFrame:
-    """Add ``_slice`` and ``_cut``.
-
-    ``_cut`` tells whether the key has more than one slice.  ``spread`` are columns that tell rows
-    apart.  ``sizes`` are the rows to judge the key sizes by, if not ``df`` itself.
-    """
+def apart(df: DataFrame, on: list[str], at: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with key and time, and the others, which need no window and no shuffle."""
     usable = all_set(*on, at)
-    if how.width is not None:
-        step = floor_div(F.col(at), how.width)
-        return df.withColumns(
-            {"_slice": F.when(usable, step).otherwise(spare_lane(spread)), "_cut": usable}
-        )
-    if sizes is None:
-        large = large_keys(df, on, at, how, spread)
-    else:
-        large = large_keys(sizes, on, at, how)
-    step = floor_div(F.col(at) - F.col("_from"), F.col("_width"))
-    step = F.coalesce(step, F.lit(0).cast("long"))
-    return (
-        df.join(F.broadcast(large), on, "left")
-        .withColumns(
-            {
-                "_slice": F.when(usable, step).otherwise(spare_lane(spread)),
-                "_cut": usable & F.col("_width").isNotNull(),
-            }
-        )
-        .drop("_from", "_width")
-    )
-
-
-def spare_lane(spread: list[str]) -> Column:
-    """Stands in for the slice of a row without key or position."""
-    return F.lit(SPARE_BASE) + F.pmod(F.xxhash64(*spread), F.lit(SPARE_LANES))
+    return df.where(usable), df.where(~usable)

@@ -63,7 +63,7 @@ def hour_slice(spark, sf):
 
 def day_slice(spark, sf):
     r = folders.with_hour(views.ref(spark, sf)).select("row_id", "k", "ts", "day", "hour")
-    return folders.day_slice(r, RUN_DAY)
+    return folders.day_slice(r, RUN_DAY, time="ts")
 
 
 def backfill_passthrough(spark, sf):
@@ -89,9 +89,12 @@ def bad_records(spark, sf):
 def decode_neighbours(spark, sf):
     c = F.col
     cells, rsrp = clean.neighbour_arrays(c("earfcn"), c("pci"), c("rsrp"))
-    df = views.neighbour_lines(spark, sf).select("l_orderkey", cells.alias("cells"), rsrp.alias("rsrp"))
+    bad = clean.neighbours_bad(c("earfcn"), c("pci"), c("rsrp"))
+    df = views.neighbour_lines(spark, sf)
+    df = df.select("l_orderkey", cells.alias("cells"), rsrp.alias("rsrp"), bad.alias("is_bad"))
     return df.select(
         "l_orderkey",
+        "is_bad",
         F.size("cells").cast("long").alias("n_cells"),
         *[c("cells")[i][f].alias(f"{f}_{i}") for i in (0, 1) for f in ("earfcn", "pci")],
         *[c("rsrp")[i].alias(f"rsrp_{i}") for i in (0, 1)],
@@ -189,8 +192,9 @@ def backfill_nearest_output(spark, sf):
 
 
 def backfill_nearest_carry(spark, sf):
-    how = sessions.Slicing(rows=1000)
-    return nearest.keep_or_fill(_nearest(spark, sf, carry=how), "id", "found")
+    """As ``backfill_nearest``, with slices far below the bound, so that most matches are carried."""
+    how = sessions.Slicing(width=views.HOUR_S * 100_000)
+    return nearest.keep_or_fill(_nearest(spark, sf, slicing=how), "id", "found")
 
 
 def backfill_nearest_days(spark, sf):
@@ -276,7 +280,7 @@ def coord_convert(spark, sf):
 # --- aggregations ---------------------------------------------------------------------------------
 
 
-def merge_neighbours(spark, sf):
+def _neighbours(spark, sf):
     li = views.table(spark, sf, "lineitem")
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     li = li.select(
@@ -286,6 +290,11 @@ def merge_neighbours(spark, sf):
         F.array(F.col("l_quantity").cast("int").cast("string")).alias("rsrp"),
         F.col("l_suppkey").alias("first_supp"),
     )
+    return li, order
+
+
+def merge_neighbours(spark, sf):
+    li, order = _neighbours(spark, sf)
     out = merge.merge_arrays(li, ["l_orderkey"], ["cells", "rsrp"], order, ["first_supp"])
     return out.select(
         "l_orderkey",
@@ -296,19 +305,20 @@ def merge_neighbours(spark, sf):
     )
 
 
-def _backfilled(spark, sf):
-    return jobs.backfill(
-        views.obs_raw(spark, sf),
-        views.ref_raw(spark, sf),
-        on=CONN,
-        bound=H12,
-        ref_range=(FIRST, LAST),
-    )
+def merge_neighbours_long(spark, sf):
+    li, order = _neighbours(spark, sf)
+    return merge.merge_arrays_long(li, ["l_orderkey"], ["cells", "rsrp"], order)
+
+
+def _backfilled(spark, sf, obs=None, **kw):
+    """On the job's own keys, site and connection."""
+    obs = views.obs_decoded(spark, sf) if obs is None else obs
+    return jobs.backfill(obs, views.ref_raw(spark, sf), bound=H12, ref_range=(FIRST, LAST), **kw)
 
 
 def quality_backfill(spark, sf):
-    raw = views.obs_raw(spark, sf).withColumn("is_bad", F.col("event_type").isNull())
-    return jobs.backfill_report(raw, views.ref_raw(spark, sf), _backfilled(spark, sf))
+    obs, ref = views.obs_decoded(spark, sf), views.ref_raw(spark, sf)
+    return jobs.backfill_report(obs, ref, _backfilled(spark, sf), ref_range=(FIRST, LAST))
 
 
 def _attached(obs, spark, sf, **kw):
@@ -317,8 +327,8 @@ def _attached(obs, spark, sf, **kw):
 
 
 def quality_location(spark, sf):
-    filled = _backfilled(spark, sf).drop("distance", "matched")
-    located = _attached(filled, spark, sf, crowd=None)
+    filled = folders.stored(_backfilled(spark, sf).drop("distance", "matched"), "filled")
+    located = _attached(filled, spark, sf)
     return jobs.location_report(filled, views.ref_raw(spark, sf), located)
 
 
@@ -330,15 +340,33 @@ def quality_sessions(spark, sf):
     return quality.session_counts(per, "n_rows", "matched")
 
 
+def id_totals(spark, sf):
+    return grouping.id_totals(group_by_id(spark, sf))
+
+
 def group_by_id(spark, sf):
     o = views.obs(spark, sf).select("row_id", "k", "ts")
     out = nearest.nearest_join(o, views.ref(spark, sf), ["k"], H12, {"id": "sub_id"}, tie="first")
     return grouping.group_by_id(out, "id", "ts")
 
 
+def _counted_refs(spark, sf):
+    """References with an id and with both keys."""
+    named = F.col("id").isNotNull() & (F.col("id") != ids.NULL_TEXT)
+    r = views.ref_raw(spark, sf).where(named & clean.no_sentinel("mme_ue_s1ap_id", "eci"))
+    return jobs.with_site(r)
+
+
 def refs_per_key(spark, sf):
-    r = jobs.with_site(views.ref_raw(spark, sf).where(clean.no_sentinel("mme_ue_s1ap_id", "eci")))
-    return grouping.rows_per_key(r, jobs.KEYS)
+    return grouping.rows_per_key(_counted_refs(spark, sf), jobs.KEYS)
+
+
+def refs_per_conn(spark, sf):
+    return grouping.rows_per_key(_counted_refs(spark, sf), CONN)
+
+
+def refs_total(spark, sf):
+    return grouping.rows_per_key(_counted_refs(spark, sf), [])
 
 
 def rows_per_key(spark, sf):
@@ -400,6 +428,40 @@ def job_backfill(spark, sf):
     return out.select("row_id", "ts", "mme_ue_s1ap_id", "id", "distance", "matched")
 
 
+def job_backfill_merged(spark, sf):
+    """Partial records merged, then joined."""
+    out = jobs.backfill_output(_backfilled(spark, sf, views.obs_parts(spark, sf), merge=True))
+    lists = [F.concat_ws(",", "nc_cells").alias("cells"), F.size("nc_rsrp").cast("long").alias("n_rsrp")]
+    return out.select("row_id", "ts", "mme_ue_s1ap_id", "id", "matched", "n_merged", *lists)
+
+
+def _written(spark, out, watch, name, take):
+    """The job's rows as its day and hour folders hold them, and its counters beside each row."""
+    path = folders.scratch_folder(spark, name)
+    at = F.when(F.col("ts") != times.NO_TIME_MS, F.timestamp_millis("ts"))
+    out = folders.with_hour(out.select(*take).withColumn("at", at), "at")
+    kinds = out.schema
+    jobs.write_run(out, path, salt=SALT, fmt="parquet")
+    back = spark.read.schema(kinds).parquet(path).drop("at")
+    counters = {"n_matched" if c == "matched" else c: n for c, n in watch.get.items()}
+    return back.select("*", *[F.lit(n).cast("long").alias(c) for c, n in counters.items()])
+
+
+def job_backfill_written(spark, sf):
+    """The whole backfill run: one pass over the join writes the rows and counts them."""
+    filled, watch = jobs.counted(_backfilled(spark, sf))
+    take = ["row_id", "ts", "id", "matched"]
+    return _written(spark, jobs.backfill_output(filled), watch, "backfill", take)
+
+
+def job_location_written(spark, sf):
+    """The whole location run, written and counted in one pass."""
+    located, watch = jobs.counted_locations(_attached(_delivered_ids(spark, sf), spark, sf))
+    out = jobs.location_output(located, XY_BOUNDS)
+    out = out.withColumns({c: F.round(c, 3) for c in ("x", "y")})
+    return _written(spark, out, watch, "location", ["row_id", "ts", "id", "lon", "lat", "x", "y"])
+
+
 def _positions(df):
     xy = [F.round(c, 3).alias(c) for c in ("x", "y")]
     return df.select("row_id", "ts", "id", "lon", "lat", *xy)
@@ -423,13 +485,13 @@ def _delivered_ids(spark, sf):
 
 def job_chain(spark, sf):
     out = jobs.chain(
-        views.obs_raw(spark, sf),
+        views.obs_decoded(spark, sf),
         views.ref_raw(spark, sf),
         views.ref_raw(spark, sf),
         views.grid(spark, sf),
         MERIDIAN,
         XY_BOUNDS,
-        dict(on=CONN, bound=H12, ref_range=(FIRST, LAST)),
+        dict(bound=H12, ref_range=(FIRST, LAST)),
         dict(bound=H12, distance=None),
     )
     return _positions(out)
@@ -477,11 +539,15 @@ QUERIES = {
         session_location,
         coord_convert,
         merge_neighbours,
+        merge_neighbours_long,
         quality_backfill,
         quality_location,
         quality_sessions,
         group_by_id,
+        id_totals,
         refs_per_key,
+        refs_per_conn,
+        refs_total,
         rows_per_key,
         word_count,
         word_totals,
@@ -492,7 +558,10 @@ QUERIES = {
         coord_system,
         project_xy,
         job_backfill,
+        job_backfill_merged,
+        job_backfill_written,
         job_location,
+        job_location_written,
         job_chain,
     )
 }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from eventlink.functions.ids import has_id, hashed_id, site_of
 from eventlink.functions.times import micros
 from eventlink.operators import quality as Q
-from eventlink.operators.clean import time_range, valid_location, valid_reference
+from eventlink.operators.clean import split_bad, time_range, valid_location, valid_reference
 from eventlink.operators.location import (
     LOCATION_BOUND,
     nearest_location,
@@ -20,7 +20,7 @@ from eventlink.operators.location import (
 )
 from eventlink.operators.merge import merge_arrays
 from eventlink.operators.nearest import keep_or_fill, nearest_join
-from eventlink.sources.folders import write_hours
+from eventlink.sources.folders import stored, write_hours
 
 # Defaults of the backfill job, in seconds and rows.
 BACKFILL_BOUND = 30
@@ -50,12 +50,14 @@ def backfill(
 ) -> DataFrame:
     """All observations with ``id`` filled in from the nearest reference, ``matched``, ``distance``.
 
+    Observations that could not be decoded (``is_bad``, where there is such a column) are left out.
     References need both times and an id, and a start within ``ref_range`` (inclusive) if that is given.
     Without references every observation passes with the id it has.
     """
     obs = decode_obs(obs)
+    if "is_bad" in obs.columns:
+        obs, _ = split_bad(obs)
     if merge:
-        nearest.setdefault("sizes", obs)
         rest = [c for c in obs.columns if c not in {*MERGE_KEYS, "nc_cells", "nc_rsrp"}]
         order = ["row_id"]
         obs = merge_arrays(obs, MERGE_KEYS, ["nc_cells", "nc_rsrp"], order, rest)
@@ -109,15 +111,14 @@ def location_output(located: DataFrame, xy_bounds) -> DataFrame:
 def chain(
     obs, ref, locations, grid, central_meridian, xy_bounds, backfill_args=None, location_args=None
 ) -> DataFrame:
-    """Backfill, then location, without writing in between.
+    """Backfill, then location.
 
-    The location join cuts its slices at fixed steps unless told otherwise: looking at the sizes would
-    run the backfill a second time.
+    The location join reads its observations twice (for their times and for the rows), so the filled ones
+    are a table of the scratch folder in between.
     """
-    location_args = {"crowd": None, **(location_args or {})}
     filled = backfill_output(backfill(obs, ref, **(backfill_args or {})))
-    filled = filled.drop("distance", "matched")
-    located = attach_location(filled, locations, grid, central_meridian, **location_args)
+    filled = stored(filled.drop("distance", "matched"), "filled")
+    located = attach_location(filled, locations, grid, central_meridian, **(location_args or {}))
     return location_output(located, xy_bounds)
 
 
@@ -125,12 +126,16 @@ def has_time(df: DataFrame, time: str = "ts") -> Column:
     return micros(df, time).isNotNull()
 
 
-def backfill_report(raw_obs, raw_ref, filled) -> DataFrame:
-    """Counters of a backfill run; ``raw_obs`` has a boolean ``is_bad``."""
+def backfill_report(raw_obs, raw_ref, filled, ref_time="start_ts", ref_range=(None, None)) -> DataFrame:
+    """Counters of a backfill run; ``raw_obs`` has a boolean ``is_bad``.
+
+    References are counted within the range that the run used.
+    """
+    in_range = time_range(raw_ref, ref_time, *ref_range)
     return Q.report(
         "backfill",
         obs=(raw_obs, Q.ok_bad("rows_ok", "rows_bad", F.col("is_bad"))),
-        ref=(raw_ref, Q.ok_bad("refs_ok", "refs_bad", ~valid_reference())),
+        ref=(in_range, Q.ok_bad("refs_ok", "refs_bad", ~valid_reference())),
         out=(
             filled,
             {
@@ -173,3 +178,10 @@ def counted(filled: DataFrame) -> tuple[DataFrame, Observation]:
     """Match counters of a run that are collected while its rows are written."""
     counters = Q.match_counts(F.col("matched"), has_time(filled))
     return Q.observed(filled, {"rows_merged": F.count(F.lit(1)), **counters})
+
+
+def counted_locations(located: DataFrame) -> tuple[DataFrame, Observation]:
+    """As :func:`counted`, for a location run."""
+    hits = Q.match_counts(F.col("lon").isNotNull(), has_time(located))
+    counters = {"rows_merged": F.count(F.lit(1)), **hits, **Q.conversion_counts()}
+    return Q.observed(located, counters)

@@ -89,16 +89,18 @@ XY = """
 
 IN_BOUNDS = "x between 500000 and 800000 and y between 2800000 and 3000000"
 
-# Backfill over the raw records: rows without a time cannot match.
+# Backfill over the raw records: rows without a time cannot match, rows without a type are not there.
 RAW_BEST = best(
-    H12, LATER, "obs_raw", "ref_raw", "o.mme_ue_s1ap_id = r.mme_ue_s1ap_id",
+    H12, LATER, "obs_raw", "ref_raw",
+    "o.mme_ue_s1ap_id = r.mme_ue_s1ap_id and o.eci // 256 = r.eci // 256",
     "o.ts * 1000", "r.start_ts * 1000",
     extra=f"""and o.ts <> -1 and r.start_ts <> -1 and r.end_ts <> -1 and r.id <> '\\N'
         and r.start_ts between (epoch_us({FIRST}) // 1000) and (epoch_us({LAST}) // 1000)""",
 )
 RAW_FILLED = """
     filled as (select o.* exclude (id), coalesce(b.hit, o.id) id, b.distance,
-        b.hit is not null matched from obs_raw o left join best b using (row_id))"""
+        b.hit is not null matched from obs_raw o left join best b using (row_id)
+        where o.event_type is not null)"""
 
 
 def located(source, gps="gps"):
@@ -139,6 +141,21 @@ SESSION_ROWS = """select row_id, k, ts, session_seq, session_pos from sess"""
 
 WORDS = r"""(select unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) word from documents)"""
 
+COUNTED_REFS = r"""(select * from ref_raw where mme_ue_s1ap_id <> 4294967295 and eci <> 4294967295
+    and id is not null and id <> '\N')"""
+
+MERGED = """
+    merged as (select ts, eci, mme_ue_s1ap_id, mme_group_id, mme_code, min(row_id) row_id,
+            arg_min(coalesce(id, chr(0)), row_id) id, string_agg(cell, ',' order by row_id) cells,
+            count(*) n_rsrp
+        from obs_parts group by all)"""
+
+HOURS = """case when ts <> -1 then strftime(make_timestamp(ts * 1000), '%Y%m%d') end "day",
+    case when ts <> -1 then strftime(make_timestamp(ts * 1000), '%H') end "hour\""""
+
+COUNTERS = """count(*) over () rows_merged, sum((hit)::int) over ()::bigint matched,
+    sum((ts <> -1 and not hit)::int) over ()::bigint unmatched, sum((ts = -1)::int) over ()::bigint no_time"""
+
 ORACLES = {
     "scan_delimited": sql("select row_id, k, (epoch_us(ts) // 1000) ts, id from obs", "obs"),
     "sink_roundtrip": sql(
@@ -170,7 +187,7 @@ ORACLES = {
     ),
     "decode_neighbours": """select l_orderkey, 2::bigint n_cells, l_partkey::int earfcn_0,
         l_linenumber::int pci_0, l_suppkey::int earfcn_1, (l_linenumber + 1)::int pci_1,
-        l_quantity rsrp_0, l_discount rsrp_1 from lineitem""",
+        l_quantity rsrp_0, l_discount rsrp_1, false is_bad from lineitem""",
     "basic_params": sql(
         """select ts, mme_ue_s1ap_id, coalesce(event_type, '') event_type, mme_code, eci,
         mme_group_id, coalesce(id, '') id from obs_raw""",
@@ -325,11 +342,16 @@ ORACLES = {
         from lineitem group by l_orderkey""".format(
         "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
     ),
+    "merge_neighbours_long": """select l_orderkey, row_number() over (partition by l_orderkey order by {0}) pos,
+        l_partkey::varchar cells, l_quantity::int::varchar rsrp from lineitem""".format(
+        "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
+    ),
     "quality_backfill": sql(
         f""", {RAW_BEST}, {RAW_FILLED}, o as (select count_if(event_type is not null) rows_ok,
             count_if(event_type is null) rows_bad from obs_raw),
         r as (select count_if(valid) refs_ok, count_if(not valid) refs_bad from (select
-            start_ts <> -1 and end_ts <> -1 and id <> '\\N' valid from ref_raw)),
+            coalesce(start_ts <> -1 and end_ts <> -1 and id <> '\\N', false) valid from ref_raw
+            where start_ts between (epoch_us({FIRST}) // 1000) and (epoch_us({LAST}) // 1000))),
         f as (select count(*) rows_merged, count_if(matched) matched,
             count_if(ts <> -1 and not matched) unmatched, count_if(ts = -1) no_time from filled)
         select rows_ok::bigint rows_ok, rows_bad::bigint rows_bad, rows_merged, refs_ok::bigint refs_ok,
@@ -342,8 +364,8 @@ ORACLES = {
         f""", {RAW_BEST}, {RAW_FILLED}, {located("filled")},
         o as (select count_if(coalesce(id, '') <> '') rows_ok, count_if(coalesce(id, '') = '') rows_bad
             from filled),
-        r as (select count_if(valid) refs_ok, count_if(not valid) refs_bad from (select start_ts <> -1
-            and end_ts <> -1 and id <> '' and lon <> 0 and lat <> 0 valid from ref_raw)),
+        r as (select count_if(valid) refs_ok, count_if(not valid) refs_bad from (select coalesce(start_ts <> -1
+            and end_ts <> -1 and id <> '' and lon <> 0 and lat <> 0, false) valid from ref_raw)),
         f as (select count(*) rows_merged, count_if(lon is not null) matched,
             count_if(ts <> -1 and lon is null) unmatched, count_if(ts = -1) no_time,
             count_if(coalesce(converted, false)) converted_ok, count_if(not coalesce(converted, true)) converted_bad
@@ -376,11 +398,20 @@ ORACLES = {
         "obs",
         "ref",
     ),
+    "id_totals": sql(
+        f""", {best(H12, ROW_ORDER, take="r.sub_id hit")} select count(b.hit) n_success,
+        count(*) - count(b.hit) n_fail, count(distinct b.hit) n_ids
+        from obs o left join best b using (row_id)""",
+        "obs",
+        "ref",
+    ),
     "refs_per_key": sql(
-        """select eci // 256 site, mme_ue_s1ap_id, count(*) n_rows from ref_raw
-        where mme_ue_s1ap_id <> 4294967295 and eci <> 4294967295 group by all""",
-        "ref_raw",
+        f"select eci // 256 site, mme_ue_s1ap_id, count(*) n_rows from {COUNTED_REFS} group by all", "ref_raw"
+    ),
+    "refs_per_conn": sql(
+        f"select mme_ue_s1ap_id, count(*) n_rows from {COUNTED_REFS} group by all", "ref_raw"
     ),
+    "refs_total": sql(f"select count(*) n_rows from {COUNTED_REFS}", "ref_raw"),
     "rows_per_key": sql(
         """select row_id, k, ts, row_number() over (partition by k order by ts, row_id) pos from obs""",
         "obs",
@@ -417,6 +448,43 @@ ORACLES = {
         "obs_raw",
         "ref_raw",
     ),
+    "job_backfill_merged": sql(
+        f""", {MERGED}, {best(
+            H12, LATER, "merged", "ref_raw",
+            "o.mme_ue_s1ap_id = r.mme_ue_s1ap_id and o.eci // 256 = r.eci // 256",
+            "o.ts * 1000", "r.start_ts * 1000",
+            extra=f"""and o.ts <> -1 and r.start_ts <> -1 and r.end_ts <> -1 and r.id <> '\\N'
+            and r.start_ts between (epoch_us({FIRST}) // 1000) and (epoch_us({LAST}) // 1000)""",
+        )}, named as (select m.*, b.hit, coalesce(b.hit, nullif(m.id, chr(0))) own
+            from merged m left join best b using (row_id))
+        select row_id, ts, mme_ue_s1ap_id, own id, hit is not null matched, n_rsrp n_merged, cells, n_rsrp
+        from named where coalesce(own, '') <> ''""",
+        "obs_raw",
+        "obs_parts",
+        "ref_raw",
+    ),
+    "job_backfill_written": sql(
+        f""", {RAW_BEST}, {RAW_FILLED}, counted as (select *, {COUNTERS}
+            from (select row_id, ts, id, matched hit from filled))
+        select row_id, ts, sha256('pepper' || id) id, hit matched, {HOURS}, rows_merged,
+            matched n_matched, unmatched, no_time
+        from counted where coalesce(id, '') <> ''""",
+        "obs_raw",
+        "ref_raw",
+    ),
+    "job_location_written": sql(
+        f""", {DELIVERED}, {located("delivered")}, {XY.format(source="located")},
+        counted as (select *, {COUNTERS}, sum(coalesce(converted, false)::int) over ()::bigint converted_ok,
+            sum((not coalesce(converted, true))::int) over ()::bigint converted_bad
+            from (select *, lon is not null hit from xy))
+        select row_id, ts, sha256('pepper' || id) id, lon, lat, round(x, 3) x, round(y, 3) y, {HOURS},
+            rows_merged, matched n_matched, unmatched, no_time, converted_ok, converted_bad
+        from counted where {IN_BOUNDS}""",
+        "ref",
+        "grid",
+        "obs_raw",
+        "ref_raw",
+    ),
     "job_location": sql(
         f", {DELIVERED}, {located('delivered')}, {XY.format(source='located')} {POSITIONS}",
         "ref",

@@ -85,6 +85,12 @@ def ref_day(spark, sf) -> DataFrame:
     )
 
 
+def _cell():
+    """A cell of one of 21 sites; neither the site nor the connection tells the other."""
+    site = F.col("user_id") % 7 * 3 + F.col("event_id") % 3
+    return site * 256 + F.col("event_id") % 256
+
+
 def obs_raw(spark, sf) -> DataFrame:
     """Observations as delivered: raw milliseconds, missing values as markers."""
     e = table(spark, sf, "events").where(F.col("event_type").isin(*OBS_TYPES))
@@ -95,12 +101,29 @@ def obs_raw(spark, sf) -> DataFrame:
         F.col("user_id").alias("mme_ue_s1ap_id"),
         F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_type"),
         (F.col("event_id") % 4).cast("int").alias("mme_code"),
-        (F.col("user_id") * 256 + F.col("event_id") % 256).alias("eci"),
+        _cell().alias("eci"),
         (F.col("event_id") % 3).cast("int").alias("mme_group_id"),
         _marked(35, F.lit(""), own).alias("id"),
     )
 
 
+def obs_decoded(spark, sf) -> DataFrame:
+    """As the decoder leaves them: a record without a type could not be decoded."""
+    return obs_raw(spark, sf).withColumn("is_bad", F.col("event_type").isNull())
+
+
+def obs_parts(spark, sf) -> DataFrame:
+    """Each decoded observation in two records with parts of its neighbour lists."""
+    parts = obs_decoded(spark, sf).withColumn("part", F.explode(F.array(F.lit(0), F.lit(1))))
+    number = (F.col("row_id") * 2 + F.col("part")).alias("row_id")
+    return parts.select(
+        number,
+        *[c for c in parts.columns if c not in ("row_id", "part")],
+        F.array((F.col("row_id") % 100 + F.col("part")).cast("string")).alias("nc_cells"),
+        F.array((F.col("row_id") % 50).cast("double")).alias("nc_rsrp"),
+    )
+
+
 def ref_raw(spark, sf) -> DataFrame:
     """Signalling and location references as delivered."""
     e = table(spark, sf, "events").where(F.col("event_type").isin(*REF_TYPES))
@@ -111,10 +134,12 @@ def ref_raw(spark, sf) -> DataFrame:
     return e.select(
         F.col("event_id").alias("row_id"),
         _marked(13, F.lit("\\N"), _marked(29, F.lit(""), sub)).alias("id"),
-        _marked(19, ones, F.col("user_id") * 256 + F.col("event_id") % 256).alias("eci"),
+        _marked(19, ones, _cell()).alias("eci"),
         _marked(31, ones, F.col("user_id")).alias("mme_ue_s1ap_id"),
         _marked(11, F.lit(-1), millis(e, "ts")).cast("long").alias("start_ts"),
-        _marked(37, F.lit(-1), millis(e, "ts") + 1000).cast("long").alias("end_ts"),
+        F.when(F.col("event_id") % 43 != 0, _marked(37, F.lit(-1), millis(e, "ts") + 1000))
+        .cast("long")
+        .alias("end_ts"),
         _lon().alias("lon"),
         _lat().alias("lat"),
         (F.col("event_id") % 4).cast("int").alias("locate_system"),
@@ -191,17 +216,21 @@ SQL = {
         case when event_id % 41 = 0 then -1 else (epoch_us(ts) // 1000) end ts,
         user_id mme_ue_s1ap_id,
         case when event_type <> 'error' then event_type end event_type,
-        (event_id % 4)::int mme_code, user_id * 256 + event_id % 256 eci,
+        (event_id % 4)::int mme_code, (user_id % 7 * 3 + event_id % 3) * 256 + event_id % 256 eci,
         (event_id % 3)::int mme_group_id,
         case when event_id % 35 = 0 then '' when event_id % 5 = 0 then 'own_' || event_id end id
         from events where event_type in ('view','click','error')""",
+    "obs_parts": """select row_id * 2 + part row_id, o.* exclude (row_id),
+        (row_id % 100 + part)::varchar cell, row_id % 50 rsrp
+        from obs_raw o, (values (0), (1)) p(part) where event_type is not null""",
     "ref_raw": f"""select event_id row_id,
         case when event_id % 13 = 0 then '\\N' when event_id % 29 = 0 then ''
              else 'u' || user_id || '_' || event_id % 2 end id,
-        case when event_id % 19 = 0 then 4294967295 else user_id * 256 + event_id % 256 end eci,
+        case when event_id % 19 = 0 then 4294967295 else (user_id % 7 * 3 + event_id % 3) * 256 + event_id % 256 end eci,
         case when event_id % 31 = 0 then 4294967295 else user_id end mme_ue_s1ap_id,
         case when event_id % 11 = 0 then -1 else (epoch_us(ts) // 1000) end start_ts,
-        case when event_id % 37 = 0 then -1 else (epoch_us(ts) // 1000) + 1000 end end_ts,
+        case when event_id % 43 = 0 then null when event_id % 37 = 0 then -1
+            else (epoch_us(ts) // 1000) + 1000 end end_ts,
         {_EVENT_LON} lon, {_EVENT_LAT} lat, (event_id % 4)::int locate_system
         from events where event_type in ('signup','purchase')""",
     "grid": """select s.system, cell_x, cell_y, -0.006::double dlon, -0.001::double dlat

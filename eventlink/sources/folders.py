@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 import uuid
 
@@ -78,12 +79,20 @@ def hour_slice(df: DataFrame, day: str, hour, advance_min: int = 20, later_min:
     return time_range(df, time, first, last) if time else df
 
 
-def day_slice(df: DataFrame, day: str | None = None, hour=None) -> DataFrame:
-    """The whole table, one day, or one hour of it."""
+def day_slice(df: DataFrame, day: str | None = None, hour=None, time: str | None = None) -> DataFrame:
+    """The whole table, one day, or one hour of it.
+
+    With ``time`` the same span is also asked of that column, as literals that reach the scan of a table
+    that is not partitioned by day.
+    """
     if day is not None:
         df = df.where(F.col("day") == day)
     if hour is not None:
         df = df.where(F.col("hour") == f"{int(hour):02d}")
+    if time and day is not None:
+        first = dt.datetime.strptime(day, "%Y%m%d") + dt.timedelta(hours=int(hour or 0))
+        size = dt.timedelta(days=1) if hour is None else dt.timedelta(hours=1)
+        df = time_range(df, time, first, first + size - dt.timedelta(microseconds=1))
     return df
 
 
@@ -113,11 +122,13 @@ def write_hours(df: DataFrame, path: str, fmt: str = "csv", by=("day", "hour"),
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder in the shared place that ``spark.checkpoint.dir`` names.
 
-    Only a local session may do without that setting: a folder of one machine is no use to a cluster.
+    A local session without that setting gets a checkpoint folder of its own, one for all its tables: a
+    folder of one machine is no use to a cluster.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="eventlink-")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventlink-"))
+        root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -10,26 +10,6 @@ SIGNALLING_FIELDS = [
     ("start_ts", "bigint"),
 ]
 
-LOCATION_FIELDS = [
-    ("id", "string"),
-    ("start_ts", "bigint"),
-    ("end_ts", "bigint"),
-    ("lon", "double"),
-    ("lat", "double"),
-    ("locate_system", "int"),
-]
-
-OBSERVATION_FIELDS = [
-    ("row_id", "bigint"),
-    ("ts", "bigint"),
-    ("mme_ue_s1ap_id", "bigint"),
-    ("event_type", "string"),
-    ("mme_code", "int"),
-    ("eci", "bigint"),
-    ("mme_group_id", "int"),
-    ("id", "string"),
-]
-
 GRID_FIELDS = [
     ("system", "string"),
     ("cell_x", "int"),

@@ -14,8 +14,10 @@ from tools.check_oracle import canonical  # noqa: E402
 
 from eventlink.operators.nearest import nearest_join, prev_next  # noqa: E402
 from eventlink.operators.sessions import sessionize  # noqa: E402
-from eventlink.operators.slicing import Slicing  # noqa: E402
-from eventlink.plans import views  # noqa: E402
+from eventlink.operators import session_joins  # noqa: E402
+from eventlink.plans import jobs, views  # noqa: E402
+from eventlink.plans.catalog import QUERIES  # noqa: E402
+from eventlink.plans.oracles import ORACLES  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -30,11 +32,12 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @needs_data
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     got = canonical(entry.queries()[name](spark, SF).toPandas())
     want = canonical(con.sql(entry.oracle_sql()[name]).df())
@@ -56,56 +59,76 @@ def count(pattern, text):
 
 
 @needs_data
-def test_nearest_is_one_shuffle_and_one_sort(spark):
-    obs, ref = views.obs(spark, SF), views.ref(spark, SF)
-    p = plan(spark, nearest_join(obs, ref, ["k"], 30, ["id"], crowd=None))
-    assert count(r"\bExchange hash", p) == 1 and count(r"\bSort \[", p) == 1
-    assert "unboundedfollowing" not in p
-    assert "PushedFilters: [In(event_type" in p
-    assert "props" not in p and "value" not in p
-
-
-@needs_data
-def test_size_look_reads_keys_only_and_is_bounded(spark):
+def test_nearest_has_one_plan(spark):
     obs, ref = views.obs(spark, SF), views.ref(spark, SF)
     p = plan(spark, nearest_join(obs, ref, ["k"], 30, ["id"]))
-    assert "TakeOrderedAndProject(limit=5000" in p
-    # The rows themselves are still shuffled once: key, slice and lane.
-    assert count(r"Exchange hashpartitioning\(k#\d+L, _slice#\d+L, _lane#\d+L", p) == 1
+    assert "unboundedfollowing" not in p and "TakeOrdered" not in p and "Generate" not in p and "xxhash64" not in p
+    assert "PushedFilters: [In(event_type" in p
+    assert all("props" not in x and "value" not in x for x in re.findall(r"ReadSchema: (.*)", p))
+    assert plan(spark, nearest_join(obs, ref, ["k"], 30, ["id"])).count("Exchange") == plan(
+        spark, nearest_join(obs, ref, ["k"], 10**6, ["id"])
+    ).count("Exchange")
 
 
 @needs_data
 def test_sessions_shuffle_rows_once(spark):
     df = sessionize(views.obs(spark, SF), ["k"], gap=30, cap=150)
     p = plan(spark, df)
-    # Once for the rows, once for the rows of cut keys (empty unless there are any).
-    assert count(r"Exchange hashpartitioning\(k#\d+L, _slice#\d+L", p) == 2
+    # Once for the rows, once for the keys, times and order that the carry is made of.
     assert count(r"\bSort \[k#\d+L ASC NULLS FIRST, _slice#\d+L ASC NULLS FIRST, _t", p) == 2
     assert "unboundedfollowing" not in p
 
 
-def test_heavy_key_is_cut(spark):
-    """A key with most of the rows comes out in many groups, all others in one."""
-    from eventlink.operators.slicing import with_slice
+@needs_data
+@pytest.mark.parametrize("join", ["session_nearest_start", "session_nearest_pair", "segment_last_in_window"])
+def test_session_joins_have_one_path(spark, join):
+    obs, ref = views.obs(spark, SF).select("row_id", "k", "ts"), views.ref(spark, SF)
+    p = plan(spark, getattr(session_joins, join)(obs, ref, ["k"], 3600, ["id"], gap=3600))
+    assert "TakeOrdered" not in p and "xxhash64" not in p and "unboundedfollowing" not in p
+
 
-    rows = spark.range(20_000).select(
-        F.when(F.col("id") % 10 < 7, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("_t")
+def test_a_reference_is_not_copied(spark):
+    """However long the bound and however many observations a key has at a time."""
+    obs = spark.range(40_000).select(
+        F.lit(1).alias("k"), (F.col("id") * 10).alias("ts"), F.col("id").alias("row_id")
+    )
+    ref = spark.range(2_000).select(
+        F.lit(1).alias("k"), (F.col("id") * 200).alias("ts"), F.col("id").alias("row_id"), F.lit("x").alias("id")
     )
-    cut = with_slice(rows, ["k"], "_t", Slicing(rows=1000, one_in=4), ["_t"])
-    sizes = cut.groupBy("k", "_slice").count().collect()
-    assert len([r for r in sizes if r.k == 0]) >= 13
-    assert max(r["count"] for r in sizes) < 1500
-    assert {r._slice for r in sizes if r.k != 0} == {0}
+    p = plan(spark, nearest_join(obs, ref, ["k"], 43_200, ["id"]))
+    assert "Generate" not in p and "Expand" not in p
+    assert nearest_join(obs, ref, ["k"], 43_200, ["id"]).where("id is null").count() == 0
 
 
-def test_one_crowded_instant_is_dealt_into_lanes(spark):
-    """All rows of a key at one instant: time cannot split them, lanes do, and the matches stand."""
+def test_one_crowded_instant_is_dealt_out(spark):
+    """All rows of a key at one instant: the lookup is made once and joined back to all of them."""
     obs = spark.range(4_000).select(
         F.lit(1).alias("k"), F.lit(100_000).cast("long").alias("ts"), F.col("id").alias("row_id")
     )
     ref = spark.createDataFrame([(1, 101_000, 0, "a")], "k int, ts long, row_id long, id string")
-    crowd = Slicing(rows=500, one_in=1)
-    out = nearest_join(obs, ref, ["k"], 30, ["id"], crowd=crowd)
-    assert out.where("id = 'a'").count() == 4_000
-    look = prev_next(obs, ref, ["k"], ["id"], slicing=crowd)
+    assert nearest_join(obs, ref, ["k"], 30, ["id"]).where("id = 'a'").count() == 4_000
+    look = prev_next(obs, ref, ["k"], ["id"])
     assert look.where("next_id = 'a' and prev_id is null").count() == 4_000
+
+
+@needs_data
+@pytest.mark.parametrize("dropped", jobs.KEYS)
+def test_both_key_columns_tell(spark, dropped):
+    """Without either of them the composite-key join comes out differently."""
+    full = QUERIES["nearest_composite_key"](spark, SF).select("row_id", "ref_row")
+    o = jobs.with_site(views.obs_raw(spark, SF))
+    r = views.ref_raw(spark, SF).where("mme_ue_s1ap_id <> 4294967295 and eci <> 4294967295 and id <> '\\\\N'")
+    rest = [k for k in jobs.KEYS if k != dropped]
+    part = nearest_join(
+        o, jobs.with_site(r), rest, 43_200, {"ref_row": "row_id"}, ref_time="start_ts", tie="first"
+    ).select("row_id", "ref_row")
+    assert full.exceptAll(part).count() > 0
+
+
+@needs_data
+def test_report_counts_add_up(spark):
+    one = QUERIES["quality_backfill"](spark, SF).head()
+    assert one.rows_ok + one.rows_bad == views.obs_raw(spark, SF).count() and one.rows_bad > 0
+    assert one.rows_merged <= one.rows_ok
+    whole = QUERIES["quality_location"](spark, SF).head()
+    assert whole.refs_ok + whole.refs_bad == views.ref_raw(spark, SF).count()

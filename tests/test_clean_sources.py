@@ -35,6 +35,20 @@ def test_neighbour_arrays(spark):
     r = df.select(cells.alias("cells"), rsrp.alias("rsrp")).head()
     assert [tuple(c) for c in r.cells] == [(1, 3), (2, None)] and r.rsrp == [-80.5, None]
     assert df.select(clean.number_list(F.lit("")).alias("x")).head().x == []
+    lists = [("1;2", "3;4", "-80.5"), ("1;x", "3;4", "-80.5"), ("", "", ""), ("1", "2", "-80.5;"), (None, "1", "1")]
+    df = spark.createDataFrame(lists, "a string, b string, c string")
+    bad = df.select(clean.neighbours_bad(F.col("a"), F.col("b"), F.col("c")).alias("bad"))
+    assert [r.bad for r in bad.collect()] == [False, True, False, True, False]
+
+
+def test_day_slice_asks_the_scan(spark, tmp_path):
+    at = F.timestamp_seconds(F.lit(1705276800) + F.col("id") * 3600).cast("timestamp_ntz")  # 2024-01-15 on
+    spark.range(48).select(at.alias("at")).write.parquet(str(tmp_path / "t"))
+    df = folders.with_hour(spark.read.parquet(str(tmp_path / "t")), "at")
+    one = folders.day_slice(df, "20240115", time="at")
+    assert one.count() == 24 and folders.day_slice(df, "20240116", 5, time="at").count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(at,2024-01-15T00:00)" in plan
 
 
 def test_filters(spark):
@@ -128,18 +142,35 @@ def test_load_grid_and_stored(spark, tmp_path):
     ]
 
 
-def test_merge_arrays_in_parts(spark):
+def test_merge_arrays(spark):
     data = [(g, i, [f"{g}-{i}"], f"s{i}") for g, n in (("big", 50), ("small", 2)) for i in range(n)]
     df = spark.createDataFrame(data, "g string, pos int, a array<string>, s string").repartition(5)
-    whole = rows(merge.merge_arrays(df, ["g"], ["a"], ["pos"], ["s"]), "g", "part")
+    whole = rows(merge.merge_arrays(df, ["g"], ["a"], ["pos"], ["s"]), "g")
     assert whole == [
-        ("big", 0, "s0", [f"big-{i}" for i in range(50)], 50),
-        ("small", 0, "s0", ["small-0", "small-1"], 2),
+        ("big", "s0", [f"big-{i}" for i in range(50)], 50),
+        ("small", "s0", ["small-0", "small-1"], 2),
     ]
-    parts = Slicing(rows=20, one_in=1)
-    cut = rows(merge.merge_arrays(df, ["g"], ["a"], ["pos"], ["s"], parts=parts), "g", "part")
-    assert [r[1] for r in cut] == [0, 1, 2, 0]
-    assert [x for r in cut[:3] for x in r[3]] == [f"big-{i}" for i in range(50)]
+    long = rows(merge.merge_arrays_long(df, ["g"], ["a"], ["pos"]), "g", "pos")
+    assert long == [(g, i + 1, f"{g}-{i}") for g, n in (("big", 50), ("small", 2)) for i in range(n)]
+
+
+def test_merge_arrays_is_one_row_per_group(spark):
+    """Many groups of equal size, their rows at two order values only."""
+    df = spark.range(300 * 4_000).select(
+        (F.col("id") % 300).alias("g"),
+        (F.col("id") % 7 % 2).alias("at"),
+        F.col("id").alias("row"),
+        F.array(F.col("id")).alias("a"),
+    )
+    out = merge.merge_arrays(df, ["g"], ["a"], ["at", "row"]).select("g", F.size("a").alias("n"))
+    assert {(r.g, r.n) for r in out.collect()} == {(g, 4_000) for g in range(300)}
+    assert out.count() == 300
+
+
+def test_long_merge_of_uneven_lists(spark):
+    df = spark.createDataFrame([(1, 2, ["c"], [3]), (1, 1, ["a", "b"], [1]), (2, 1, [], [])], "g int, at int, a array<string>, b array<int>")
+    got = rows(merge.merge_arrays_long(df, ["g"], ["a", "b"], ["at"], Slicing(width=1000)), "g", "pos")
+    assert got == [(1, 1, "a", 1), (1, 2, "b", None), (1, 3, "c", 3)]
 
 
 def test_words(spark):

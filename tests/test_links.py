@@ -13,7 +13,7 @@ from eventlink.operators.slicing import Slicing
 
 SLICINGS = {
     "default": Slicing(),
-    "cut_large": Slicing(rows=7, one_in=1),
+    "whole": Slicing(width=10**12),
     "fine": Slicing(width=3_000_000),
     "finer_than_gap": Slicing(width=700_000),
 }
@@ -75,16 +75,9 @@ def test_number_rows(obs, name):
 
 
 @pytest.mark.parametrize("tie", ["later", "earlier", "first"])
-@pytest.mark.parametrize("how", ["copy", "narrow", "lanes", "default", "cut_large", "finer_than_gap"])
-def test_nearest_join(obs, ref, tie, how):
-    kw = {}
-    if how == "narrow":
-        kw.update(slice_width=0.9, crowd=None)
-    elif how == "lanes":
-        kw["crowd"] = Slicing(rows=2, one_in=1)
-    elif how in SLICINGS:
-        kw["carry"] = SLICINGS[how]
-    df = N.nearest_join(obs, ref, ["k"], 3, ["id"], tie=tie, **kw)
+@pytest.mark.parametrize("name", SLICINGS)
+def test_nearest_join(obs, ref, tie, name):
+    df = N.nearest_join(obs, ref, ["k"], 3, ["id"], tie=tie, slicing=SLICINGS[name])
     assert got(df, "id") == named(models.nearest(OBS, REF, 3000, tie))
 
 
@@ -109,10 +102,10 @@ def test_prev_next(obs, ref, name):
 
 
 @pytest.mark.parametrize(
-    "name, cap", [("default", None), ("default", 3), ("cut_large", 3), ("fine", 3), ("fine", None)]
+    "name, cap", [("default", None), ("default", 3), ("whole", 3), ("fine", 3), ("fine", None)]
 )
 def test_session_joins(obs, ref, name, cap):
-    kw = dict(gap=2, cap=cap, slicing=SLICINGS[name], slice_width=2)
+    kw = dict(gap=2, cap=cap, slicing=SLICINGS[name])
     start = S.session_nearest_start(obs, ref, ["k"], 3, ["id"], **kw)
     assert got(start, "id") == named(models.session_start(OBS, REF, 2000, cap, 3000))
     pair = S.session_nearest_pair(obs, ref, ["k"], 3, ["id"], **kw)

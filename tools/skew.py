@@ -52,25 +52,16 @@ def main(folder, millions, only):
     make(spark, f"{folder}/ref{millions}", n // 2, 10)
     obs = spark.read.parquet(f"{folder}/obs{millions}").withColumnRenamed("id", "own")
     ref = spark.read.parquet(f"{folder}/ref{millions}")
-    fine, none = Slicing(rows=500_000), Slicing(rows=10**12)
+    whole = Slicing(width=10**16)
     runs = {
-        "nearest 30s, default slices": lambda: nearest_join(obs, ref, ["k"], 30, ["id"]),
-        "nearest 30s, one slice per key": lambda: nearest_join(
-            obs, ref, ["k"], 30, ["id"], slice_width=10**9, crowd=None
-        ),
-        "nearest 12h, default slices": lambda: nearest_join(
-            obs, ref, ["k"], 43200, ["id"], crowd=fine
-        ),
-        "nearest 12h, carry": lambda: nearest_join(obs, ref, ["k"], 43200, ["id"], carry=fine),
-        "nearest 12h, one slice per key": lambda: nearest_join(
-            obs, ref, ["k"], 43200, ["id"], slice_width=10**9, crowd=None
-        ),
-        "prev/next, cut keys": lambda: prev_next(obs, ref, ["k"], ["id"], slicing=fine),
-        "sessions, cut keys": lambda: sessionize(obs, ["k"], gap=30, cap=150, slicing=fine),
-        "sessions, keys whole": lambda: sessionize(obs, ["k"], gap=30, cap=150, slicing=none),
-        "session start, cut keys": lambda: session_nearest_start(
-            obs, ref, ["k"], 30, ["id"], slicing=fine
-        ),
+        "nearest 30s, slices": lambda: nearest_join(obs, ref, ["k"], 30, ["id"]),
+        "nearest 30s, one slice per key": lambda: nearest_join(obs, ref, ["k"], 30, ["id"], slicing=whole),
+        "nearest 12h, slices": lambda: nearest_join(obs, ref, ["k"], 43200, ["id"]),
+        "nearest 12h, one slice per key": lambda: nearest_join(obs, ref, ["k"], 43200, ["id"], slicing=whole),
+        "prev/next, slices": lambda: prev_next(obs, ref, ["k"], ["id"]),
+        "sessions, slices": lambda: sessionize(obs, ["k"], gap=30, cap=150),
+        "sessions, keys whole": lambda: sessionize(obs, ["k"], gap=30, cap=150, slicing=whole),
+        "session start, slices": lambda: session_nearest_start(obs, ref, ["k"], 30, ["id"]),
     }
     nearest_join(obs.where("k = 7"), ref.where("k = 7"), ["k"], 30, ["id"]).count()  # warm up
     for name, run in runs.items():
