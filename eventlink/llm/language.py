@@ -54,19 +54,28 @@ class Languages:
         return known, rows[at[known]]
 
 
-def word_grams(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[list[np.ndarray]]:
-    """For each word its n-grams: hashes by place for n = 1..LONGEST, of the word between two spaces."""
-    out = []
-    for a, b in zip(starts.tolist(), ends.tolist()):
-        chars = np.array([32, *map(ord, buf[a:b].tobytes().decode().lower()), 32], np.uint64)
-        rows, h = [], np.zeros(len(chars), np.uint64)
-        for n in range(1, LONGEST + 1):
-            if len(chars) < n:
-                break
-            h = h[: len(chars) - n + 1] * np.uint64(0x100000001B3) + chars[n - 1 :] + np.uint64(1)
-            rows.append(h)
-        out.append(rows)
-    return out
+def word_grams(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """Character n-grams of words, each word with a space before and after it.
+
+    Returns the word of each place and, for n = 1..LONGEST, the n-grams' hashes and whether there is one.
+    """
+    listed = [buf[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
+    text = (b" " + b" ".join(listed) + b" ").decode().lower()
+    chars = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    space = chars == 32
+    gaps = np.flatnonzero(space)
+    owner = np.cumsum(space)[:-1] - 1 if listed else np.empty(0, int)
+    chars, space = (chars, space) if listed else (chars[:0], space[:1])
+    end = gaps[owner + 1] if listed else np.empty(0, int)
+    place = np.arange(len(owner))
+    rows, h = [], np.zeros(len(chars), np.uint64)
+    for n in range(1, LONGEST + 1):
+        h = h[: max(len(chars) - n + 1, 0)] * np.uint64(0x100000001B3) + chars[n - 1 :] + np.uint64(1)
+        here = np.zeros(len(owner), np.uint64)
+        m = min(len(owner), len(h))
+        here[:m] = h[:m]
+        rows.append((here, (place + n - 1 <= end) & (~space[:-1] if n == 1 else True)))
+    return owner, rows
 
 
 def _distinct(part: pa.Array):
@@ -83,26 +92,20 @@ def word_scores(model: Languages, buf, starts, ends, hashes) -> np.ndarray:
     known, rows = model.look(0, hashes)
     out[known] = rows
     unseen = np.flatnonzero(~known)
-    grams = word_grams(buf, starts[unseen], ends[unseen])
-    sizes = np.array([len(g[0]) for g in grams], int)
-    owner = np.repeat(np.arange(len(unseen)), sizes)
-    begin = np.cumsum(sizes) - sizes
+    if not len(unseen):
+        return out
+    owner, grams = word_grams(buf, starts[unseen], ends[unseen])
     open_ = np.ones(len(owner), bool)  # places of the unseen words that no n-gram has explained yet
     own = np.zeros((len(unseen), len(model.names)))
-    used = np.zeros(len(unseen))
     for n in range(LONGEST, 0, -1):
-        have = [i for i, g in enumerate(grams) if len(g) >= n]
-        if not have:
-            continue
-        h = np.concatenate([grams[i][n - 1] for i in have])
-        place = np.concatenate([np.arange(begin[i], begin[i] + len(grams[i][n - 1])) for i in have])
-        ask = open_[place]
-        h, place = h[ask], place[ask]
-        hit, rows = model.look(n, h)
+        h, there = grams[n - 1]
+        place = np.flatnonzero(there & open_)
+        hit, rows = model.look(n, h[place])
         place = place[hit]
         open_[place] = False
-        np.add.at(own, owner[place], rows)
-        used += np.bincount(owner[place], minlength=len(unseen))
+        for k in range(len(model.names)):
+            own[:, k] += np.bincount(owner[place], rows[:, k], len(unseen))
+    used = np.bincount(owner[~open_], minlength=len(unseen))
     out[unseen] = own / np.maximum(used, 1)[:, None]  # a word weighs as much as its mean n-gram
     return out
 
@@ -115,19 +118,16 @@ def _count(part: pa.Array, langs: pa.Array) -> pa.RecordBatch:
     lang = np.array([lang_of[n] for n in names], int)
     table = np.zeros((len(own), len(lang_of)), np.int64)
     np.add.at(table, (which, lang[doc]), 1)
-    grams = word_grams(buf, starts, ends)
+    owner, grams = word_grams(buf, starts, ends)
     cols: dict[str, list] = {"lang": [], "size": [], "gram": [], "n": []}
     for name, k in lang_of.items():
         weight = table[:, k]
         some = np.flatnonzero(weight)
         sets = [(0, own[some], weight[some])]
-        for n in range(1, LONGEST + 1):
-            have = [i for i in some.tolist() if len(grams[i]) >= n]
-            if have:
-                h = np.concatenate([grams[i][n - 1] for i in have])
-                w = np.repeat(weight[have], [len(grams[i][n - 1]) for i in have])
-                u, inverse = np.unique(h, return_inverse=True)
-                sets.append((n, u, np.bincount(inverse, w, len(u)).astype(np.int64)))
+        for n, (h, there) in enumerate(grams, 1):
+            at = np.flatnonzero(there & (weight[owner] > 0))
+            u, inverse = np.unique(h[at], return_inverse=True)
+            sets.append((n, u, np.bincount(inverse, weight[owner[at]], len(u)).astype(np.int64)))
         for n, h, w in sets:
             cols["lang"] += [name] * len(h)
             cols["size"].append(np.full(len(h), n, np.int32))
