@@ -371,16 +371,13 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", n_chars:
         ),
         lambda acc: F.concat(acc["done"], whole.substr((acc["at"] + 1).cast("int"), F.char_length(whole))),
     )
-    new = F.when(F.size(spans) > 0, built).otherwise(whole)
-    cols = []
-    for c in docs.columns:
-        if c == text:
-            cols.append(new.alias(c))
-        elif c == n_chars:
-            cols.append(F.when(F.size(spans) > 0, F.char_length(built)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
-        else:
-            cols.append(F.col(c))
-    return found.select(*cols)
+    new = fresh(docs, "_redacted")
+    found = found.withColumn(new, F.when(F.size(spans) > 0, built).otherwise(whole))
+    put = {text: F.col(new)}
+    if n_chars in docs.columns:
+        size = F.when(F.size(spans) > 0, F.char_length(new)).otherwise(F.col(n_chars))
+        put[n_chars] = size.cast(docs.schema[n_chars].dataType)
+    return found.select(*[put[c].alias(c) if c in put else F.col(c) for c in docs.columns])
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:
