@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from eventlink.llm import decontaminate, katz, language, licenses, minhash, packing, quality, secrets, suffix_dedup, topk
+from eventlink.llm import (
+    decontaminate,
+    katz,
+    language,
+    licenses,
+    minhash,
+    oracles,
+    packing,
+    quality,
+    secrets,
+    suffix_dedup,
+    topk,
+)
 from eventlink.llm.common import table
 
 
@@ -61,5 +73,8 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op1_decontamination": decontaminate.ORACLE,
+    "op4_secret_scan": oracles.SECRETS,
     "op5_exact_topk": topk.ORACLE,
+    "op8_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op10_license_scan": oracles.LICENSES,
 }

@@ -148,7 +148,7 @@ def scan_licenses(
     def found(w):
         some = F.filter(
             F.transform(candidates(w), lambda c: judged(w, c)),
-            lambda p: p["key"] & (p["share"] >= F.when(p["base"], F.lit(1.0)).otherwise(F.lit(SHARE))),
+            lambda p: p["key"] & (~p["base"] | (p["start"] >= 0)) & (p["share"] >= F.when(p["base"], F.lit(1.0)).otherwise(F.lit(SHARE))),
         )
         none = F.slice(some, 1, 0)
         places = F.when(F.arrays_overlap(w, index), some).otherwise(none)
@@ -182,5 +182,5 @@ def license_report(docs: DataFrame) -> DataFrame:
         F.array_max(starts).alias("last_word"),
         labels(base).alias("base_labels"),
         labels(F.col("places")).alias("labels"),
-        F.col("share").alias("score"),
+        F.round("share", 6).alias("score"),
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 import corpus_pipeline  # noqa: E402
+from tools.check_oracle import canonical  # noqa: E402
 
 from eventlink.llm import (  # noqa: E402
     decontaminate,
@@ -85,10 +86,8 @@ def test_sql(spark, name):
     con = duckdb.connect()
     for f in os.listdir(SF):
         con.execute(f"create view {f.split('.')[0]} as select * from '{SF}/{f}'")
-    got, want = QUERIES[name](spark, SF).toPandas(), con.sql(ORACLES[name]).df()
-    cols = sorted(want.columns)
-    assert sorted(got.columns) == cols and len(got)
-    got, want = (d[cols].sort_values(cols).reset_index(drop=True).astype(str) for d in (got, want))
+    got, want = canonical(QUERIES[name](spark, SF).toPandas()), canonical(con.sql(ORACLES[name]).df())
+    assert list(got.columns) == list(want.columns) and len(got)
     assert got.equals(want)
 
 
