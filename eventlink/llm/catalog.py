@@ -73,6 +73,7 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op1_decontamination": decontaminate.ORACLE,
+    "op2_suffix_dedup": oracles.REPEATS,
     "op4_secret_scan": oracles.SECRETS,
     "op5_exact_topk": topk.ORACLE,
     "op8_near_duplicates": oracles.NEAR_DUPLICATES,

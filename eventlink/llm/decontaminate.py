@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlink.llm.common import bit_table, fresh, let, maybe_broadcast, words
+from eventlink.llm.common import bit_table, fresh, let, maybe_broadcast, saved, words
 
 WINDOW = 13
 SHINGLE = 5
@@ -88,12 +88,13 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, text: str = "text", windo
     # how often the documents have each shingle of the benchmark; only those that pass the bits are counted
     table = bit_table(shingles, stats["n"])
     seen = base.select(F.explode(let(F.col("w"), lambda w: _hits(w, sizes, table, lambda i, h: h))).alias("h"))
-    seen = seen.groupBy("h").agg(F.count("*").alias("freq"))
+    seen = saved(seen.groupBy("h").agg(F.count("*").alias("freq")), "frequencies")
     ranked = shingles.join(maybe_broadcast(shingles.select("h").distinct().join(seen, "h"), stats["n"], BROADCAST_WINDOWS), "h")
     prefix = ranked.groupBy("win").agg(F.min(F.struct("freq", "h", "pos")).alias("best"), F.first("items").alias("items"), F.count("*").alias("n"))
     # a window with a shingle that no document has can't occur
     whole = F.greatest(F.size("win") - (size - 1), F.lit(1))
-    prefix = prefix.where(F.col("n") == whole).select("win", "items", "best.h", "best.pos").persist()
+    prefix = prefix.where(F.col("n") == whole).select("win", "items", "best.h", "best.pos")
+    prefix = saved(prefix, "prefixes")
     n = prefix.count()
     table = bit_table(prefix.select("h"), n)
     back, reach = window - 1, 2 * window

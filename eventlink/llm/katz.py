@@ -26,8 +26,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from eventlink.llm.common import SOLID_BYTE, crc_mod, maybe_broadcast, mix, pieces, raw, saved, texts_of, tokens
 
 #: Bytes of text in a block, tokens counted in a bucket.
-BLOCK_BYTES = 16 << 20
-BUCKET_TOKENS = 4_000_000
+BLOCK_BYTES = 8 << 20
+BUCKET_TOKENS = 2_000_000
 #: Counts up to this are discounted.
 LOW = 5
 #: A small share of each history's count is kept back, so that none is closed to unseen words.

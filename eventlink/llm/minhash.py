@@ -188,7 +188,8 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: f
     reps = saved(worded.groupBy("norm").agg(first, F.any_value("bands").alias("bands")), "representatives")
     each = reps.select("norm", F.explode("bands").alias("band"))
     hub = [F.min(F.struct(F.xxhash64("norm", "band", F.lit(j)), "norm"))["norm"].alias(f"h{j}") for j in range(HUBS + 1)]
-    buckets = each.groupBy("band").agg(F.count("*").alias("n"), *hub).where("n > 1")
+    # a join with a table, not with an aggregation, can split a crowded bucket
+    buckets = saved(each.groupBy("band").agg(F.count("*").alias("n"), *hub).where("n > 1"), "buckets")
     met = saved(
         each.join(buckets, "band").select("norm", F.explode(F.array(*[
             F.struct(F.lit(j).alias("j"), F.col(f"h{j}").alias("hub")) for j in range(HUBS + 1)

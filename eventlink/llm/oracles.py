@@ -94,5 +94,27 @@ def _licenses() -> str:
     FROM doc LEFT JOIN per USING (rid)"""
 
 
+#: Every 400-byte string of every text by a 64-bit hash; what is left is put together in hexadecimal.
+REPEATS = """
+    WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+    place AS (SELECT rid, b, unnest(range(1, greatest(octet_length(b) - 398, 1))) AS i FROM doc),
+    twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY h) AS k FROM (
+      SELECT rid, i, hash(b[i:i + 399]) AS h FROM place)) WHERE k > 1),
+    run AS (
+      SELECT rid, min(i) AS a, max(i) + 400 AS z FROM (
+        SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS r FROM (
+          SELECT rid, i, CASE WHEN i > lag(i) OVER (PARTITION BY rid ORDER BY i) + 400 THEN 1 ELSE 0 END AS fresh FROM twice))
+      GROUP BY rid, r),
+    piece AS (
+      SELECT rid, a, z, substr(hex(b), 2 * lag(z, 1, 1) OVER (PARTITION BY rid ORDER BY a) - 1,
+        2 * (a - lag(z, 1, 1) OVER (PARTITION BY rid ORDER BY a))) AS kept
+      FROM run JOIN doc USING (rid)),
+    cut AS (
+      SELECT rid, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(z) AS z, string_agg(kept, '' ORDER BY a) AS kept
+      FROM piece GROUP BY rid)
+    SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+      sha256(CASE WHEN z IS NULL THEN b ELSE unhex(kept || substr(hex(b), 2 * z - 1)) END) AS kept_sha256
+    FROM doc LEFT JOIN cut USING (rid)"""
+
 SECRETS = _secrets()
 LICENSES = _licenses()

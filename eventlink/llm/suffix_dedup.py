@@ -307,6 +307,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piec
     runs = saved(found.select("id", "print", F.inline("runs")), "contexts")
     grams = runs.groupBy("h").agg(F.count("*").alias("times"), F.min("c").alias("one"), F.max("c").alias("other"))
     grams = grams.where("times > 1").select("h", (F.col("one") == F.col("other")).alias("alike"))
+    grams = saved(grams, "grams")  # a join with a table, not with an aggregation, can split a frequent gram
     again = saved(runs.join(grams, "h"), "repeated")
     # contexts of grams that have several: one of each goes to the sort
     mixed = again.where(~F.col("alike"))
@@ -316,7 +317,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piec
     keys = kinds.groupBy(F.col("f.id").alias("id"), F.col("f.print").alias("print")).agg(cut)
     parts = _with_text(keys, docs).select(F.encode("text", "UTF-8").alias("raw"), F.inline("cuts"))
     parts = parts.select("h", "c", "off", "n", F.expr(f"substring(raw, cast(s + 1 as int), n - 1 + {length})").alias("ctx"))
-    many = kinds.groupBy("h").agg(F.ceil(F.count("*") / piece).cast("int").alias("salts"))
+    many = saved(kinds.groupBy("h").agg(F.ceil(F.count("*") / piece).cast("int").alias("salts")), "salts")
     dealt = parts.join(many, "h").withColumn("salt", F.pmod("c", F.col("salts")))
     dealt = dealt.select("h", "salt", "salts", "c", "off", "n", "ctx").repartition("h", "salt")
     sorted_ = saved(dealt.sortWithinPartitions("h", "salt").mapInArrow(_sorter(length), SORTED), "sorted")
@@ -328,7 +329,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piec
     )
     whole = kinds.where("times > 1").select("h", "c", F.array(F.struct(F.lit(0).alias("a"), (F.col("f.n") - 1).alias("b"))).alias("spans"))
     marks = sorted_.where(F.size("spans") > 0).select("h", "c", "spans").unionByName(across).unionByName(whole)
-    marks = marks.groupBy("h", "c").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    marks = saved(marks.groupBy("h", "c").agg(F.flatten(F.collect_list("spans")).alias("spans")), "marks")
     hit = mixed.join(marks, ["h", "c"]).select("id", "print", "s", F.inline("spans"))
     hit = hit.select("id", "print", (F.col("s") + F.col("a")).alias("a"), (F.col("s") + F.col("b") + length).alias("b"))
     sure = again.where("alike").select("id", "print", F.col("s").alias("a"), (F.col("s") + F.col("n") - 1 + length).alias("b"))
