@@ -62,13 +62,16 @@ def _hits(w: Column, sizes: list[int], passes, make) -> Column:
     """``make(i, h)`` for all places i of a text's words whose shingle h passes the bit table."""
 
     def of(size):
-        pairs = F.transform(_places(w, size), lambda i: F.struct(i.alias("i"), _shingle(w, i, size).alias("h")))
-        return F.transform(F.filter(pairs, lambda p: passes(p["h"])), lambda p: make(p["i"], p["h"]))
+        both = lambda i: F.struct(i.alias("i"), _shingle(w, i, size).alias("h"))
+        hits = F.filter(F.transform(_places(w, size), both), lambda p: passes(p["h"]))
+        return F.transform(hits, lambda p: make(p["i"], p["h"]))
 
     return F.concat(*[of(s) for s in sizes])
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, keep=("doc_id",)):
+def occurrences(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, keep=("doc_id",)
+) -> DataFrame:
     """One row for each document and each verified place of a window, and one more for each document.
 
     Columns: ``keep``, ``print`` (hash of the text), n_words, own (true in the one more), start, size,
@@ -77,8 +80,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, text: str = "text", windo
     win = windows(benchmark, window)
     size = min(SHINGLE, window)
     shingles = _shingles(win, size)
-    stats = shingles.agg(F.count("*").alias("n"), F.collect_set(F.least(F.size("win"), F.lit(size))).alias("sizes"))
-    stats = stats.head()
+    sizes_of = F.collect_set(F.least(F.size("win"), F.lit(size)))
+    stats = shingles.agg(F.count("*").alias("n"), sizes_of.alias("sizes")).head()
     sizes = sorted(stats["sizes"]) or [size]
     base = docs.select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)],
@@ -89,8 +92,13 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, text: str = "text", windo
     table = bit_table(shingles, stats["n"])
     seen = base.select(F.explode(let(F.col("w"), lambda w: _hits(w, sizes, table, lambda i, h: h))).alias("h"))
     seen = saved(seen.groupBy("h").agg(F.count("*").alias("freq")), "frequencies")
-    ranked = shingles.join(maybe_broadcast(shingles.select("h").distinct().join(seen, "h"), stats["n"], BROADCAST_WINDOWS), "h")
-    prefix = ranked.groupBy("win").agg(F.min(F.struct("freq", "h", "pos")).alias("best"), F.first("items").alias("items"), F.count("*").alias("n"))
+    common = shingles.select("h").distinct().join(seen, "h")
+    ranked = shingles.join(maybe_broadcast(common, stats["n"], BROADCAST_WINDOWS), "h")
+    prefix = ranked.groupBy("win").agg(
+        F.min(F.struct("freq", "h", "pos")).alias("best"),
+        F.first("items").alias("items"),
+        F.count("*").alias("n"),
+    )
     # a window with a shingle that no document has can't occur
     whole = F.greatest(F.size("win") - (size - 1), F.lit(1))
     prefix = prefix.where(F.col("n") == whole).select("win", "items", "best.h", "best.pos")
@@ -102,17 +110,19 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, text: str = "text", windo
     def found(w):
         def one(i, h):
             start = F.greatest(i - back, F.lit(0))
-            return F.struct(i.alias("i"), h.alias("h"), start.alias("begin"), F.slice(w, start + 1, F.lit(reach)).alias("ctx"))
+            around = F.slice(w, start + 1, F.lit(reach)).alias("ctx")
+            return F.struct(i.alias("i"), h.alias("h"), start.alias("begin"), around)
 
         return F.struct(F.size(w).cast("long").alias("n_words"), _hits(w, sizes, table, one).alias("hits"))
 
     keys = [f"_k{i}" for i in range(len(keep))]
-    scan = base.select(*keys, "print", let(F.col("w"), found).alias("f")).select(*keys, "print", "f.n_words", F.explode(
-        F.concat(F.array(F.lit(None).cast("struct<i:int,h:bigint,begin:int,ctx:array<string>>")), F.col("f.hits"))
-    ).alias("p"))
+    one_more = F.array(F.lit(None).cast("struct<i:int,h:bigint,begin:int,ctx:array<string>>"))
+    scan = base.select(*keys, "print", let(F.col("w"), found).alias("f"))
+    scan = scan.select(*keys, "print", "f.n_words", F.explode(F.concat(one_more, "f.hits")).alias("p"))
     start = F.col("p.i") - F.col("pos")
     match = (
-        (F.col("p.h") == F.col("h"))
+        (F.coalesce("p.h", "print") == F.col("h"))  # rows without a hit are spread by their text
+        & F.col("p").isNotNull()
         & (start >= 0)
         & (start + F.size("win") <= F.col("n_words"))
         & (F.slice("p.ctx", F.greatest(start - F.col("p.begin") + 1, F.lit(1)), F.size("win")) == F.col("win"))
@@ -143,7 +153,9 @@ def _covered(places: Column) -> Column:
     ).cast("long")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, parts: int = 20) -> DataFrame:
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, parts: int = 20
+) -> DataFrame:
     """How far each document is made of benchmark text.
 
     Columns: doc_id, n_words, n_hit (words inside an occurring window), n_items, items_sha256,

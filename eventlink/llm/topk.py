@@ -165,11 +165,13 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     blocks = rows.repartition(max(1, min(facts[0]["n"], 10_000)), "block")
     listed = _listed(queries)
     state = listed.select("id", F.lit(-bound).alias("lo"), F.lit(k).cast("long").alias("need"))
-    own = queries.select("block", F.col("kind").alias("q_kind"), F.col("ids").alias("q_ids"), F.col("vs").alias("q_vs"), F.col("dim").alias("q_dim"))
+    own = queries.select("block", *[F.col(c).alias(f"q_{c}") for c in ("kind", "ids", "vs", "dim")])
 
     def pairs(state):
-        s = listed.join(state, "id").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "lo", "need"))).alias("s"))
-        q = own.join(s, "block").drop("block").select("*", F.col("s.lo").alias("lo"), F.col("s.need").alias("need")).drop("s")
+        in_order = F.sort_array(F.collect_list(F.struct("at", "lo", "need")))
+        s = listed.join(state, "id").groupBy("block").agg(in_order.alias("s"))
+        q = own.join(s, "block").drop("block")
+        q = q.select("*", F.col("s.lo").alias("lo"), F.col("s.need").alias("need")).drop("s")
         if (facts[1]["bytes"] or 0) <= BROADCAST_BYTES:
             q = F.broadcast(q)
         return blocks.select("dim", "kind", "ids", "vs").join(q, F.col("dim") == F.col("q_dim"))
