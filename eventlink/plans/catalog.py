@@ -163,6 +163,13 @@ def sessionize_strict(spark, sf):
     return out.select("row_id", "k", "ts", "session_seq", "session_pos")
 
 
+def sessionize_defaults(spark, sf):
+    """With the default gap and cap of the sessions that the joins use."""
+    link = session_joins.Linking(["k"], {})
+    out = sessions.sessionize(views.obs(spark, sf), ["k"], gap=link.gap, cap=link.cap)
+    return out.select("row_id", "k", "ts", "session_seq", "session_pos")
+
+
 def session_summary(spark, sf):
     return sessions.session_heads(_sessions(spark, sf), ["k"], "ts", ["row_id"])
 
@@ -428,6 +435,12 @@ def job_backfill(spark, sf):
     return out.select("row_id", "ts", "mme_ue_s1ap_id", "id", "distance", "matched")
 
 
+def job_backfill_defaults(spark, sf):
+    """With every parameter of the job as it is by default."""
+    out = jobs.backfill_output(jobs.backfill(views.obs_decoded(spark, sf), views.ref_raw(spark, sf)))
+    return out.select("row_id", "ts", "mme_ue_s1ap_id", "id", "distance", "matched")
+
+
 def job_backfill_merged(spark, sf):
     """Partial records merged, then joined."""
     out = jobs.backfill_output(_backfilled(spark, sf, views.obs_parts(spark, sf), merge=True))
@@ -521,6 +534,7 @@ QUERIES = {
         point_lookup,
         sessionize_gap_cap,
         sessionize_strict,
+        sessionize_defaults,
         session_summary,
         prev_next_ref,
         backfill_nearest,
@@ -558,6 +572,7 @@ QUERIES = {
         coord_system,
         project_xy,
         job_backfill,
+        job_backfill_defaults,
         job_backfill_merged,
         job_backfill_written,
         job_location,

@@ -226,6 +226,9 @@ ORACLES = {
     "sessionize_strict": sql(
         f", {walk(cap=None, near='<')} {SESSION_ROWS}", "obs", recursive=True
     ),
+    "sessionize_defaults": sql(
+        f", {walk(gap='30000000', cap='150')} {SESSION_ROWS}", "obs", recursive=True
+    ),
     "session_summary": sql(
         f""", {walk()}, {HEADS} select k, session_seq, start_ts, row_id start_row_id, end_ts, n_rows,
         next_start_ts from starts""",
@@ -448,6 +451,17 @@ ORACLES = {
         "obs_raw",
         "ref_raw",
     ),
+    "job_backfill_defaults": sql(
+        f""", {best(
+            "30000000", LATER, "obs_raw", "ref_raw",
+            "o.mme_ue_s1ap_id = r.mme_ue_s1ap_id and o.eci // 256 = r.eci // 256",
+            "o.ts * 1000", "r.start_ts * 1000",
+            extra="and o.ts <> -1 and r.start_ts <> -1 and r.end_ts <> -1 and r.id <> '\\N'",
+        )}, {RAW_FILLED} select row_id, ts, mme_ue_s1ap_id, id, distance, matched
+        from filled where coalesce(id, '') <> ''""",
+        "obs_raw",
+        "ref_raw",
+    ),
     "job_backfill_merged": sql(
         f""", {MERGED}, {best(
             H12, LATER, "merged", "ref_raw",
