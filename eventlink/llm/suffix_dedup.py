@@ -217,7 +217,8 @@ def repeated(texts: list[bytes], off: np.ndarray, n: np.ndarray, group: np.ndarr
     buf = np.frombuffer(b"".join(texts), np.uint8)
     right, far = _ranked(buf, begin + off, sizes - off, group)
     flipped = np.frombuffer(b"".join(t[o - 1 :: -1] if o else b"" for t, o in zip(texts, off.tolist())), np.uint8)
-    left, near = _ranked(flipped if len(flipped) else np.zeros(1, np.uint8), np.cumsum(off) - off, off.astype(np.int64), group)
+    flipped = flipped if len(flipped) else np.zeros(1, np.uint8)
+    left, near = _ranked(flipped, np.cumsum(off) - off, off.astype(np.int64), group)
     masks = [np.zeros(k, bool) for k in n.tolist()]
     ids = [np.zeros(k, np.int64) for k in n.tolist()]
     fresh_group = np.ones(len(group), bool)
@@ -252,7 +253,8 @@ def _sorter(length: int):
         new = np.ones(len(rows), bool)
         new[1:] = (key[1:] != key[:-1]).any(axis=1)
         texts = [r[6] for r in rows]
-        masks, ids = repeated(texts, np.array([r[4] for r in rows]), np.array([r[5] for r in rows]), np.cumsum(new), length)
+        off, n = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
+        masks, ids = repeated(texts, off, n, np.cumsum(new), length)
         out = [(r[0], r[3], _spans(m), None, None, None) for r, m in zip(rows, masks)]
         seen: set = set()
         for r, own in zip(rows, ids):
@@ -267,9 +269,8 @@ def _sorter(length: int):
                         out.append((r[0], r[3], None, x, y, k))
         span = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
         kinds = [pa.int64(), pa.int64(), span, pa.int64(), pa.int64(), pa.int32()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)], names=["h", "c", "spans", "w1", "w2", "place"]
-        )
+        arrays = [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)]
+        return pa.RecordBatch.from_arrays(arrays, names=["h", "c", "spans", "w1", "w2", "place"])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -298,12 +299,15 @@ def _with_text(keys: DataFrame, docs: DataFrame) -> DataFrame:
     return keys.join(some, same).select(keys["*"], some["text"])
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piece: int = PIECE_CONTEXTS) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piece: int = PIECE_CONTEXTS
+) -> DataFrame:
     """(id, print, spans) of the texts with bytes in a repeated string: sorted (a, b), b exclusive, apart.
 
     ``docs``: id, print (hash of the text), text without nulls.
     """
-    found = map_texts(docs, "text", ["id", "print"], [T.StructField("runs", RUNS)], lambda: lambda p: [_runs(p, length, gram)])
+    field = T.StructField("runs", RUNS)
+    found = map_texts(docs, "text", ["id", "print"], [field], lambda: lambda p: [_runs(p, length, gram)])
     runs = saved(found.select("id", "print", F.inline("runs")), "contexts")
     grams = runs.groupBy("h").agg(F.count("*").alias("times"), F.min("c").alias("one"), F.max("c").alias("other"))
     grams = grams.where("times > 1").select("h", (F.col("one") == F.col("other")).alias("alike"))
@@ -316,7 +320,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piec
     cut = F.collect_list(F.struct("h", "c", "f.s", "f.off", "f.n")).alias("cuts")
     keys = kinds.groupBy(F.col("f.id").alias("id"), F.col("f.print").alias("print")).agg(cut)
     parts = _with_text(keys, docs).select(F.encode("text", "UTF-8").alias("raw"), F.inline("cuts"))
-    parts = parts.select("h", "c", "off", "n", F.expr(f"substring(raw, cast(s + 1 as int), n - 1 + {length})").alias("ctx"))
+    ctx = F.expr(f"substring(raw, cast(s + 1 as int), n - 1 + {length})").alias("ctx")
+    parts = parts.select("h", "c", "off", "n", ctx)
     many = saved(kinds.groupBy("h").agg(F.ceil(F.count("*") / piece).cast("int").alias("salts")), "salts")
     dealt = parts.join(many, "h").withColumn("salt", F.pmod("c", F.col("salts")))
     dealt = dealt.select("h", "salt", "salts", "c", "off", "n", "ctx").repartition("h", "salt")
@@ -324,16 +329,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piec
     # windows that pieces of one anchor have in common: each piece names a window once
     named = sorted_.where(F.col("place").isNotNull())
     shared = named.groupBy("h", "w1", "w2").agg(F.count("*").alias("k")).where("k > 1").select("h", "w1", "w2")
-    across = named.join(shared, ["h", "w1", "w2"]).select(
-        "h", "c", F.array(F.struct(F.col("place").alias("a"), F.col("place").alias("b"))).alias("spans")
-    )
-    whole = kinds.where("times > 1").select("h", "c", F.array(F.struct(F.lit(0).alias("a"), (F.col("f.n") - 1).alias("b"))).alias("spans"))
+    span = lambda a, b: F.array(F.struct(a.alias("a"), b.alias("b"))).alias("spans")
+    across = named.join(shared, ["h", "w1", "w2"]).select("h", "c", span(F.col("place"), F.col("place")))
+    whole = kinds.where("times > 1").select("h", "c", span(F.lit(0), F.col("f.n") - 1))
     marks = sorted_.where(F.size("spans") > 0).select("h", "c", "spans").unionByName(across).unionByName(whole)
     marks = saved(marks.groupBy("h", "c").agg(F.flatten(F.collect_list("spans")).alias("spans")), "marks")
     hit = mixed.join(marks, ["h", "c"]).select("id", "print", "s", F.inline("spans"))
-    hit = hit.select("id", "print", (F.col("s") + F.col("a")).alias("a"), (F.col("s") + F.col("b") + length).alias("b"))
-    sure = again.where("alike").select("id", "print", F.col("s").alias("a"), (F.col("s") + F.col("n") - 1 + length).alias("b"))
-    each = hit.unionByName(sure).groupBy("id", "print").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("spans"))
+    hit = hit.selectExpr("id", "print", "s + a as a", f"s + b + {length} as b")
+    sure = again.where("alike").selectExpr("id", "print", "s as a", f"s + n - 1 + {length} as b")
+    sorted_spans = F.sort_array(F.collect_set(F.struct("a", "b"))).alias("spans")
+    each = hit.unionByName(sure).groupBy("id", "print").agg(sorted_spans)
     joined = F.aggregate(
         F.slice("spans", 2, F.greatest(F.size("spans") - 1, F.lit(0))),
         F.slice("spans", 1, 1),
@@ -341,7 +346,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, piec
             s["a"] <= F.element_at(acc, -1)["b"],
             F.concat(
                 F.slice(acc, 1, F.size(acc) - 1),
-                F.array(F.struct(F.element_at(acc, -1)["a"].alias("a"), F.greatest(F.element_at(acc, -1)["b"], s["b"]).alias("b"))),
+                F.array(
+                    F.struct(
+                        F.element_at(acc, -1)["a"].alias("a"),
+                        F.greatest(F.element_at(acc, -1)["b"], s["b"]).alias("b"),
+                    )
+                ),
             ),
         ).otherwise(F.concat(acc, F.array(s))),
     )
@@ -356,7 +366,14 @@ def _kept(text: str | None, spans: list[dict]) -> bytes:
     return b"".join([*out, data[at:]])
 
 
-def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM, piece: int = PIECE_CONTEXTS) -> DataFrame:
+def drop_repeats(
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    length: int = LENGTH,
+    gram: int = GRAM,
+    piece: int = PIECE_CONTEXTS,
+) -> DataFrame:
     """Every text without the bytes of strings of ``length`` bytes that also start anywhere else.
 
     Columns: key, n_bytes, ``removed`` (array of (a, b): byte spans, apart, sorted), ``kept`` (the bytes
@@ -370,18 +387,19 @@ def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", lengt
     passes = bit_table(keys, keys.count())
     raw_text = F.encode("text", "UTF-8")
     none = F.array().cast("array<struct<a:bigint,b:bigint>>")
-    clean = own.where(~passes(F.col("print"))).select("id", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("removed"), raw_text.alias("kept"))
+    n_bytes = F.octet_length("text").cast("long").alias("n_bytes")
+    clean = own.where(~passes(F.col("print"))).select("id", n_bytes, none.alias("removed"), raw_text.alias("kept"))
     some = own.where(passes(F.col("print")))
     same = some["id"].eqNullSafe(spans["id"]) & (some["print"] == spans["print"])
     both = some.join(spans, same, "left").select(some["id"], "text", F.coalesce("spans", none).alias("removed"))
 
     def cut(batches):
         for batch in batches:
-            kept = [_kept(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist())]
-            n = pa.array([len((t or "").encode()) for t in batch.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), n, batch.column("removed"), pa.array(kept, pa.binary())], names=["id", "n_bytes", "removed", "kept"]
-            )
+            texts, removed = batch.column("text").to_pylist(), batch.column("removed")
+            kept = [_kept(t, s) for t, s in zip(texts, removed.to_pylist())]
+            n = pa.array([len((t or "").encode()) for t in texts], pa.int64())
+            arrays = [batch.column("id"), n, removed, pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_bytes", "removed", "kept"])
 
     done = both.mapInArrow(cut, clean.schema)
     return clean.unionByName(done).withColumnRenamed("id", key)
