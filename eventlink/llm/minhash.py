@@ -175,32 +175,35 @@ def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.where(n >= least * (F.size("ua") + F.size("ub") - n)).select("a", "b")
 
 
+def _print(text: str):
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: float = SIMILAR):
     """(members, firsts): the class of every row, and of every class the row that stands for it.
 
     members: key, ``print`` (hash of the text), ``class_key``: the smallest key of the class.  firsts:
     key, print, rows (how many rows have just these).
     """
-    own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("print"))
+    own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), _print(text).alias("print"))
     rows = saved(signed(own, "text", ["key", "print"]), "signed")
     worded = rows.where(F.col("norm").isNotNull())
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "print")).alias("first")
     reps = saved(worded.groupBy("norm").agg(first, F.any_value("bands").alias("bands")), "representatives")
     each = reps.select("norm", F.explode("bands").alias("band"))
-    hub = [F.min(F.struct(F.xxhash64("norm", "band", F.lit(j)), "norm"))["norm"].alias(f"h{j}") for j in range(HUBS + 1)]
+    order = lambda j: F.struct(F.xxhash64("norm", "band", F.lit(j)), "norm")
+    hub = [F.min(order(j))["norm"].alias(f"h{j}") for j in range(HUBS + 1)]
     # a join with a table, not with an aggregation, can split a crowded bucket
     buckets = saved(each.groupBy("band").agg(F.count("*").alias("n"), *hub).where("n > 1"), "buckets")
-    met = saved(
-        each.join(buckets, "band").select("norm", F.explode(F.array(*[
-            F.struct(F.lit(j).alias("j"), F.col(f"h{j}").alias("hub")) for j in range(HUBS + 1)
-        ])).alias("p")).select("norm", "p.j", "p.hub").where("norm <> hub")
-        .groupBy(F.least("norm", "hub").alias("a"), F.greatest("norm", "hub").alias("b")).agg(F.min("j").alias("j")),
-        "pairs",
-    )
+    hubs = F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"h{j}").alias("hub")) for j in range(HUBS + 1)])
+    met = each.join(buckets, "band").select("norm", F.inline(hubs)).where("norm <> hub")
+    pair = [F.least("norm", "hub").alias("a"), F.greatest("norm", "hub").alias("b")]
+    met = saved(met.groupBy(*pair).agg(F.min("j").alias("j")), "pairs")
     seen = met.select(F.explode(F.array("a", "b")).alias("norm")).distinct()
     texts = reps.join(seen, "norm").select("norm", "first.key", "first.print")
     texts = texts.withColumnRenamed("key", "k").withColumnRenamed("print", "p")
-    texts = own.join(texts, own["key"].eqNullSafe(texts["k"]) & (own["print"] == texts["p"])).select("norm", "text")
+    same = own["key"].eqNullSafe(texts["k"]) & (own["print"] == texts["p"])
+    texts = own.join(texts, same).select("norm", "text")
     sets = saved(_with_units(texts, "text", ["norm"]).dropDuplicates(["norm"]), "units")
     links = saved(_similar(met.where("j = 0"), sets, similar), "similar")
     label = components(links)
@@ -220,7 +223,9 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: f
     return members.unionByName(bare), firsts, rows
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: float = SIMILAR) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", similar: float = SIMILAR
+) -> DataFrame:
     """``key`` and ``class_id`` (the smallest key of its class) of every row.
 
     Rows are of a class if a chain of pairs at least ``similar`` connects them.  Texts of equal words are
@@ -231,16 +236,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     return members.select(F.col("key").alias(key), F.col("class_key").alias("class_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: float = SIMILAR) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", similar: float = SIMILAR
+) -> DataFrame:
     """One row of each class, that of the smallest key, columns as they are; wordless texts all stay."""
     _, firsts, rows = classes(docs, text, key, similar)
     bare = rows.where(F.col("norm").isNull()).select("key", "print").distinct()
     stay = firsts.unionByName(bare).select(F.col("key").alias("_k"), F.col("print").alias("_p"))
     name = fresh(docs, "_print")
-    own = docs.withColumn(name, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    own = docs.withColumn(name, _print(text))
     kept = own.join(stay, own[key].eqNullSafe(stay["_k"]) & (own[name] == stay["_p"]), "left_semi")
-    repeated = rows.where(F.col("norm").isNotNull()).groupBy("key", "print").count().where("count > 1").limit(1).count()
-    if repeated:  # the same key and text in several rows: one of them stays
-        bare = F.size(F.array_compact(F.array(F.regexp_substr(F.col(text), F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]"))))) == 0
-        kept = kept.where(~bare).dropDuplicates([key, name]).unionByName(kept.where(bare))
+    keyed = rows.where(F.col("norm").isNotNull()).groupBy("key", "print").count()
+    if keyed.where("count > 1").limit(1).count():  # the same key and text in several rows: one of them stays
+        wordless = F.regexp_count(F.col(text), F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]")) == 0
+        wordless = F.coalesce(wordless, F.lit(True))
+        kept = kept.where(~wordless).dropDuplicates([key, name]).unionByName(kept.where(wordless))
     return kept.select(*docs.columns)
