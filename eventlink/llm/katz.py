@@ -127,13 +127,16 @@ def _sequence(part: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
-BLOCK = "block long, keys array<{key}>, n_tokens long, sizes binary, train binary, toks binary, words binary, counts binary"
+BLOCK = (
+    "block long, keys array<{key}>, n_tokens long, sizes binary, train binary, toks binary, words binary, "
+    "lanes binary, counts binary"
+)
 
 
 def _blocks(batches):
     """Rows of (key, train, text) as blocks: local token numbers, their hashes, their counts in training."""
     task, number = TaskContext.get().partitionId(), 0
-    names = ["block", "keys", "n_tokens", "sizes", "train", "toks", "words", "counts"]
+    names = ["block", "keys", "n_tokens", "sizes", "train", "toks", "words", "lanes", "counts"]
 
     def flush(keys, train, seqs, sizes):
         tok, size = np.concatenate(seqs), np.concatenate(sizes)
@@ -144,7 +147,8 @@ def _blocks(batches):
         own = place[own]
         flags = np.concatenate(train)
         counts = np.bincount(own[np.repeat(flags, size)], minlength=len(words))
-        values = [pack(size.astype(np.int32)), pack(flags), pack(own), pack(words[order]), pack(counts.astype(np.int32))]
+        words, size = words[order], size.astype(np.int32)
+        values = [pack(x) for x in (size, flags, own, words, lanes_of(words), counts.astype(np.int32))]
         keys = pa.concat_arrays(keys)
         return pa.RecordBatch.from_arrays(
             [
@@ -179,8 +183,13 @@ def _blocks(batches):
 # --- unigrams ------------------------------------------------------------------------------------------------------
 
 
-def _word_bucket(words: np.ndarray, buckets: int) -> np.ndarray:
-    return (words % np.uint64(buckets)).astype(np.int64)
+#: Words are counted in at most so many buckets.
+LANES = 1 << 16
+
+
+def lanes_of(words: np.ndarray) -> np.ndarray:
+    """The two bytes of a word's hash that tell its bucket: all that the pairs need of it later."""
+    return (words >> np.uint64(48)).astype(np.uint16)
 
 
 def _listed_words(buckets: int):
@@ -188,7 +197,7 @@ def _listed_words(buckets: int):
         for batch in batches:
             for row in batch.to_pylist():
                 words, counts = unpack(row["words"], np.uint64), unpack(row["counts"], np.int32)
-                bucket = _word_bucket(words, buckets)
+                bucket = lanes_of(words).astype(np.int64) % buckets
                 order = np.argsort(bucket, kind="stable")
                 cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 for b in range(buckets):
@@ -268,10 +277,10 @@ def _pair_rows(uni: Unigrams, word_buckets: int, buckets: int, keys: pa.DataType
                 yield from block(row)
 
     def block(row):
-        words, own = unpack(row["words"], np.uint64), unpack(row["toks"], np.uint32)
+        lanes, own = unpack(row["lanes"], np.uint16), unpack(row["toks"], np.uint32)
         size, train = unpack(row["sizes"], np.int32).astype(np.int64), unpack(row["train"], bool)
-        bucket = _word_bucket(words, word_buckets)
-        number = np.empty(len(words), np.uint32)
+        bucket = lanes.astype(np.int64) % word_buckets
+        number = np.empty(len(lanes), np.uint32)
         for part in row["numbers"]:
             number[bucket == part["bucket"]] = unpack(part["ids"], np.uint32)
         cls = uni.of(number.astype(np.int64))
@@ -463,7 +472,7 @@ def score_texts(docs: DataFrame, train: Column, text: str = "text", key: str = "
     blocks = saved(rows.mapInArrow(_blocks, BLOCK.format(key=name)), "token-blocks")
     facts = blocks.agg(F.sum("n_tokens").alias("n"), F.count("*").alias("blocks")).head()
     buckets = max(1, -(-(facts["n"] or 0) // BUCKET_TOKENS))
-    word_buckets = max(1, buckets // 2)
+    word_buckets = min(max(1, buckets // 2), LANES)
 
     listed = blocks.select("block", "words", "counts").mapInArrow(
         _listed_words(word_buckets), "bucket long, block long, words binary, counts binary"
@@ -495,7 +504,7 @@ def score_texts(docs: DataFrame, train: Column, text: str = "text", key: str = "
     numbers = numbers.select("bucket", "blocks", "maps", "classes", "firsts").mapInArrow(_numbered, "block long, bucket long, ids binary")
     numbers = numbers.groupBy("block").agg(F.collect_list(F.struct("bucket", "ids")).alias("numbers"))
 
-    ready = blocks.drop("counts").join(numbers, "block")
+    ready = blocks.drop("words", "counts").join(numbers, "block")
     pairs = ready.mapInArrow(_pair_rows(uni, word_buckets, buckets, arrow), PAIRS.format(key=name))
     stats = pairs.groupBy("bucket").applyInArrow(_bucket_stats(uni, buckets, _stats_type(arrow.value_type)), STATS.format(key=name))
     stats = saved(stats, "bigrams")
