@@ -7,8 +7,9 @@ document however long it is.  Each dart belongs to one of k coordinates; the ear
 its entry in the signature, and two documents agree there with the probability of their weighted Jaccard
 similarity.  A document with an empty coordinate is thrown again with twice the limit.
 
-Documents with a band of the signature in common are compared exactly, with some hubs of the band's bucket
-rather than all with all, and connected components of what is similar enough are the classes.
+Documents with a band of the signature in common are compared exactly, first with some hubs of the band's
+bucket.  Where a bucket still holds several components, all its members of different components are compared,
+block with block.  Connected components of what is similar enough are the classes.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ SIMILAR = 0.8
 BANDS, BAND_SIZE = 25, 4
 #: Members of a bucket that all others are compared with: one at first, so many for what is left apart.
 HUBS = 4
+#: Units of a block of documents that are compared with another block; each document counts as EACH more.
+BLOCK, EACH = 1 << 18, 256
+#: Units that two blocks are compared by at a time.
+WIDTH = 4096
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * _STEP) | np.uint64(1)
 
@@ -175,6 +180,109 @@ def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.where(n >= least * (F.size("ua") + F.size("ub") - n)).select("a", "b")
 
 
+def similar_across(left: np.ndarray, right: np.ndarray, label, sizes, unit, least: float) -> list[tuple[int, int]]:
+    """Pairs of a document of ``left`` and one of ``right`` that are similar and of different labels.
+
+    The two are the same places or have none in common; ``unit`` holds the units of all documents end to end.
+    Of the pairs those stay that join what no earlier pair has joined.
+    """
+    unit = np.unique(unit, return_inverse=True)[1].reshape(-1)
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    n = int(unit.max()) + 1 if len(unit) else 0
+    row = [np.full(len(sizes), -1), np.full(len(sizes), -1)]
+    row[0][left], row[1][right] = np.arange(len(left)), np.arange(len(right))
+    own = [r[doc] >= 0 for r in row]
+    both = (np.bincount(unit[own[0]], minlength=n) > 0) & (np.bincount(unit[own[1]], minlength=n) > 0)
+    column = np.cumsum(both) - 1
+    sides = []
+    for r, mine in zip(row, own):
+        u, d = unit[mine & both[unit]], r[doc[mine & both[unit]]]
+        order = np.argsort(column[u], kind="stable")
+        sides.append((column[u][order], d[order]))
+    shared = np.zeros((len(left), len(right)))
+    for a in range(0, int(both.sum()), WIDTH):
+        parts = []
+        for (col, d), k in zip(sides, shared.shape):
+            i, j = np.searchsorted(col, [a, a + WIDTH])
+            part = np.zeros((k, WIDTH), np.float32)
+            part[d[i:j], col[i:j] - a] = 1
+            parts.append(part)
+        shared += parts[0] @ parts[1].T
+    near = shared >= least * (sizes[left][:, None] + sizes[right][None, :] - shared)
+    near &= label[left][:, None] != label[right][None, :]
+    up = np.arange(int(label.max()) + 1 if len(label) else 0).tolist()
+    found = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
+        a, b = int(label[left[i]]), int(label[right[j]])
+        while up[a] != a:
+            up[a] = a = up[up[a]]
+        while up[b] != b:
+            up[b] = b = up[up[b]]
+        if a != b:
+            up[max(a, b)] = min(a, b)
+            found.append((int(left[i]), int(right[j])))
+    return found
+
+
+def _open(members: DataFrame, label: DataFrame) -> DataFrame:
+    """band, norm, label, n: ``members`` (band, norm) of the buckets that hold several components; n is their size."""
+    members = members.join(label, F.col("norm") == F.col("node"), "left")
+    members = saved(members.select("band", "norm", F.coalesce("label", "norm").alias("label")), "members")
+    several = members.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("l"), F.max("label").alias("m"))
+    return saved(members.join(saved(several.where("l <> m").select("band", "n"), "several"), "band"), "open")
+
+
+def _popular(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each bucket's member that meets most others in all its buckets, and those of other components.
+
+    The original of many copies is such a member, so few blocks are left after it.
+    """
+    meets = members.groupBy("norm").agg(F.sum("n").alias("meets"))
+    most = F.max(F.struct("meets", "norm", "label")).alias("most")
+    hubs = members.join(meets, "norm").groupBy("band").agg(most)
+    hubs = saved(hubs.select("band", F.col("most.norm").alias("hub"), F.col("most.label").alias("hub_label")), "hubs")
+    pairs = members.join(hubs, "band").where("label <> hub_label")
+    return pairs.select(F.least("norm", "hub").alias("a"), F.greatest("norm", "hub").alias("b")).distinct()
+
+
+def _across(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Similar pairs (a, b) out of all members of a bucket that are of different components.
+
+    A component of a bucket that is large enough has blocks of its own, which are not compared with one another;
+    the small ones share blocks.
+    """
+    members = saved(members.join(sets.select("norm", "n_units"), "norm"), "weighed")
+    weight = F.sum(F.col("n_units") + EACH)
+    parts = members.groupBy("band", "label").agg(weight.alias("w"))
+    large = F.col("w") > BLOCK // 2
+    small = parts.where(~large).groupBy("band").agg(F.ceil(F.sum("w") / BLOCK).alias("k"))
+    large = saved(parts.where(large).select("band", "label", F.ceil(F.col("w") / BLOCK).alias("own")), "large")
+    dealt = members.join(large, ["band", "label"], "left").join(saved(small, "small"), "band", "left")
+    alone = F.col("own").isNotNull()
+    of = F.when(alone, F.col("label")).otherwise(F.lit(b""))
+    part = F.when(alone, F.pmod(F.xxhash64("norm"), "own")).otherwise(F.pmod(F.xxhash64("label"), "k"))
+    dealt = saved(dealt.select("band", "norm", "label", F.struct(of.alias("of"), part.alias("part")).alias("block")), "dealt")
+    blocks = saved(dealt.select("band", "block").distinct(), "blocks")
+    x, y = blocks.withColumnRenamed("block", "x"), blocks.withColumnRenamed("block", "y")
+    pairs = saved(x.join(y, "band").where("x <= y and (x.of <> y.of or octet_length(x.of) = 0)"), "block-pairs")
+    first = pairs.select("*", F.col("x").alias("block"), F.lit(True).alias("left"))
+    second = pairs.where("x <> y").select("*", F.col("y").alias("block"), F.lit(False).alias("left"))
+    sent = dealt.join(first.unionByName(second), ["band", "block"]).join(sets.select("norm", "units"), "norm")
+    sent = sent.select("band", "x", "y", "left", "norm", "label", "units")
+
+    def compare(group: pa.Table) -> pa.Table:
+        norms, sets_ = group["norm"].combine_chunks(), group["units"].combine_chunks()
+        label = group["label"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        first = np.array(group["left"].to_pylist(), bool)
+        left, right = np.flatnonzero(first), np.flatnonzero(~first)
+        sizes, unit = sets_.value_lengths().to_numpy(), sets_.flatten().to_numpy()
+        found = similar_across(left, right if len(right) else left, label, sizes.astype(np.int64), unit, least)
+        ends = [norms.take(pa.array([p[k] for p in found], pa.int64())) for k in (0, 1)]
+        return pa.table(ends, names=["a", "b"])
+
+    return sent.groupBy("band", "x", "y").applyInArrow(compare, "a binary, b binary")
+
+
 def _print(text: str):
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
@@ -204,7 +312,8 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: f
     texts = texts.withColumnRenamed("key", "k").withColumnRenamed("print", "p")
     same = own["key"].eqNullSafe(texts["k"]) & (own["print"] == texts["p"])
     texts = own.join(texts, same).select("norm", "text")
-    sets = saved(_with_units(texts, "text", ["norm"]).dropDuplicates(["norm"]), "units")
+    sets = _with_units(texts, "text", ["norm"]).dropDuplicates(["norm"]).withColumn("n_units", F.size("units"))
+    sets = saved(sets, "units")
     links = saved(_similar(met.where("j = 0"), sets, similar), "similar")
     label = components(links)
     # pairs of other hubs matter only where they join two components
@@ -212,7 +321,21 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: f
     open_ = met.where("j > 0").join(la, "a", "left").join(lb, "b", "left")
     apart = F.coalesce("la", "a") != F.coalesce("lb", "b")
     more = _similar(open_.where(apart).select("a", "b"), sets, similar)
-    label = components(links.unionByName(more))
+    links = saved(links.unionByName(more), "similar")
+    label = components(links)
+    # hubs alone have compared all of a bucket where all its members but one were hubs
+    tried = F.size(F.array_distinct(F.array(*[f"h{j}" for j in range(HUBS + 1)])))
+    rest = each.join(buckets.where(tried < F.col("n") - 1).select("band"), "band")
+    changed = True
+    for find in (lambda m: _similar(_popular(m), sets, similar), lambda m: _across(m, sets, similar)):
+        rest = _open(rest.select("band", "norm"), label) if changed else rest
+        if not rest.limit(1).count():
+            break
+        more = saved(find(rest), "similar")
+        changed = more.limit(1).count() > 0
+        if changed:
+            links = saved(links.unionByName(more), "similar")
+            label = components(links)
     named = reps.select("norm", "first").join(label, F.col("norm") == F.col("node"), "left")
     named = named.select("norm", "first", F.coalesce("label", "norm").alias("label"))
     heads = saved(named.groupBy("label").agg(F.min("first").alias("head")), "heads")

@@ -446,6 +446,62 @@ def test_a_large_group_of_near_copies(spark):
     assert {r.doc_id: r.class_id for r in got.collect()} == M.near_classes(rows)
 
 
+def star(copies, seed=5):
+    """One text and copies of it, each near it and far from one another."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{seed}_{x}" for x in range(120)]
+    rows = [(10_000 * seed + copies, " ".join(base))]
+    for i in range(copies):
+        own = list(base)
+        a = int(rng.integers(5, 105))
+        for at in (a, int(rng.integers(a + 5, 115))):
+            own[at] = f"new{seed}_{i}_{at}"
+        rows.append((10_000 * seed + i, " ".join(own)))
+    return rows
+
+
+def test_a_star_of_copies_and_one_text(spark):
+    rows = star(1000)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.class_id for r in got.collect()} == {50_000} and got.count() == len(rows)
+
+
+def test_buckets_are_compared_whole(spark, monkeypatch):
+    """Blocks alone: the hubs of the first pass are one, the popular ones find nothing."""
+    monkeypatch.setattr(minhash, "HUBS", 0)
+    monkeypatch.setattr(minhash, "BLOCK", 1 << 13)
+    monkeypatch.setattr(minhash, "_popular", lambda m: m.select(F.col("norm").alias("a"), F.col("norm").alias("b")).where("false"))
+    rows = star(150) + star(60, 6)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = M.near_classes(rows)
+    assert {r.doc_id: r.class_id for r in got.collect()} == want and len(set(want.values())) == 2
+
+
+def test_blocks_against_all_pairs(monkeypatch):
+    monkeypatch.setattr(minhash, "WIDTH", 7)
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 12, 9)) for _ in range(40)] + [np.empty(0, int)]
+    label = rng.integers(0, 30, len(sets))
+    sizes = np.array([len(x) for x in sets])
+    for left, right in ((np.arange(20), np.arange(20, 41)), (np.arange(41), np.arange(41))):
+        got = minhash.similar_across(left, right, label, sizes, np.concatenate(sets), 0.8)
+        want = {
+            (i, j)
+            for i in left
+            for j in right
+            if label[i] != label[j] and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))
+        }
+
+        def joined(pairs):
+            up = list(range(30))
+            for i, j in pairs:
+                a, b = up[label[i]], up[label[j]]
+                up = [min(a, b) if x in (a, b) else x for x in up]
+            return up
+
+        assert set(got) <= want and joined(got) == joined(want) and got
+
+
 def test_signatures_estimate_the_weighted_similarity():
     rng = np.random.default_rng(7)
     shared, own = rng.integers(1, 2**63, 300).astype(np.uint64), rng.integers(1, 2**63, 200).astype(np.uint64)
