@@ -11,6 +11,7 @@ from eventlink.llm import (
     oracles,
     packing,
     quality,
+    resample,
     secrets,
     suffix_dedup,
     topk,
@@ -59,6 +60,10 @@ def op10_license_scan(spark, sf):
     return licenses.license_report(table(spark, sf, "documents"))
 
 
+def op13_importance_resampling(spark, sf):
+    return resample.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -70,6 +75,7 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_language": op9_language,
     "op10_license_scan": op10_license_scan,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 ORACLES: dict[str, str] = {
     "op1_decontamination": decontaminate.ORACLE,
@@ -78,4 +84,5 @@ ORACLES: dict[str, str] = {
     "op5_exact_topk": topk.ORACLE,
     "op8_near_duplicates": oracles.NEAR_DUPLICATES,
     "op10_license_scan": oracles.LICENSES,
+    "op13_importance_resampling": resample.ORACLE,
 }
