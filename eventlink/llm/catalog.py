@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from eventlink.llm import (
+    collocations,
     decontaminate,
     katz,
     language,
@@ -60,6 +61,10 @@ def op10_license_scan(spark, sf):
     return licenses.license_report(table(spark, sf, "documents"))
 
 
+def op12_collocations(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 def op13_importance_resampling(spark, sf):
     return resample.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -75,6 +80,7 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_language": op9_language,
     "op10_license_scan": op10_license_scan,
+    "op12_collocations": op12_collocations,
     "op13_importance_resampling": op13_importance_resampling,
 }
 ORACLES: dict[str, str] = {
@@ -84,5 +90,6 @@ ORACLES: dict[str, str] = {
     "op5_exact_topk": topk.ORACLE,
     "op8_near_duplicates": oracles.NEAR_DUPLICATES,
     "op10_license_scan": oracles.LICENSES,
+    "op12_collocations": collocations.ORACLE,
     "op13_importance_resampling": resample.ORACLE,
 }
