@@ -16,8 +16,10 @@ from eventlink.llm import (
     secrets,
     suffix_dedup,
     topk,
+    warc,
 )
 from eventlink.llm.common import table
+from eventlink.sources.folders import scratch_folder
 
 
 def op1_decontamination(spark, sf):
@@ -61,6 +63,12 @@ def op10_license_scan(spark, sf):
     return licenses.license_report(table(spark, sf, "documents"))
 
 
+def op11_warc(spark, sf):
+    path = scratch_folder(spark, "warc")
+    warc.write_warc(table(spark, sf, "pages"), path)
+    return warc.page_report(warc.read_warc(spark, path, payload=False))
+
+
 def op12_collocations(spark, sf):
     return collocations.collocations(table(spark, sf, "documents"))
 
@@ -80,6 +88,7 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_language": op9_language,
     "op10_license_scan": op10_license_scan,
+    "op11_warc": op11_warc,
     "op12_collocations": op12_collocations,
     "op13_importance_resampling": op13_importance_resampling,
 }
@@ -90,6 +99,7 @@ ORACLES: dict[str, str] = {
     "op5_exact_topk": topk.ORACLE,
     "op8_near_duplicates": oracles.NEAR_DUPLICATES,
     "op10_license_scan": oracles.LICENSES,
+    "op11_warc": warc.ORACLE,
     "op12_collocations": collocations.ORACLE,
     "op13_importance_resampling": resample.ORACLE,
 }
