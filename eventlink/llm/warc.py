@@ -36,7 +36,7 @@ END = b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/[01]\.[0-9]{1,2}\r?\n")
-_START = re.compile(rb"\x1f\x8b\x08|(?m:^)WARC/[01]\.[0-9]{1,2}\r?\n")
+_START = re.compile(rb"\x1f\x8b\x08|WARC/[01]\.[0-9]{1,2}\r?\n")
 _PADDING = re.compile(rb"[\r\n\x00]+")
 _HASHES = {"sha1": hashlib.sha1, "sha256": hashlib.sha256, "md5": hashlib.md5}
 #: A header longer than this is none.

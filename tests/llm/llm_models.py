@@ -106,3 +106,61 @@ def licenses(text):
                 labels.add(label)
     ends = (min(starts), max(starts)) if starts else (None, None)
     return len(w), len(starts), *ends, ",".join(sorted(labels))
+
+
+def collocations(docs, least=30, longest=4, most=2000):
+    """{lang: [(phrase, a, l, r, n, score), …]} of (text, lang) pairs, best first."""
+    counts, total = {}, Counter()
+    for text, lang in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(AZ)):
+            w = [x for x in re.split(r"[\x20\x09]+", piece) if x]
+            total[lang] += len(w)
+            for k in range(1, longest + 1):
+                counts.setdefault(lang, Counter()).update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    out = {}
+    for lang, c in counts.items():
+        cand = [p for p, a in c.items() if len(p) > 1 and a >= least]
+        longer = {}
+        for p in cand:
+            for m in range(2, len(p)):
+                for i in range(len(p) - m + 1):
+                    q = p[i : i + m]
+                    longer[q] = max(longer.get(q, 0), c[p])
+        rows = []
+        for p in cand:
+            a = c[p]
+            if 100 * longer.get(p, 0) >= 80 * a:
+                continue
+            score, _, l, r = min((2000000 * a // (c[p[:k]] + c[p[k:]]), k, c[p[:k]], c[p[k:]]) for k in range(1, len(p)))
+            rows.append((" ".join(p), a, l, r, total[lang], score))
+        rows.sort(key=lambda x: (-x[5], -x[1], x[0].encode()))
+        if rows:
+            out[lang] = rows[:most]
+    return out
+
+
+def resampled(docs, target, least=20, percent=25, seed=7):
+    """Sorted (doc_id, n_features, weight, score, rank) of (doc_id, text) pairs."""
+    import math
+    import zlib
+
+    def buckets(text):
+        w = words(text)
+        runs = w + [f"{a} {b}" for a, b in zip(w, w[1:])]
+        return [zlib.crc32(f.encode()) % 10000 for f in runs]
+
+    s, t = (Counter(b for x in texts for b in buckets(x)) for texts in ([x for _, x in docs], target))
+    s_all, t_all = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (s_all + 10000) / ((s[b] + 1) * (t_all + 10000)))) for b in range(10000)]
+    rows = []
+    for i, text in docs:
+        own = buckets(text)
+        weight = sum(gain[b] for b in own) // len(own) if own else 0
+        h = int(sha(f"{seed}:{'' if i is None else i}")[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append([i, len(own), weight, score, None, len(words(text))])
+    able = sorted((r for r in rows if r[5] >= least), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1]))
+    for rank, r in enumerate(able[: len(able) * percent // 100], 1):
+        r[4] = rank
+    return sorted((tuple(r[:5]) for r in rows), key=str)
