@@ -118,7 +118,7 @@ def test_salvage(pack):
                 end = f.offset + f.length + (0 if f.reason else 4)
             assert not covered[f.offset : end].any()
             covered[f.offset : end] = True
-        assert covered.all()
+        assert set(np.frombuffer(data, np.uint8)[~covered].tolist()) <= {0, 10, 13}
 
 
 def test_salvage_of_foreign_archives():
