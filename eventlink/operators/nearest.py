@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from eventlink.functions.times import micros, span
+from eventlink.functions.times import floor_div, micros, span
 from eventlink.operators.slicing import Slicing, all_set, apart
 
 
@@ -216,6 +216,50 @@ def last_within(
     return _finish(both, obs.columns, payload, reach, "left", None, all_set(*on, "_t"))
 
 
+def last_listed(
+    obs: DataFrame,
+    ref: DataFrame,
+    on: list[str],
+    window,
+    payload,
+    obs_time: str = "ts",
+    ref_time: str = "ts",
+    ref_order: list[str] = ("row_id",),
+) -> DataFrame:
+    """Of the references less than ``window`` seconds before or after each observation the last in ``ref_order``.
+
+    A maximum over a sliding window, without going through the window for each row: time is cut into blocks as long
+    as the window, so a window is the end of one block and the start of the next.  Running maxima from a block's start
+    and from its end, looked up at the window's two ends, give the maximum of all of it.  Observations of one key and
+    time share their look-ups, and references of one key and time end as the last of them before the shuffle.  A
+    block of a key is one task's work; it holds no more rows than it has distinct times.
+    """
+    on, payload, w = list(on), as_map(payload), span(window)
+    width = 2 * w - 1
+    left, right = _sides(obs, ref, on, obs_time, ref_time, payload, list(ref_order), 0)
+    left, rest = apart(left, on, "_t")
+    listed = F.max_by("_ref", "_ref.o")
+    refs = right.groupBy(*on, "_t").agg(listed.alias("_ref"))
+    refs = refs.withColumns({"_of": F.lit(None).cast("long"), "_end": F.lit(0)})
+    times = left.select(*on, F.col("_t").alias("_of")).distinct()
+    ends = F.array(
+        F.struct((F.col("_of") - (w - 1)).alias("_t"), F.lit(-1).alias("_end")),
+        F.struct((F.col("_of") + (w - 1)).alias("_t"), F.lit(1).alias("_end")),
+    )
+    asked = times.select(*on, "_of", F.inline(ends))
+    both = refs.unionByName(asked, allowMissingColumns=True).withColumn("_block", floor_div(F.col("_t"), width))
+    # The window's first end asks for what comes from its time on, the other one for what comes up to its time.
+    by = W.partitionBy(*on, "_block").orderBy("_t", "_end")
+    upto = listed.over(by.rowsBetween(W.unboundedPreceding, W.currentRow))
+    back = W.partitionBy(*on, "_block").orderBy(F.desc("_t"), F.desc("_end"))
+    since = listed.over(back.rowsBetween(W.unboundedPreceding, W.currentRow))
+    found = both.select(*on, "_of", "_end", upto.alias("_upto"), since.alias("_since")).where("_of is not null")
+    value = F.when(F.col("_end") == 1, F.col("_upto")).otherwise(F.col("_since"))
+    found = found.groupBy(*on, F.col("_of").alias("_t")).agg(F.max_by(value, value["o"]).alias("_hit"))
+    both = left.join(found, [*on, "_t"], "left").unionByName(rest, allowMissingColumns=True)
+    return _finish(both, obs.columns, payload, w, "left", None, all_set(*on, "_t"))
+
+
 def keep_or_fill(df: DataFrame, own: str, found: str) -> DataFrame:
     """A match overwrites the row's own id; without one the row keeps it."""
     return df.withColumn(own, F.coalesce(F.col(found), F.col(own))).drop(found)

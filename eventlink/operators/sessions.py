@@ -7,7 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventlink.functions.times import floor_div, micros, span
-from eventlink.operators.slicing import Slicing, apart
+from eventlink.operators.ranges import PART, of_spanning_keys, ranged
+from eventlink.operators.slicing import all_set
+from eventlink.sources.folders import stored
 
 # Sessions of one key that are ordered together to find each one's successor.
 SESSION_BLOCK = 1_000_000
@@ -21,8 +23,6 @@ def sessionize(
     gap=30,
     cap: int | None = None,
     inclusive: bool = True,
-    slicing: Slicing = Slicing(),
-    keep_slice: bool = False,
 ) -> DataFrame:
     """Number the sessions of each key.
 
@@ -30,43 +30,83 @@ def sessionize(
     seconds (less than, if not ``inclusive``) and the session has fewer than ``cap`` rows.  Adds
     ``session_seq`` (1, 2, … per key) and ``session_pos`` (1, 2, … per session).  Rows without a key
     or time stay, with both null.  ``order`` settles equal times and must make rows distinct.
+
+    The rows, dealt out by ranges and numbered within them, become a table of the scratch folder; what is
+    returned adds to it what is carried from range to range.
     """
-    limit = span(gap) if inclusive else span(gap) - 1
-    rows = df.withColumn("_t", micros(df, time))
-    return _number(rows, list(on), list(order), limit, cap, slicing, keep_slice).drop("_t")
+    on, order = list(on), list(order)
+    rules = Rules(limit_of(gap, inclusive), cap)
+    rows = df.withColumn("_t", micros(df, time)).withColumn("_own", all_set(*on, "_t"))
+    rows = ranged(rows, [*on, "_t", *order])
+    rows = stored(rules.inside(rows, on, ["_t", *order]), "sessions")
+    carry = rules.carried(of_spanning_keys(rows, on), on)
+    rows = rules.numbered(rows.join(F.broadcast(carry), [PART, *on], "left"))
+    return rows.drop(PART, "_t", "_own", *CARRY, *INNER)
 
 
 def number_rows(
-    df: DataFrame,
-    on: list[str],
-    time: str = "ts",
-    order: list[str] = ("row_id",),
-    slicing: Slicing = Slicing(),
-    name: str = "pos",
+    df: DataFrame, on: list[str], time: str = "ts", order: list[str] = ("row_id",), name: str = "pos"
 ) -> DataFrame:
     """Position (1, 2, …) of each row within its key, by time.
 
     This is the time-sorted list of a key, kept as rows: a key's list need not fit in one record.
     """
-    rows = df.withColumn("_t", micros(df, time))
-    out = _number(rows, list(on), list(order), None, None, slicing, False)
-    return out.withColumnRenamed("session_pos", name).drop("session_seq", "_t")
-
-
-def _number(rows, on, order, limit, cap, slicing, keep_slice) -> DataFrame:
-    rows, rest = apart(rows, on, "_t")
-    rows = rows.withColumn("_slice", slicing.step("_t"))
-    # What crosses slice borders is worked out from keys, times and order alone.
-    cut = _inside(rows.select(*on, "_slice", "_t", *order), on, order, limit, cap)
-    rows = _inside(rows, on, order, limit, cap)
-
-    # Across slices: one row per key and slice.
-    per = W.partitionBy(*on).orderBy("_slice")
-    earlier = per.rowsBetween(W.unboundedPreceding, -1)
-    upto = per.rowsBetween(W.unboundedPreceding, W.currentRow)
-    s = (
-        cut.groupBy(*on, "_slice")
-        .agg(
+    out = sessionize(df, on, time, order, gap=None)
+    return out.withColumnRenamed("session_pos", name).drop("session_seq")
+
+
+def limit_of(gap, inclusive: bool) -> int | None:
+    """The longest time in microseconds between two rows of a session."""
+    if gap is None:
+        return None
+    return span(gap) if inclusive else span(gap) - 1
+
+
+INNER = ["_break", "_rn", "_run", "_pos", "_heads", "_inner"]
+CARRY = ["_carry", "_lead_heads", "_seq0"]
+
+
+class Rules:
+    """When a session ends: after a longer time than ``limit`` microseconds, and after ``cap`` rows (None: never)."""
+
+    def __init__(self, limit: int | None, cap: int | None):
+        self.limit, self.cap = limit, cap
+
+    def inside(self, rows: DataFrame, on: list[str], sort: list[str]) -> DataFrame:
+        """Runs, positions and session heads of the ``_own`` rows within range and key.
+
+        Run 0 is the leading run: it may continue a session of an earlier range.
+        """
+        by = W.partitionBy(PART, *on).orderBy(*sort)
+        so_far = by.rowsBetween(W.unboundedPreceding, W.currentRow)
+        own = F.col("_own")
+        breaks = F.lit(False)
+        if self.limit is not None:
+            before = F.last(F.when(own, F.col("_t")), ignorenulls=True).over(by.rowsBetween(W.unboundedPreceding, -1))
+            breaks = own & F.coalesce(F.col("_t") - before > self.limit, F.lit(False))
+        rows = rows.withColumns({"_break": breaks, "_rn": F.count_if(own).over(so_far)})
+        begin = F.coalesce(F.max(F.when(F.col("_break"), F.col("_rn"))).over(so_far), F.lit(1))
+        rows = rows.withColumns({"_run": F.count_if("_break").over(so_far), "_begin": begin})
+        rows = rows.withColumn("_pos", F.col("_rn") - F.col("_begin") + 1).drop("_begin")
+        if self.cap is None:
+            return rows.withColumns({"_heads": F.col("_run") + 1, "_inner": F.col("_run")})
+        head = own & (F.pmod(F.col("_pos") - 1, F.lit(self.cap)) == 0)
+        return rows.withColumns(
+            {
+                "_heads": F.count_if(head).over(so_far),
+                "_inner": F.count_if(head & (F.col("_run") > 0)).over(so_far),
+            }
+        )
+
+    def carried(self, rows: DataFrame, on: list[str]) -> DataFrame:
+        """For each range that a key reaches from an earlier one: rows of its open session, sessions so far.
+
+        In closed form from one row a range and key: the rows of the leading run just go on counting.
+        """
+        per = W.partitionBy(*on).orderBy(PART)
+        earlier = per.rowsBetween(W.unboundedPreceding, -1)
+        upto = per.rowsBetween(W.unboundedPreceding, W.currentRow)
+        s = rows.where("_own").groupBy(PART, *on).agg(
             F.count(F.lit(1)).alias("_n"),
             F.min("_t").alias("_first"),
             F.max("_t").alias("_last"),
@@ -75,80 +115,46 @@ def _number(rows, on, order, limit, cap, slicing, keep_slice) -> DataFrame:
             F.count_if(F.col("_run") == 0).alias("_lead"),
             F.max(F.when(F.col("_break"), F.col("_rn"))).alias("_tail_at"),
         )
-    )
-    joined = F.lag("_last").over(per).isNotNull()
-    if limit is not None:
-        joined = F.coalesce(F.col("_first") - F.lag("_last").over(per) <= limit, F.lit(False))
-    s = s.withColumn("_joined", joined).withColumn("_all", F.sum("_n").over(upto))
-    # Rows of the key before the session that is open at the end of the slice.
-    before_open = F.when(F.col("_runs") > 0, F.col("_all") - (F.col("_n") - F.col("_tail_at") + 1))
-    before_open = before_open.when(~F.col("_joined"), F.col("_all") - F.col("_n"))
-    s = s.withColumn("_open", F.col("_all") - F.max(before_open).over(upto))
-    carried = F.when(F.col("_joined"), F.lag("_open").over(per)).otherwise(0)
-    s = s.withColumn("_carry", carried)
-    lead_heads = _chunks(F.col("_carry") + F.col("_lead"), cap) - _chunks(F.col("_carry"), cap)
-    s = s.withColumn("_lead_heads", lead_heads)
-    s = s.withColumn(
-        "_seq0",
-        F.coalesce(F.sum(F.col("_lead_heads") + F.col("_inner_heads")).over(earlier), F.lit(0)),
-    ).select(*on, "_slice", "_carry", "_lead_heads", "_seq0")
-
-    # Back to the rows, which are already partitioned by key and slice.
-    rows = rows.join(s, [*on, "_slice"], "left")
-    leading = F.col("_run") == 0
-    pos = F.col("_pos") + F.when(leading, F.coalesce("_carry", F.lit(0))).otherwise(0)
-    seq = F.col("_seq0") + F.when(leading, _chunks(pos, cap) - _chunks(F.col("_carry"), cap)).otherwise(
-        F.col("_lead_heads") + F.col("_inner")
-    )
-    at = pos if cap is None else F.pmod(pos - 1, F.lit(cap)) + 1
-    rows = rows.withColumns({"session_seq": seq.cast("long"), "session_pos": at.cast("long")})
-    rows = rows.drop(*_INNER).unionByName(rest, allowMissingColumns=True)
-    return rows.withColumnRenamed("_slice", "_part") if keep_slice else rows.drop("_slice")
-
-
-_INNER = ["_break", "_rn", "_run", "_pos", "_heads", "_inner", "_carry", "_lead_heads", "_seq0"]
-
-
-def _inside(rows, on, order, limit, cap) -> DataFrame:
-    """Runs, positions and session heads within the slice.
-
-    Run 0 is the leading run: it may continue a session of an earlier slice.
-    """
-    by = W.partitionBy(*on, "_slice").orderBy("_t", *order)
-    so_far = by.rowsBetween(W.unboundedPreceding, W.currentRow)
-    breaks = F.lit(False)
-    if limit is not None:
-        breaks = F.coalesce(F.col("_t") - F.lag("_t").over(by) > limit, F.lit(False))
-    rows = rows.withColumns({"_break": breaks, "_rn": F.row_number().over(by).cast("long")})
-    begin = F.coalesce(F.max(F.when(F.col("_break"), F.col("_rn"))).over(so_far), F.lit(1))
-    rows = rows.withColumns({"_run": F.count_if("_break").over(so_far), "_begin": begin})
-    rows = rows.withColumn("_pos", F.col("_rn") - F.col("_begin") + 1).drop("_begin")
-    if cap is None:
-        return rows.withColumns({"_heads": F.col("_run") + 1, "_inner": F.col("_run")})
-    head = F.pmod(F.col("_pos") - 1, F.lit(cap)) == 0
-    return rows.withColumns(
-        {
-            "_heads": F.count_if(head).over(so_far),
-            "_inner": F.count_if(head & (F.col("_run") > 0)).over(so_far),
-        }
-    )
-
+        joined = F.lag("_last").over(per).isNotNull()
+        if self.limit is not None:
+            joined = F.coalesce(F.col("_first") - F.lag("_last").over(per) <= self.limit, F.lit(False))
+        s = s.withColumns({"_joined": joined, "_all": F.sum("_n").over(upto), "_late": F.lag("_n").over(per).isNotNull()})
+        # Rows of the key before the session that is open at the end of the range.
+        before_open = F.when(F.col("_runs") > 0, F.col("_all") - (F.col("_n") - F.col("_tail_at") + 1))
+        before_open = before_open.when(~F.col("_joined"), F.col("_all") - F.col("_n"))
+        s = s.withColumn("_open", F.col("_all") - F.max(before_open).over(upto))
+        s = s.withColumn("_carry", F.when(F.col("_joined"), F.lag("_open").over(per)).otherwise(0))
+        lead_heads = self.chunks(F.col("_carry") + F.col("_lead")) - self.chunks(F.col("_carry"))
+        s = s.withColumn("_lead_heads", lead_heads)
+        s = s.withColumn("_seq0", F.sum(F.col("_lead_heads") + F.col("_inner_heads")).over(earlier))
+        return s.where("_late").select(PART, *on, *CARRY)
+
+    def numbered(self, rows: DataFrame) -> DataFrame:
+        """``session_seq`` and ``session_pos`` of the ``_own`` rows from :meth:`inside` with what is :meth:`carried`."""
+        leading = F.col("_run") == 0
+        carry = F.coalesce("_carry", F.lit(0))
+        pos = F.col("_pos") + F.when(leading, carry).otherwise(0)
+        carried = F.col("_seq0") + F.when(leading, self.chunks(pos) - self.chunks(carry)).otherwise(
+            F.col("_lead_heads") + F.col("_inner")
+        )
+        seq = F.coalesce(carried, F.col("_heads"))
+        at = pos if self.cap is None else F.pmod(pos - 1, F.lit(self.cap)) + 1
+        own = F.col("_own")
+        return rows.withColumns(
+            {"session_seq": F.when(own, seq.cast("long")), "session_pos": F.when(own, at.cast("long"))}
+        )
 
-def _chunks(n: Column, cap: int | None) -> Column:
-    """Number of sessions that ``n`` rows in a row fill, the last one maybe in part."""
-    return F.when(n > 0, 1).otherwise(0) if cap is None else floor_div(n + (cap - 1), cap)
+    def chunks(self, n: Column) -> Column:
+        """Number of sessions that ``n`` rows in a row fill, the last one maybe in part."""
+        return F.when(n > 0, 1).otherwise(0) if self.cap is None else floor_div(n + (self.cap - 1), self.cap)
 
 
 def session_heads(df: DataFrame, on: list[str], time: str, order: list[str]) -> DataFrame:
     """One row per session: start, first row, end, size, start of the key's next session.
 
-    ``df`` comes from :func:`sessionize`.  With ``keep_slice`` there, ``_part_from`` and ``_part_to``
-    tell which slices the session spans.
+    ``df`` comes from :func:`sessionize`.
     """
     first = F.col("session_pos") == 1
-    slices = []
-    if "_part" in df.columns:
-        slices = [F.min("_part").alias("_part_from"), F.max("_part").alias("_part_to")]
     s = (
         df.where(F.col("session_seq").isNotNull())
         .groupBy(*on, "session_seq")
@@ -157,7 +163,6 @@ def session_heads(df: DataFrame, on: list[str], time: str, order: list[str]) ->
             *[F.max(F.when(first, F.col(c))).alias(f"start_{c}") for c in order],
             F.max(time).alias("end_ts"),
             F.count(F.lit(1)).alias("n_rows"),
-            *slices,
         )
     )
     return _with_next_start(s, on)
@@ -176,16 +181,3 @@ def _with_next_start(s: DataFrame, on: list[str]) -> DataFrame:
     by = W.partitionBy(*on, "_block").orderBy("session_seq")
     s = s.withColumn("next_start_ts", F.lead("start_ts").over(by))
     return s.where("_block = _home").drop("_block", "_home")
-
-
-def tag_sessions(rows: DataFrame, sessions: DataFrame, on: list[str]) -> DataFrame:
-    """Give every row the columns of its session.
-
-    ``rows`` has ``_part`` (``keep_slice=True``).  A session is copied to each slice it spans and
-    joined on key, slice and session, so that a long session of a cut key is spread over its slices.
-    """
-    sessions = sessions.withColumn("_part", F.explode(F.sequence("_part_from", "_part_to")))
-    sessions = sessions.drop("_part_from", "_part_to")
-    none = F.col("session_seq").isNull()
-    tagged = rows.where(~none).join(sessions, [*on, "_part", "session_seq"], "left")
-    return tagged.unionByName(rows.where(none), allowMissingColumns=True).drop("_part")

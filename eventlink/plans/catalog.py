@@ -18,6 +18,7 @@ from eventlink.operators import (
     sessions,
     words,
 )
+from eventlink.operators.slicing import Slicing
 from eventlink.plans import jobs, views
 from eventlink.sources import folders, schemas
 
@@ -200,7 +201,7 @@ def backfill_nearest_output(spark, sf):
 
 def backfill_nearest_carry(spark, sf):
     """As ``backfill_nearest``, with slices far below the bound, so that most matches are carried."""
-    how = sessions.Slicing(width=views.HOUR_S * 100_000)
+    how = Slicing(width=views.HOUR_S * 100_000)
     return nearest.keep_or_fill(_nearest(spark, sf, slicing=how), "id", "found")
 
 
@@ -251,7 +252,15 @@ def session_nearest_dedup(spark, sf):
 
 
 def segment_last_in_window(spark, sf):
-    return _session_join(session_joins.segment_last_in_window, spark, sf)
+    """References listed in another order than that of time, some without an id."""
+    o = views.obs(spark, sf).select("row_id", "k", "ts")
+    r = views.ref_listed(spark, sf)
+    out = session_joins.segment_last_in_window(o, r, ["k"], H12, ["id"], gap=GAP, ref_order=["listed"])
+    return out.select("row_id", "k", "session_seq", "id")
+
+
+def segment_latest_in_window(spark, sf):
+    return _session_join(session_joins.segment_last_in_window, spark, sf, latest="time")
 
 
 def _located(spark, sf, **kw):
@@ -548,6 +557,7 @@ QUERIES = {
         session_nearest_pair,
         session_nearest_dedup,
         segment_last_in_window,
+        segment_latest_in_window,
         location_nearest,
         location_nearest_preconverted,
         session_location,

@@ -303,6 +303,17 @@ ORACLES = {
         recursive=True,
     ),
     "segment_last_in_window": sql(
+        f""", {walk(cap=None, near="<")},
+        hits as (select s.k, s.session_seq, max_by(r.id, (s.ts, s.row_id, r.listed)) hit
+            from sess s join ref_listed r on s.k = r.k and abs(epoch_us(r.ts) - epoch_us(s.ts)) < {H12}
+                and r.id is not null
+            group by s.k, s.session_seq) {SESSION_HIT}""",
+        "obs",
+        "ref",
+        "ref_listed",
+        recursive=True,
+    ),
+    "segment_latest_in_window": sql(
         f""", {walk(cap=None, near="<")},
         hits as (select s.k, s.session_seq, max_by(r.id, (s.ts, s.row_id, r.ts, r.row_id)) hit
             from sess s join ref r on s.k = r.k and abs(epoch_us(r.ts) - epoch_us(s.ts)) < {H12}

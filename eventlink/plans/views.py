@@ -66,6 +66,13 @@ def ref(spark, sf) -> DataFrame:
     )
 
 
+def ref_listed(spark, sf) -> DataFrame:
+    """References in the order of a list that is not that of time; every seventh has no id."""
+    r = ref(spark, sf)
+    id_ = F.when(F.col("row_id") % 7 != 0, F.col("id"))
+    return r.select("row_id", "k", "ts", id_.alias("id"), F.concat((F.col("row_id") % 10).cast("string"), "id").alias("listed"))
+
+
 def obs_day(spark, sf) -> DataFrame:
     o = table(spark, sf, "orders").where("o_orderstatus <> 'F'")
     return o.select(
@@ -208,6 +215,7 @@ SQL = {
         'u' || user_id || '_' || event_id % 2 sub_id, {_EVENT_LON} lon, {_EVENT_LAT} lat,
         (event_id % 4)::int locate_system
         from events where event_type in ('signup','purchase')""",
+    "ref_listed": """select row_id, k, ts, case when row_id % 7 <> 0 then id end id, (row_id % 10) || id listed from ref""",
     "obs_day": """select o_orderkey row_id, o_custkey % 100 k, o_orderdate ts
         from orders where o_orderstatus <> 'F'""",
     "ref_day": """select o_orderkey row_id, o_custkey % 100 k, o_orderdate ts, 'o' || o_orderkey id

@@ -105,3 +105,19 @@ def segment_last(rows, refs, gap, window):
                     hit = ri
         out.update({m[2]: hit for m in members})
     return out
+
+
+def segment_last_listed(rows, refs, gap, window):
+    """``refs`` in the order of their list: the last assignment wins."""
+    out, seqs = {}, sessions(rows, gap, None, inclusive=False)
+    groups = {}
+    for r in sorted((r for r in rows if r[2] in seqs), key=lambda r: (r[1], r[2])):
+        groups.setdefault((r[0], seqs[r[2]][0]), []).append(r)
+    for (k, _), members in groups.items():
+        hit = None
+        for _, t, _i in members:
+            for rk, rt, ri in refs:
+                if rk == k and rt != -1 and abs(rt - t) < window:
+                    hit = ri
+        out.update({m[2]: hit for m in members})
+    return out

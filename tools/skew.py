@@ -59,9 +59,8 @@ def main(folder, millions, only):
         "nearest 12h, slices": lambda: nearest_join(obs, ref, ["k"], 43200, ["id"]),
         "nearest 12h, one slice per key": lambda: nearest_join(obs, ref, ["k"], 43200, ["id"], slicing=whole),
         "prev/next, slices": lambda: prev_next(obs, ref, ["k"], ["id"]),
-        "sessions, slices": lambda: sessionize(obs, ["k"], gap=30, cap=150),
-        "sessions, keys whole": lambda: sessionize(obs, ["k"], gap=30, cap=150, slicing=whole),
-        "session start, slices": lambda: session_nearest_start(obs, ref, ["k"], 30, ["id"]),
+        "sessions, ranges": lambda: sessionize(obs, ["k"], gap=30, cap=150),
+        "session start, ranges": lambda: session_nearest_start(obs, ref, ["k"], 30, ["id"]),
     }
     nearest_join(obs.where("k = 7"), ref.where("k = 7"), ["k"], 30, ["id"]).count()  # warm up
     for name, run in runs.items():
