@@ -2,19 +2,21 @@
 
 A sample of the documents proposes: the runs of words that are frequent there, under a lowered limit, are the
 proposal.  A run whose two parts, without its first and without its last word, are proposed but which is not proposed
-itself is on the negative border.  A pass over all documents counts proposal and border exactly.  A border run that
-turns out frequent is a failure of the border: runs that it is a part of were not counted.  So passes follow that count
-what lies between the runs known by now, until one finds no new frequent run that could be extended.
-
-The proposal reaches the tasks as a table of bits of a bounded size.  A crowded table lets more runs be counted
-than necessary, never fewer.  Each run belongs to just one pass, the first whose table lets both its parts through.
-Tasks count by their words' exact content before anything is shuffled.
+itself is on the negative border.  A pass over all documents counts proposal and border.  A border run that
+turns out frequent is a failure of the border: runs that it is a part of were not counted.  Every frequent run that was
+not counted holds such a run, at the latest in the shortest of its parts that was not proposed.  So an expansion pass
+counts all runs, of any length, that hold a failed one, and with it the frequent runs are closed.
+
+The proposal and the failures reach the tasks as tables of bits of a bounded size.  A crowded table lets more runs be
+counted than necessary, never fewer, and no run is counted by both passes.  These passes count hashes; a last one
+counts the words themselves of the runs that are left, so the result is exact.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +34,17 @@ SHARE = 4
 COVER = 80
 SCALE = 2_000_000
 UNKNOWN = "und"
-#: A bit table has 16 bits for each run it holds, within these bounds (16 MB at most).
-LEAST_BITS, MOST_BITS = 12, 27
+#: A bit table has so many bits for each run it holds, or up to twice as many, within these bounds (16 MB at most).
+BITS_EACH, LEAST_BITS, MOST_BITS = 8, 12, 27
+#: Hashes that a task sums up before it hands them on.
+AT_ONCE = 1 << 21
 #: Parts that a language's phrases are ranked in before the whole.
 PARTS = 64
 _BREAK = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
 _WORD = ~_BREAK & ~np.isin(np.arange(256), [0x20, 0x09])
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_COUNTED = "lang string, k int, h long, phrase string, n long"
+#: The bits of a hash that tell its run's length.
+_TAG = np.uint64(3)
 
 
 class Sieve:
@@ -53,9 +58,9 @@ class Sieve:
         return (self.table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def sieve_of(runs: DataFrame, n: int) -> Sieve:
-    """The bits of the hashes ``h`` of about n runs; the driver gets one row for each used word of the table."""
-    bits = max(LEAST_BITS, min(MOST_BITS, (16 * max(n, 1) - 1).bit_length()))
+def sieve_of(runs: DataFrame) -> Sieve:
+    """The bits of the hashes ``h`` of a written table; the driver gets one row for each used word of 64 bits."""
+    bits = max(LEAST_BITS, min(MOST_BITS, (BITS_EACH * max(runs.count(), 1) - 1).bit_length()))
     place = F.pmod("h", F.lit(1 << bits))
     words = runs.select(F.shiftright(place, 6).alias("k"), F.pmod(place, F.lit(64)).cast("int").alias("b"))
     got = words.groupBy("k").agg(F.expr("bit_or(shiftleft(1L, b))").alias("v")).toArrow()
@@ -64,88 +69,145 @@ def sieve_of(runs: DataFrame, n: int) -> Sieve:
     return Sieve(table)
 
 
-def _joined(vocabulary: pa.Array, ids: np.ndarray, first: np.ndarray, k: int) -> pa.Array:
-    if k == 1:
-        return vocabulary.take(pa.array(ids[first]))
-    parts = [vocabulary.take(pa.array(ids[first + j])) for j in range(k)]
-    return pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
-
+class Runs:
+    """The runs of some texts of one language: for each length the hashes of those that lie within a piece.
 
-def count_runs(part: pa.Array, seed: np.uint64, lengths, accept) -> list[tuple]:
-    """(k, hashes, runs, counts) of the runs of some texts, for each k of ``lengths``; k = 0: all words as one run.
-
-    ``accept(k, prefix, suffix)`` tells from the hashes of a run's two parts whether it is counted.
+    A hash tells language and length, too.  It is only used to rule runs out.
     """
-    buf, offsets = raw(part)
-    starts, ends, h, doc = tokens(buf, offsets, _WORD)
-    n = len(starts)
-    if not n:
-        return []
-    size = ends - starts
-    own = TO_LOWER[buf[_WORD[buf]]]
-    at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-    words = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(at), pa.py_buffer(own)]).dictionary_encode()
-    ids, vocabulary = words.indices.to_numpy().astype(np.int64), words.dictionary
-    v = len(vocabulary)
-    broken = np.cumsum(_BREAK[buf])
-    same = (doc[1:] == doc[:-1]) & (broken[starts[1:]] == broken[ends[:-1] - 1])
-    out = []
-    one = mix(h + seed)
-    if 1 in lengths:
-        first = np.empty(v, np.int64)
-        first[ids[::-1]] = np.arange(n)[::-1]
-        out.append((1, one[first], vocabulary, np.bincount(ids, minlength=v)))
-        out.append((0, np.zeros(1, np.uint64), pa.array([""], pa.large_string()), np.array([n])))
-    run, last = np.ones(n, bool), one
-    for k in range(2, max(lengths) + 1):
-        m = n - k + 1
-        if m <= 0:
-            break
-        run = run[:m] & same[k - 2 :]
-        if k in lengths:
+
+    def __init__(self, part: pa.Array, seed: np.uint64):
+        self.buf, offsets = raw(part)
+        self.starts, self.ends, h, doc = tokens(self.buf, offsets, _WORD)
+        self.n, self.one = len(self.starts), mix(h + seed)
+        broken = np.cumsum(_BREAK[self.buf])
+        self.same = (doc[1:] == doc[:-1]) & (broken[self.starts[1:]] == broken[self.ends[:-1] - 1])
+
+    def of_lengths(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(k, hash by first word, whether the words from there on are a run) for k = 1, 2, …"""
+        run, last = np.ones(self.n, bool), self.one
+        yield 1, _tagged(last, 1), run
+        for k in range(2, min(longest, self.n) + 1):
+            m = self.n - k + 1
+            run, last = run[:m] & self.same[k - 2 :], mix(last[:m] * _ODD + self.one[k - 1 :])
+            yield k, _tagged(last, k), run
+
+    def hashes(self, lengths, parts: Sieve | None, missed: Sieve | None = None) -> np.ndarray:
+        """Hashes of the occurrences of the runs of ``lengths`` whose two parts are both in ``parts`` (None: of all).
+
+        With ``missed`` it is the others, of which some part is in ``missed``.
+        """
+        out, before, holds = [np.empty(0, np.uint64)], None, None
+        for k, h, run in self.of_lengths(max(lengths)):
+            if missed is not None:  # whether the run from a word on holds a missed run
+                inner = np.zeros(len(h), bool) if k == 1 else holds[:-1] | holds[1:]
+                holds = inner | missed(h)
+            if k in lengths:
+                found = np.flatnonzero(run if missed is None else run & inner)
+                if k > 1 and parts is not None:
+                    both = parts(before[found]) & parts(before[found + 1])
+                    found = found[both if missed is None else ~both]
+                out.append(h[found])
+            before = h
+        return np.concatenate(out)
+
+    def exact(self, longest: int, wanted: Sieve) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+        """(k, runs, counts) of the runs whose hashes are ``wanted``, counted by their words' content."""
+        size = self.ends - self.starts
+        own = TO_LOWER[self.buf[_WORD[self.buf]]]
+        at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_string(), self.n, [None, pa.py_buffer(at), pa.py_buffer(own)])
+        ids, names = None, None
+        for k, h, run in self.of_lengths(longest):
             found = np.flatnonzero(run)
-            found = found[accept(k, last[found], last[found + 1])]
+            found = found[wanted(h[found])]
+            if not len(found):
+                continue
+            if ids is None:
+                words = words.dictionary_encode()
+                ids, names = words.indices.to_numpy().astype(np.int64), words.dictionary
             key = ids[found]
             for j in range(1, k):
                 if j > 1:  # smaller numbers for the runs so far, so that the next word fits beside them
                     key = np.unique(key, return_inverse=True)[1].reshape(-1)
-                key = key * v + ids[found + j]
+                key = key * len(names) + ids[found + j]
             _, first, count = np.unique(key, return_index=True, return_counts=True)
-            first = found[first]
-        last = mix(last[:m] * _ODD + one[k - 1 :])
-        if k in lengths and len(first):
-            out.append((k, last[first], _joined(vocabulary, ids, first, k), count))
-    return out
+            parts = [names.take(pa.array(ids[found[first] + j])) for j in range(k)]
+            yield k, parts[0] if k == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())), count
+
+
+def _tagged(h: np.ndarray, k: int) -> np.ndarray:
+    """The hash with the length less 1 in its lowest bits."""
+    return h & ~_TAG | np.uint64(k - 1)
+
+
+def _length(h: str = "h"):
+    return F.col(h).bitwiseAND(F.lit(int(_TAG))) + 1
 
 
 def _seed(lang: str) -> np.uint64:
     return mix(np.array([zlib.crc32(lang.encode()) + 1], np.uint64))[0]
 
 
-def counted(docs: DataFrame, lengths, accept) -> DataFrame:
-    """lang, k, h, phrase, n of the accepted runs of all texts of ``docs`` (lang, text)."""
+def _by_language(batches) -> Iterator[tuple[str, Runs]]:
+    for batch in batches:
+        texts, langs = texts_of(batch.column(0)), batch.column(1)
+        for lang in pc.unique(langs).to_pylist():
+            for part in pieces(texts.filter(pc.equal(langs, lang))):
+                runs = Runs(part, _seed(lang))
+                if runs.n:
+                    yield lang, runs
+
+
+def hash_counts(docs: DataFrame, lengths, least: int, parts: Sieve | None, missed: Sieve | None = None) -> DataFrame:
+    """h and n of the hashes of :meth:`Runs.hashes` that come up ``least`` times in all of ``docs`` (text, lang).
+
+    Two runs of one hash count together, so no frequent run is missed.
+    """
+
+    def summed(held):
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    def run(batches):
+        held, size = [], 0
+        for _, runs in _by_language(batches):
+            held.append(runs.hashes(lengths, parts, missed))
+            size += len(held[-1])
+            if size > AT_ONCE:
+                yield summed(held)
+                held, size = [], 0
+        if size:
+            yield summed(held)
+
+    rows = docs.select("text", "lang").mapInArrow(run, "h long, n long")
+    # dealt out first: hardly any of a task's hashes come up in it again, so summing them there would only cost memory
+    return rows.repartition("h").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def exact_counts(docs: DataFrame, longest: int, wanted: Sieve) -> DataFrame:
+    """lang, k, phrase, n of the runs whose hashes are wanted, by their words; k = 0: all words of the language."""
+    names = ["lang", "k", "phrase", "n"]
+
+    def summed(held):
+        out = pa.concat_tables(held).group_by(names[:3]).aggregate([("n", "sum")])
+        return out.rename_columns(names).combine_chunks().to_batches()
 
     def run(batches):
-        for batch in batches:
-            texts, langs = texts_of(batch.column(0)), batch.column(1)
-            for lang in pc.unique(langs).to_pylist():
-                mine, seed = texts.filter(pc.equal(langs, lang)), _seed(lang)
-                for part in pieces(mine):
-                    for k, h, phrase, n in count_runs(part, seed, lengths, accept):
-                        m = len(n)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([lang]).take(pa.array(np.zeros(m, np.int64))),
-                                pa.array(np.full(m, k, np.int32)),
-                                pa.array(h.view(np.int64)),
-                                phrase.cast(pa.string()),
-                                pa.array(n.astype(np.int64)),
-                            ],
-                            names=["lang", "k", "h", "phrase", "n"],
-                        )
-
-    rows = docs.select("text", "lang").mapInArrow(run, _COUNTED)
-    return rows.groupBy("lang", "k", "phrase").agg(F.first("h").alias("h"), F.sum("n").alias("n"))
+        held, size = [], 0
+        for lang, runs in _by_language(batches):
+            total = (0, pa.array([""], pa.large_string()), np.array([runs.n]))
+            for k, phrase, n in (total, *runs.exact(longest, wanted)):
+                cols = [pa.array([lang] * len(n)), pa.array(np.full(len(n), k, np.int32)), phrase.cast(pa.string()), pa.array(n)]
+                held.append(pa.table(cols, names=names))
+                size += len(n)
+            if size > AT_ONCE // 4:
+                yield from summed(held)
+                held, size = [], 0
+        if held:
+            yield from summed(held)
+
+    rows = docs.select("text", "lang").mapInArrow(run, "lang string, k int, phrase string, n long")
+    return rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
 
 def lowered(least: int, share: int) -> int:
@@ -154,31 +216,14 @@ def lowered(least: int, share: int) -> int:
     return max(2, math.floor(mean - 1.5 * math.sqrt(mean)))
 
 
-def propose(docs: DataFrame, least: int, share: int, longest: int) -> DataFrame:
-    """The runs, shorter than ``longest``, that are frequent in the sample ``docs``."""
-    low = lowered(least, share)
-    every = lambda k, prefix, suffix: np.ones(len(prefix), bool)
-    out = saved(counted(docs, range(1, min(3, longest)), every).where((F.col("n") >= low) & (F.col("k") > 0)), "proposed")
+def propose(docs: DataFrame, least: int, longest: int) -> DataFrame:
+    """Hashes of the runs, shorter than ``longest``, that come up ``least`` times in the sample ``docs``."""
+    out = saved(hash_counts(docs, range(1, min(3, longest)), least, None), "proposed")
     for k in range(3, longest):
-        sieve = sieve_of(out.where(F.col("k") == k - 1), out.where(F.col("k") == k - 1).count())
-        both = lambda k, prefix, suffix, sieve=sieve: sieve(prefix) & sieve(suffix)
-        longer = saved(counted(docs, [k], both).where(F.col("n") >= low), "proposed")
-        out = out.unionByName(longer)
+        out = out.unionByName(saved(hash_counts(docs, [k], least, sieve_of(out.where(_length() == k - 1))), "proposed"))
     return out
 
 
-def _pass(sieves: list[Sieve]):
-    """Both parts pass the last sieve and not both one before."""
-
-    def accept(k, prefix, suffix):
-        ok = sieves[-1](prefix) & sieves[-1](suffix)
-        for sieve in sieves[:-1]:
-            ok &= ~(sieve(prefix) & sieve(suffix))
-        return ok
-
-    return accept
-
-
 def frequent_runs(
     docs: DataFrame,
     text: str = "text",
@@ -188,25 +233,26 @@ def frequent_runs(
     longest: int = LONGEST,
     share: int = SHARE,
 ) -> tuple[DataFrame, DataFrame, int]:
-    """(lang, k, phrase, h, n of every run of up to ``longest`` words that occurs ``least`` times in its language;
-    lang, n of all words; passes over all documents).  ``longest`` is 2 or more."""
+    """(lang, k, phrase, n of every run of up to ``longest`` words that occurs ``least`` times in its language;
+    lang, n of all words; how many passes it took until all were counted).  ``longest`` is 2, 3 or 4.
+
+    These passes count 64-bit hashes, which leaves little to shuffle; another one counts the words themselves of the
+    runs whose hashes are frequent enough.
+    """
     own = docs.select(
         F.col(text).alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(key).alias("key")
     )
-    known = propose(own.where(crc_mod(F.col("key"), share) == 0), least, share, longest)
-    sieves, passes, found = [], [], None
-    while True:
-        sieves.append(sieve_of(known, known.count()))
-        lengths = range(2 if passes else 1, longest + 1)
-        rows = counted(own, lengths, _pass(list(sieves))).where((F.col("n") >= least) | (F.col("k") == 0))
-        passes.append(saved(rows, "counted"))
-        new = passes[-1].where(F.col("k").between(1, longest - 1))
-        failed = new.join(known.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-        found = passes[-1] if found is None else found.unionByName(passes[-1])
-        if not failed.limit(1).count():
-            words = passes[0].where("k = 0").select("lang", "n")
-            return found.where("k > 0"), words, len(passes)
-        known = found.where(F.col("k").between(1, longest - 1))
+    known = propose(own.where(crc_mod(F.col("key"), share) == 0), lowered(least, share), longest)
+    parts = sieve_of(known)
+    found = saved(hash_counts(own, range(1, longest + 1), least, parts), "counted")
+    # what is frequent, may be a part of more, and was not known to be while its wholes were counted
+    missed = saved(found.where(_length() < longest).join(known, "h", "left_anti"), "missed")
+    failed = missed.limit(1).count() > 0
+    if failed:
+        found = found.unionByName(saved(hash_counts(own, range(2, longest + 1), least, parts, sieve_of(missed)), "counted"))
+    runs = exact_counts(own, longest, sieve_of(found)).where((F.col("n") >= least) | (F.col("k") == 0))
+    runs = saved(runs, "runs")
+    return runs.where("k > 0"), runs.where("k = 0").select("lang", "n"), 1 + failed
 
 
 def collocations(
@@ -220,7 +266,7 @@ def collocations(
     cover: int = COVER,
     share: int = SHARE,
 ) -> DataFrame:
-    """Each language's ``most`` best phrases of 2 to ``longest`` words: lang, rank, phrase, a, l, r, n, score.
+    """Each language's ``most`` best phrases of 2 to ``longest`` (4 at most) words: lang, rank, phrase, a, l, r, n, score.
 
     Words end at space and tab, pieces at ``. , ; : ! ?`` and line ends; a phrase lies within a piece and occurs ``least``
     times or more (a), overlaps counted.  Its score is that of its weakest cut into a first part (l) and a rest (r):
@@ -230,7 +276,7 @@ def collocations(
     Repeated rows count again each.  ``key`` only draws the sample, on which the result does not depend.
     """
     runs, words, _ = frequent_runs(docs, text, lang, key, least, longest, share)
-    runs = saved(runs.select("lang", "k", "phrase", F.col("n").alias("a")), "runs")
+    runs = runs.select("lang", "k", "phrase", F.col("n").alias("a"))
     cand = runs.where("k > 1").withColumn("w", F.split("phrase", " "))
     part = lambda i, n: F.array_join(F.slice("w", i, n), " ")
     cuts = cand.select("lang", "phrase", "a", "k", "w", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
