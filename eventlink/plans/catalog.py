@@ -16,10 +16,11 @@ from eventlink.operators import (
     quality,
     session_joins,
     sessions,
+    shapes,
     words,
 )
 from eventlink.operators.slicing import Slicing
-from eventlink.plans import jobs, views
+from eventlink.plans import jobs, runs, views
 from eventlink.sources import folders, schemas
 
 H12 = 12 * views.HOUR_S
@@ -102,6 +103,22 @@ def decode_neighbours(spark, sf):
     )
 
 
+def decode_shapes(spark, sf):
+    """Text records of two shapes, put together with serving cell and neighbours; what is bad keeps its text and reason."""
+    df = shapes.decode_observations(views.obs_lines(spark, sf))
+    basic = [name for name, _ in shapes.BASIC]
+    cell = F.transform("nc", lambda x: F.concat_ws(":", x["earfcn"], x["pci"], x["rsrp"]))
+    return df.select(
+        "row_id",
+        *basic,
+        *[F.col("sc")[f].alias(f"sc_{f}") for f in ("earfcn", "pci", "rsrp")],
+        F.array_join(cell, " ").alias("nc"),
+        "is_bad",
+        "reason",
+        "raw",
+    )
+
+
 def basic_params(spark, sf):
     return views.obs_raw(spark, sf).select(*clean.basic_columns())
 
@@ -519,6 +536,72 @@ def job_chain(spark, sf):
     return _positions(out)
 
 
+def job_backfill_outcomes(spark, sf):
+    """From text lines to a folder for each outcome; nothing that was read is dropped."""
+    path = folders.scratch_folder(spark, "outcomes")
+    lines = folders.stored(shapes.decode_observations(views.obs_lines(spark, sf)), "decoded")
+    out = jobs.backfill_outcomes(lines, views.ref_raw(spark, sf), bound=H12, ref_range=(FIRST, LAST))
+    out = out.select("row_id", "ts", "id", "distance", "reason", "raw", "outcome")
+    jobs.write_outcomes(out, path)
+    return spark.read.schema(out.schema).parquet(path)
+
+
+# --- hourly runs ----------------------------------------------------------------------------------
+
+AROUND = runs.Around(RUN_AROUND, RUN_AROUND)
+LATE = 30
+
+
+def _hourly(spark, sf):
+    """Observations and references as tables with a folder for each day."""
+    obs = views.in_folders(views.obs_decoded(spark, sf), "obs", "ts")
+    return obs, views.in_folders(views.ref_raw(spark, sf), "ref", "start_ts")
+
+
+def _delivered(df):
+    return df.select("row_id", "ts", "mme_ue_s1ap_id", "id", "distance", "matched", "day", "hour")
+
+
+def job_backfill_hour(spark, sf):
+    """One hour's run: its folder, as it is written, with the references of half a day around it."""
+    obs, ref = _hourly(spark, sf)
+    path = folders.scratch_folder(spark, "hourly")
+    filled = runs.backfill_hour(obs, ref, RUN_DAY, RUN_HOUR, AROUND, bound=H12)
+    out = _delivered(jobs.backfill_output(filled))
+    runs.write_hour(out, path, RUN_DAY, RUN_HOUR)
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def job_location_hour(spark, sf):
+    """One hour's location run, on observations that come with an id."""
+    obs = views.in_folders(_delivered_ids(spark, sf), "obs", "ts")
+    ref = views.in_folders(views.ref_raw(spark, sf), "ref", "start_ts")
+    grid, hour = views.grid(spark, sf), (RUN_DAY, RUN_HOUR)
+    located = runs.location_hour(obs, ref, grid, MERIDIAN, *hour, AROUND, bound=H12, distance=None)
+    return _positions(jobs.location_output(located, XY_BOUNDS))
+
+
+def job_backfill_hours(spark, sf):
+    """All hours' runs with the usual look-around, as one job; not written."""
+    obs, ref = _hourly(spark, sf)
+    hours = obs.where("day is not null").select("day", "hour").distinct()
+    return _delivered(jobs.backfill_output(runs.backfill_hours(obs, ref, hours, bound=H12)))
+
+
+def job_backfill_late(spark, sf):
+    """A day's runs, written; then references that came late, and the hours that they change run again."""
+    obs, ref = _hourly(spark, sf)
+    path, day = folders.scratch_folder(spark, "late"), runs.hours_of_day(spark, RUN_DAY)
+    is_late = (F.col("row_id") % 5 == 2) & (F.col("day") == RUN_DAY) & F.col("hour").between("09", "11")
+    is_late = F.coalesce(is_late, F.lit(False))
+    how = dict(around=runs.Around(LATE, LATE), bound=views.HOUR_S)
+    finish = lambda df: _delivered(jobs.backfill_output(df))
+    first = finish(runs.backfill_hours(obs, ref.where(~is_late), day, **how))
+    folders.write_hours(first, path, "parquet")
+    runs.backfill_late(obs, ref, ref.where(is_late), path, within=day, finish=finish, **how)
+    return spark.read.schema(first.schema).parquet(path)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -531,6 +614,7 @@ QUERIES = {
         parse_refs,
         bad_records,
         decode_neighbours,
+        decode_shapes,
         basic_params,
         valid_refs,
         valid_locations,
@@ -588,5 +672,10 @@ QUERIES = {
         job_location,
         job_location_written,
         job_chain,
+        job_backfill_outcomes,
+        job_backfill_hour,
+        job_location_hour,
+        job_backfill_hours,
+        job_backfill_late,
     )
 }

@@ -78,6 +78,24 @@ def backfill_output(filled: DataFrame) -> DataFrame:
     return filled.where(has_id(F.col("id")))
 
 
+def backfill_outcomes(obs: DataFrame, ref: DataFrame | None, **args) -> DataFrame:
+    """Every observation that was read, with its ``outcome``: ``filled``, ``unmatched`` or ``bad``.
+
+    ``obs`` has ``is_bad`` (null counts as bad), and with it whatever tells why; those columns stay.  Bad rows never meet a reference.
+    """
+    bad = F.coalesce(F.col("is_bad"), F.lit(True))
+    filled = backfill(obs.where(~bad), ref, **args)
+    outcome = F.when(F.col("matched"), "filled").otherwise("unmatched")
+    return filled.withColumn("outcome", outcome).unionByName(
+        obs.where(bad).drop("is_bad").withColumns({"matched": F.lit(False), "outcome": F.lit("bad")}), allowMissingColumns=True
+    )
+
+
+def write_outcomes(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
+    """One write with a folder for each outcome, large ones in several files."""
+    df.hint("rebalance", "outcome").write.mode("overwrite").options(**options).partitionBy("outcome").format(fmt).save(path)
+
+
 def attach_location(
     obs: DataFrame,
     locations: DataFrame,

@@ -156,6 +156,31 @@ HOURS = """case when ts <> -1 then strftime(make_timestamp(ts * 1000), '%Y%m%d')
 COUNTERS = """count(*) over () rows_merged, sum((hit)::int) over ()::bigint matched,
     sum((ts <> -1 and not hit)::int) over ()::bigint unmatched, sum((ts = -1)::int) over ()::bigint no_time"""
 
+ROW_HOUR = """strftime(make_timestamp(ts * 1000), '%Y%m%d') "day", strftime(make_timestamp(ts * 1000), '%H') "hour\""""
+RUN_HOUR = "ts <> -1 and strftime(make_timestamp(ts * 1000), '%Y%m%d%H') = '2024011510'"
+RUN_DAY = "ts <> -1 and strftime(make_timestamp(ts * 1000), '%Y%m%d') = '20240115'"
+
+
+def hourly(bound, advance, later, only="ts <> -1"):
+    """The backfill of every hour by itself: references from ``advance`` minutes before to ``later`` minutes after it."""
+    hour = "o.ts // 3600000 * 3600000"
+    pairs = best(
+        bound, LATER, "obs_raw", "ref_raw",
+        "o.mme_ue_s1ap_id = r.mme_ue_s1ap_id and o.eci // 256 = r.eci // 256",
+        "o.ts * 1000", "r.start_ts * 1000",
+        extra=f"""and o.ts <> -1 and r.start_ts <> -1 and r.end_ts <> -1 and r.id <> '\\N'
+        and r.start_ts between {hour} - {advance * 60000} and {hour} + {(later + 60) * 60000}""",
+    )
+    return f""", {pairs}, {RAW_FILLED} select row_id, ts, mme_ue_s1ap_id, id, distance, matched, {ROW_HOUR}
+        from filled where coalesce(id, '') <> '' and {only}"""
+
+
+SHAPES = """
+    shapes as (select *, reason is not null is_bad from (select o.*, line,
+        case when row_id % 61 = 0 or row_id % 67 = 0 then 'shape' when row_id % 53 = 0 then 'lists'
+            when row_id % 59 = 0 or (row_id % 71 = 0 and row_id % 4 > 1) then 'number' end reason
+        from obs_raw o join obs_lines using (row_id)))"""
+
 ORACLES = {
     "scan_delimited": sql("select row_id, k, (epoch_us(ts) // 1000) ts, id from obs", "obs"),
     "sink_roundtrip": sql(
@@ -188,6 +213,20 @@ ORACLES = {
     "decode_neighbours": """select l_orderkey, 2::bigint n_cells, l_partkey::int earfcn_0,
         l_linenumber::int pci_0, l_suppkey::int earfcn_1, (l_linenumber + 1)::int pci_1,
         l_quantity rsrp_0, l_discount rsrp_1, false is_bad from lineitem""",
+    "decode_shapes": sql(
+        f""", {SHAPES} select row_id, case when not is_bad then ts end ts,
+            case when not is_bad then mme_ue_s1ap_id end mme_ue_s1ap_id,
+            case when not is_bad then coalesce(event_type, '') end event_type, case when not is_bad then mme_code end mme_code,
+            case when not is_bad then eci end eci, case when not is_bad then mme_group_id end mme_group_id,
+            case when not is_bad then coalesce(id, '') end id,
+            case when not is_bad then (row_id % 3000)::int end sc_earfcn, case when not is_bad then (row_id % 504)::int end sc_pci,
+            case when not is_bad then -(row_id % 60) - 40.5::double end sc_rsrp,
+            case when not is_bad then array_to_string(list_transform(range(1, row_id % 4 + 1), lambda i:
+                (row_id % 3000 + i) || ':' || (row_id + i) % 504 || ':' || (-i - 50.25::double)), ' ') end nc,
+            is_bad, reason, case when is_bad then line end raw from shapes""",
+        "obs_raw",
+        "obs_lines",
+    ),
     "basic_params": sql(
         """select ts, mme_ue_s1ap_id, coalesce(event_type, '') event_type, mme_code, eci,
         mme_group_id, coalesce(id, '') id from obs_raw""",
@@ -524,4 +563,25 @@ ORACLES = {
         "obs_raw",
         "ref_raw",
     ),
+    "job_backfill_outcomes": sql(
+        f""", {SHAPES}, {RAW_BEST} select s.row_id, case when not is_bad then ts end ts,
+            case when not is_bad then coalesce(b.hit, s.id, '') end id, case when not is_bad then b.distance end distance,
+            reason, case when is_bad then line end raw,
+            case when is_bad then 'bad' when b.hit is not null then 'filled' else 'unmatched' end outcome
+        from shapes s left join best b using (row_id)""",
+        "obs_raw",
+        "obs_lines",
+        "ref_raw",
+    ),
+    "job_backfill_hour": sql(hourly(H12, 720, 720, RUN_HOUR), "obs_raw", "ref_raw"),
+    "job_backfill_hours": sql(hourly(H12, 20, 0), "obs_raw", "ref_raw"),
+    "job_backfill_late": sql(hourly(HOUR, 30, 30, RUN_DAY), "obs_raw", "ref_raw"),
+    "job_location_hour": sql(
+        f""", {DELIVERED}, ours as (select * from delivered where {RUN_HOUR}), {located('ours')},
+        {XY.format(source='located')} {POSITIONS}""",
+        "ref",
+        "grid",
+        "obs_raw",
+        "ref_raw",
+    ),
 }

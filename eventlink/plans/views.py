@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlink.functions.times import millis
+from eventlink.functions.times import NO_TIME_MS, millis
 from eventlink.operators.merge import tagged_union
+from eventlink.sources.folders import scratch_folder, with_hour
 
 OBS_TYPES = ("view", "click", "error")
 REF_TYPES = ("signup", "purchase")
@@ -119,6 +120,31 @@ def obs_decoded(spark, sf) -> DataFrame:
     return obs_raw(spark, sf).withColumn("is_bad", F.col("event_type").isNull())
 
 
+def obs_lines(spark, sf) -> DataFrame:
+    """Observations as text lines of both shapes; some are cut short, of no known shape, uneven, or hold words for numbers."""
+    c, at = F.col, F.col("row_id")
+    o = obs_raw(spark, sf)
+    texts = [F.coalesce(c(n).cast("string"), F.lit("")) for n in
+             ("ts", "mme_ue_s1ap_id", "event_type", "mme_code", "eci", "mme_group_id", "id")]
+    texts[1] = F.when(at % 59 == 0, "none").otherwise(texts[1])
+    serving = [(at % 3000).cast("string"), (at % 504).cast("string"), (-(at % 60) - 40.5).cast("string")]
+    n = F.sequence(F.lit(1), at % 4)
+    none = F.array().cast("array<string>")
+    some = lambda f: F.when(at % 4 > 0, F.transform(n, f)).otherwise(none)
+    lists = [
+        some(lambda i: (at % 3000 + i).cast("string")),
+        some(lambda i: F.when((at % 71 == 0) & (i == 2), "x").otherwise(((at + i) % 504).cast("string"))),
+        some(lambda i: (-i - 50.25).cast("string")),
+    ]
+    lists[0] = F.when(at % 53 == 0, F.concat(lists[0], F.array(F.lit("1")))).otherwise(lists[0])
+    joined = [F.array_join(x, ";") for x in lists]
+    ready = F.concat_ws(",", F.lit("P"), *texts, *serving, *joined)
+    other = F.concat_ws("|", F.lit("L"), F.concat_ws(";", *texts), F.concat_ws(";", *serving), *joined)
+    line = F.when(at % 3 == 0, other).otherwise(ready)
+    line = F.when(at % 61 == 0, F.concat(F.lit("X"), line)).when(at % 67 == 0, F.substring(line, 1, 9)).otherwise(line)
+    return o.select("row_id", line.alias("line"))
+
+
 def obs_parts(spark, sf) -> DataFrame:
     """Each decoded observation in two records with parts of its neighbour lists."""
     parts = obs_decoded(spark, sf).withColumn("part", F.explode(F.array(F.lit(0), F.lit(1))))
@@ -153,6 +179,20 @@ def ref_raw(spark, sf) -> DataFrame:
     )
 
 
+def by_hour(df: DataFrame, time: str) -> DataFrame:
+    """Raw records with the ``day`` and ``hour`` of their time; both are null without one."""
+    at = F.timestamp_millis(F.when(F.col(time) != NO_TIME_MS, F.col(time))).cast("timestamp_ntz")
+    return with_hour(df.withColumn("_at", at), "_at").drop("_at")
+
+
+def in_folders(df: DataFrame, name: str, time: str) -> DataFrame:
+    """Raw records as a table with a folder for each day."""
+    path = scratch_folder(df.sparkSession, name)
+    hours = by_hour(df, time)
+    hours.hint("rebalance", "day").write.partitionBy("day").parquet(path)
+    return df.sparkSession.read.schema(hours.schema).parquet(path)
+
+
 def ref_lines(spark, sf) -> DataFrame:
     """References as text lines; some end early, some have a word where a number belongs."""
     r = ref_raw(spark, sf)
@@ -228,6 +268,20 @@ SQL = {
         (event_id % 3)::int mme_group_id,
         case when event_id % 35 = 0 then '' when event_id % 5 = 0 then 'own_' || event_id end id
         from events where event_type in ('view','click','error')""",
+    "obs_lines": """select row_id, case when row_id % 61 = 0 then 'X' || line when row_id % 67 = 0 then line[1:9] else line end line
+        from (select row_id, case when row_id % 3 = 0
+                then 'L|' || array_to_string(basic, ';') || '|' || array_to_string(serving, ';') || '|' || e || '|' || p || '|' || r
+                else 'P,' || array_to_string(basic, ',') || ',' || array_to_string(serving, ',') || ',' || e || ',' || p || ',' || r
+            end line
+        from (select row_id, [coalesce(ts::varchar, ''), case when row_id % 59 = 0 then 'none' else mme_ue_s1ap_id::varchar end,
+                coalesce(event_type, ''), mme_code::varchar, eci::varchar, mme_group_id::varchar, coalesce(id, '')] basic,
+            [(row_id % 3000)::varchar, (row_id % 504)::varchar, (-(row_id % 60) - 40.5::double)::varchar] serving,
+            array_to_string(list_concat(list_transform(range(1, row_id % 4 + 1), lambda i: (row_id % 3000 + i)::varchar),
+                case when row_id % 53 = 0 then ['1'] else [] end), ';') e,
+            array_to_string(list_transform(range(1, row_id % 4 + 1),
+                lambda i: case when row_id % 71 = 0 and i = 2 then 'x' else ((row_id + i) % 504)::varchar end), ';') p,
+            array_to_string(list_transform(range(1, row_id % 4 + 1), lambda i: (-i - 50.25::double)::varchar), ';') r
+            from obs_raw))""",
     "obs_parts": """select row_id * 2 + part row_id, o.* exclude (row_id),
         (row_id % 100 + part)::varchar cell, row_id % 50 rsrp
         from obs_raw o, (values (0), (1)) p(part) where event_type is not null""",
