@@ -30,3 +30,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = new.select("node", "label")
         if not changed:
             return labels
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) after further ``links`` (a, b) between the components that ``labels`` holds.
+
+    The links shrink to one for each two components before anything spreads over them.  A node without a label so
+    far is a component of its own.  Labels stay the smallest node of each component.
+    """
+    ends = saved(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
+    new = ends.join(labels, "node", "left_anti").withColumn("label", F.col("node"))
+    all_ = saved(labels.unionByName(new), "labels")
+    la, lb = (all_.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
+    between = links.join(la, "a").join(lb, "b").where("la <> lb")
+    between = between.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct()
+    up = components(between).select(F.col("node").alias("label"), F.col("label").alias("up"))
+    return saved(all_.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label")), "labels")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlink.llm.common import fresh, map_texts, mix, raw, saved, tokens
-from eventlink.llm.graph import components
+from eventlink.llm.graph import components, merged
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -224,6 +224,21 @@ def similar_across(left: np.ndarray, right: np.ndarray, label, sizes, unit, leas
     return found
 
 
+def _first_pairs(met: DataFrame) -> DataFrame:
+    """One pair (a, b) for each document: of those with a first hub that of the largest bucket."""
+    hub = met.where(F.col("j") == 0)
+    ends = hub.select(F.explode(F.array("a", "b")).alias("norm"), "a", "b", "n")
+    best = F.max_by(F.struct("a", "b"), F.struct("n", F.xxhash64("a", "b"))).alias("p")
+    return ends.groupBy("norm").agg(best).select("p.a", "p.b").distinct()
+
+
+def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are of different components."""
+    la, lb = (label.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
+    both = pairs.join(la, "a", "left").join(lb, "b", "left")
+    return both.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+
+
 def _open(members: DataFrame, label: DataFrame) -> DataFrame:
     """band, norm, label, n: ``members`` (band, norm) of the buckets that hold several components; n is their size."""
     members = members.join(label, F.col("norm") == F.col("node"), "left")
@@ -304,9 +319,10 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: f
     # a join with a table, not with an aggregation, can split a crowded bucket
     buckets = saved(each.groupBy("band").agg(F.count("*").alias("n"), *hub).where("n > 1"), "buckets")
     hubs = F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"h{j}").alias("hub")) for j in range(HUBS + 1)])
-    met = each.join(buckets, "band").select("norm", F.inline(hubs)).where("norm <> hub")
+    met = each.join(buckets, "band").select("norm", "n", F.inline(hubs)).where("norm <> hub")
     pair = [F.least("norm", "hub").alias("a"), F.greatest("norm", "hub").alias("b")]
-    met = saved(met.groupBy(*pair).agg(F.min("j").alias("j")), "pairs")
+    size = F.max(F.when(F.col("j") == 0, F.col("n"))).alias("n")
+    met = saved(met.groupBy(*pair).agg(F.min("j").alias("j"), size), "pairs")
     seen = met.select(F.explode(F.array("a", "b")).alias("norm")).distinct()
     texts = reps.join(seen, "norm").select("norm", "first.key", "first.print")
     texts = texts.withColumnRenamed("key", "k").withColumnRenamed("print", "p")
@@ -314,15 +330,11 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: f
     texts = own.join(texts, same).select("norm", "text")
     sets = _with_units(texts, "text", ["norm"]).dropDuplicates(["norm"]).withColumn("n_units", F.size("units"))
     sets = saved(sets, "units")
-    links = saved(_similar(met.where("j = 0"), sets, similar), "similar")
-    label = components(links)
-    # pairs of other hubs matter only where they join two components
-    la, lb = (label.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
-    open_ = met.where("j > 0").join(la, "a", "left").join(lb, "b", "left")
-    apart = F.coalesce("la", "a") != F.coalesce("lb", "b")
-    more = _similar(open_.where(apart).select("a", "b"), sets, similar)
-    links = saved(links.unionByName(more), "similar")
-    label = components(links)
+    # one pair for each document connects most of what is similar; others matter only where they join two components
+    label = components(saved(_similar(_first_pairs(met), sets, similar), "similar"))
+    for some in (F.col("j") == 0, F.col("j") > 0):
+        more = _similar(_apart(met.where(some).select("a", "b"), label), sets, similar)
+        label = merged(label, saved(more, "similar"))
     # hubs alone have compared all of a bucket where all its members but one were hubs
     tried = F.size(F.array_distinct(F.array(*[f"h{j}" for j in range(HUBS + 1)])))
     rest = each.join(buckets.where(tried < F.col("n") - 1).select("band"), "band")
@@ -334,8 +346,7 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: f
         more = saved(find(rest), "similar")
         changed = more.limit(1).count() > 0
         if changed:
-            links = saved(links.unionByName(more), "similar")
-            label = components(links)
+            label = merged(label, more)
     named = reps.select("norm", "first").join(label, F.col("norm") == F.col("node"), "left")
     named = named.select("norm", "first", F.coalesce("label", "norm").alias("label"))
     heads = saved(named.groupBy("label").agg(F.min("first").alias("head")), "heads")
