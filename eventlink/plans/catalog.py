@@ -21,7 +21,7 @@ from eventlink.operators import (
 )
 from eventlink.operators.slicing import Slicing
 from eventlink.plans import jobs, runs, views
-from eventlink.sources import folders, schemas
+from eventlink.sources import decoded, folders, schemas
 
 H12 = 12 * views.HOUR_S
 DAYS30 = 30 * views.DAY_S
@@ -63,6 +63,19 @@ def hour_slice(spark, sf):
     return folders.hour_slice(r, RUN_DAY, RUN_HOUR, RUN_AROUND, RUN_AROUND, time="ts")
 
 
+def hour_paths_nested(spark, sf):
+    """What an hourly run finds in folders of the form day/hour, one of which has never been delivered."""
+    path = folders.scratch_folder(spark, "nested")
+    o = folders.with_hour(views.obs(spark, sf))
+    o = o.select("row_id", "k", times.millis(o, "ts").alias("ts"), "day", "hour")
+    for hour in ("08", "09", "10", "12"):
+        o.where((F.col("day") == RUN_DAY) & (F.col("hour") == hour)).drop("day", "hour").write.csv(f"{path}/{RUN_DAY}/{hour}")
+    schema = schemas.struct([("row_id", "bigint"), ("k", "bigint"), ("ts", "bigint")])
+    found = folders.read_hours(spark, path, schema, RUN_DAY, RUN_HOUR, 60, 120, nested=True)
+    folder = F.regexp_extract("_file", "([0-9]{8}/[0-9]{2})/[^/]*$", 1)
+    return found.select("row_id", "k", "ts", folder.alias("folder"))
+
+
 def day_slice(spark, sf):
     r = folders.with_hour(views.ref(spark, sf)).select("row_id", "k", "ts", "day", "hour")
     return folders.day_slice(r, RUN_DAY, time="ts")
@@ -474,31 +487,35 @@ def job_backfill_merged(spark, sf):
     return out.select("row_id", "ts", "mme_ue_s1ap_id", "id", "matched", "n_merged", *lists)
 
 
-def _written(spark, out, watch, name, take):
-    """The job's rows as its day and hour folders hold them, and its counters beside each row."""
+def _written(spark, out, counters, name, take):
+    """The job's rows as its folders hold them, one for each day, and the run's counters beside each row."""
     path = folders.scratch_folder(spark, name)
     at = F.when(F.col("ts") != times.NO_TIME_MS, F.timestamp_millis("ts"))
     out = folders.with_hour(out.select(*take).withColumn("at", at), "at")
     kinds = out.schema
-    jobs.write_run(out, path, salt=SALT, fmt="parquet")
+    jobs.write_run(out, path, salt=SALT, fmt="parquet", by=("day",))
     back = spark.read.schema(kinds).parquet(path).drop("at")
-    counters = {"n_matched" if c == "matched" else c: n for c, n in watch.get.items()}
-    return back.select("*", *[F.lit(n).cast("long").alias(c) for c, n in counters.items()])
+    named = {"n_matched" if c == "matched" else c: n for c, n in counters().items()}
+    return back.select("*", *[F.lit(n).cast("long").alias(c) for c, n in named.items()])
 
 
 def job_backfill_written(spark, sf):
-    """The whole backfill run: one pass over the join writes the rows and counts them."""
-    filled, watch = jobs.counted(_backfilled(spark, sf))
+    """The whole backfill run, written, with all its counters; each raw side is read once."""
+    obs, ref = views.obs_decoded(spark, sf), views.ref_raw(spark, sf)
+    filled, counters = jobs.counted_backfill(obs, ref, bound=H12, ref_range=(FIRST, LAST))
     take = ["row_id", "ts", "id", "matched"]
-    return _written(spark, jobs.backfill_output(filled), watch, "backfill", take)
+    return _written(spark, jobs.backfill_output(filled), counters, "backfill", take)
 
 
 def job_location_written(spark, sf):
-    """The whole location run, written and counted in one pass."""
-    located, watch = jobs.counted_locations(_attached(_delivered_ids(spark, sf), spark, sf))
+    """The whole location run, written, with all its counters; each raw side is read once."""
+    refs, grid = views.ref_raw(spark, sf), views.grid(spark, sf)
+    located, counters = jobs.counted_location_run(
+        _delivered_ids(spark, sf), refs, grid, MERIDIAN, bound=H12, distance=None
+    )
     out = jobs.location_output(located, XY_BOUNDS)
     out = out.withColumns({c: F.round(c, 3) for c in ("x", "y")})
-    return _written(spark, out, watch, "location", ["row_id", "ts", "id", "lon", "lat", "x", "y"])
+    return _written(spark, out, counters, "location", ["row_id", "ts", "id", "lon", "lat", "x", "y"])
 
 
 def _positions(df):
@@ -536,6 +553,17 @@ def job_chain(spark, sf):
     return _positions(out)
 
 
+def job_backfill_decoded(spark, sf):
+    """The backfill on text that a decoder reads, a Python function that Spark knows nothing about."""
+    path = folders.scratch_folder(spark, "text")
+    o = views.obs_raw(spark, sf)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in views.OBS_FIELDS]
+    o.select(F.concat_ws("\t", *parts).alias("line")).write.text(path)
+    obs = decoded.decoded(spark, path, views.OBS_DECODED, views.decode_lines, splitBytes=1 << 18).drop("day", "hour")
+    out = jobs.backfill_output(_backfilled(spark, sf, folders.stored(obs, "decoded")))
+    return out.select("row_id", "ts", "mme_ue_s1ap_id", "id", "distance", "matched")
+
+
 def job_backfill_outcomes(spark, sf):
     """From text lines to a folder for each outcome; nothing that was read is dropped."""
     path = folders.scratch_folder(spark, "outcomes")
@@ -609,6 +637,7 @@ QUERIES = {
         sink_roundtrip,
         tagged_union,
         hour_slice,
+        hour_paths_nested,
         day_slice,
         backfill_passthrough,
         parse_refs,
@@ -672,6 +701,7 @@ QUERIES = {
         job_location,
         job_location_written,
         job_chain,
+        job_backfill_decoded,
         job_backfill_outcomes,
         job_backfill_hour,
         job_location_hour,

@@ -198,6 +198,52 @@ def counted(filled: DataFrame) -> tuple[DataFrame, Observation]:
     return Q.observed(filled, {"rows_merged": F.count(F.lit(1)), **counters})
 
 
+def counted_backfill(
+    obs: DataFrame,
+    ref: DataFrame,
+    ref_time: str = "start_ts",
+    ref_range: tuple[dt.datetime | None, dt.datetime | None] = (None, None),
+    decode_obs: Decode = with_site,
+    decode_ref: Decode = with_site,
+    **args,
+) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """A backfill run that reads each raw side once, and its counters, those of :func:`backfill_report`.
+
+    Each side is counted while what is usable of it is written to the scratch folder; the join, which needs
+    observations twice, reads those tables.  The match is counted while the result is written: call the counters after that.
+    """
+    raw_obs, of_obs = Q.observed(decode_obs(obs), Q.ok_bad("rows_ok", "rows_bad", F.col("is_bad")))
+    good = stored(raw_obs.where(~F.coalesce(F.col("is_bad"), F.lit(True))).drop("is_bad"), "observations")
+    valid = valid_reference(start=ref_time)
+    raw_ref, of_ref = Q.observed(time_range(ref, ref_time, *ref_range), Q.ok_bad("refs_ok", "refs_bad", ~valid))
+    refs = stored(decode_ref(raw_ref.where(valid)), "references")
+    ready = dict(decode_obs=lambda df: df, decode_ref=lambda df: df)
+    out, of_out = counted(backfill(good, refs, ref_time=ref_time, **ready, **args))
+    return out, lambda: {**of_obs.get, **of_ref.get, **of_out.get}
+
+
+def counted_location_run(
+    obs: DataFrame,
+    locations: DataFrame,
+    grid: DataFrame,
+    central_meridian: float,
+    location_time: str = "start_ts",
+    location_range: tuple[dt.datetime | None, dt.datetime | None] = (None, None),
+    **args,
+) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """As :func:`counted_backfill`, for a location run; the counters are those of :func:`location_report`."""
+    named = has_id(F.col("id"))
+    raw_obs, of_obs = Q.observed(obs, Q.ok_bad("rows_ok", "rows_bad", ~named))
+    good = stored(raw_obs.where(named), "observations")
+    usable = usable_location()
+    in_range = time_range(locations, location_time, *location_range)
+    raw_ref, of_ref = Q.observed(in_range, Q.ok_bad("refs_ok", "refs_bad", ~usable))
+    refs = stored(raw_ref.where(usable), "references")
+    located = attach_location(good, refs, grid, central_meridian, location_time=location_time, **args)
+    out, of_out = counted_locations(located)
+    return out, lambda: {**of_obs.get, **of_ref.get, **of_out.get}
+
+
 def counted_locations(located: DataFrame) -> tuple[DataFrame, Observation]:
     """As :func:`counted`, for a location run."""
     hits = Q.match_counts(F.col("lon").isNotNull(), has_time(located))

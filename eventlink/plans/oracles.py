@@ -156,6 +156,15 @@ HOURS = """case when ts <> -1 then strftime(make_timestamp(ts * 1000), '%Y%m%d')
 COUNTERS = """count(*) over () rows_merged, sum((hit)::int) over ()::bigint matched,
     sum((ts <> -1 and not hit)::int) over ()::bigint unmatched, sum((ts = -1)::int) over ()::bigint no_time"""
 
+# What a run read, as the two quality reports count it.
+READ_BACKFILL = f"""(select count_if(event_type is not null)::bigint rows_ok, count_if(event_type is null)::bigint rows_bad from obs_raw),
+    (select count_if(valid)::bigint refs_ok, count_if(not valid)::bigint refs_bad from (select
+        coalesce(start_ts <> -1 and end_ts <> -1 and id <> '\\N', false) valid from ref_raw
+        where start_ts between (epoch_us({FIRST}) // 1000) and (epoch_us({LAST}) // 1000)))"""
+READ_LOCATION = """(select count_if(coalesce(id, '') <> '')::bigint rows_ok, count_if(coalesce(id, '') = '')::bigint rows_bad from delivered),
+    (select count_if(valid)::bigint refs_ok, count_if(not valid)::bigint refs_bad from (select coalesce(start_ts <> -1
+        and end_ts <> -1 and id <> '' and lon <> 0 and lat <> 0, false) valid from ref_raw))"""
+
 ROW_HOUR = """strftime(make_timestamp(ts * 1000), '%Y%m%d') "day", strftime(make_timestamp(ts * 1000), '%H') "hour\""""
 RUN_HOUR = "ts <> -1 and strftime(make_timestamp(ts * 1000), '%Y%m%d%H') = '2024011510'"
 RUN_DAY = "ts <> -1 and strftime(make_timestamp(ts * 1000), '%Y%m%d') = '20240115'"
@@ -197,6 +206,11 @@ ORACLES = {
         from ref where ts between {RUN_FIRST} and {RUN_LAST}""",
         "ref",
     ),
+    "hour_paths_nested": sql(
+        """select row_id, k, epoch_us(ts) // 1000 ts, strftime(ts, '%Y%m%d/%H') folder from obs
+        where strftime(ts, '%Y%m%d%H') in ('2024011509', '2024011510', '2024011512')""",
+        "obs",
+    ),
     "day_slice": sql(
         """select row_id, k, ts, strftime(ts, '%Y%m%d') "day", strftime(ts, '%H') "hour"
         from ref where ts >= timestamp '2024-01-15' and ts < timestamp '2024-01-16'""",
@@ -531,8 +545,8 @@ ORACLES = {
         f""", {RAW_BEST}, {RAW_FILLED}, counted as (select *, {COUNTERS}
             from (select row_id, ts, id, matched hit from filled))
         select row_id, ts, sha256('pepper' || id) id, hit matched, {HOURS}, rows_merged,
-            matched n_matched, unmatched, no_time
-        from counted where coalesce(id, '') <> ''""",
+            matched n_matched, unmatched, no_time, rows_ok, rows_bad, refs_ok, refs_bad
+        from counted, {READ_BACKFILL} where coalesce(id, '') <> ''""",
         "obs_raw",
         "ref_raw",
     ),
@@ -542,8 +556,9 @@ ORACLES = {
             sum((not coalesce(converted, true))::int) over ()::bigint converted_bad
             from (select *, lon is not null hit from xy))
         select row_id, ts, sha256('pepper' || id) id, lon, lat, round(x, 3) x, round(y, 3) y, {HOURS},
-            rows_merged, matched n_matched, unmatched, no_time, converted_ok, converted_bad
-        from counted where {IN_BOUNDS}""",
+            rows_merged, matched n_matched, unmatched, no_time, converted_ok, converted_bad, rows_ok, rows_bad,
+            refs_ok, refs_bad
+        from counted, {READ_LOCATION} where {IN_BOUNDS}""",
         "ref",
         "grid",
         "obs_raw",
@@ -563,6 +578,12 @@ ORACLES = {
         "obs_raw",
         "ref_raw",
     ),
+    "job_backfill_decoded": sql(
+        f""", {RAW_BEST}, {RAW_FILLED} select row_id, ts, mme_ue_s1ap_id, id, distance, matched
+        from filled where coalesce(id, '') <> ''""",
+        "obs_raw",
+        "ref_raw",
+    ),
     "job_backfill_outcomes": sql(
         f""", {SHAPES}, {RAW_BEST} select s.row_id, case when not is_bad then ts end ts,
             case when not is_bad then coalesce(b.hit, s.id, '') end id, case when not is_bad then b.distance end distance,

@@ -145,6 +145,28 @@ def obs_lines(spark, sf) -> DataFrame:
     return o.select("row_id", line.alias("line"))
 
 
+#: The fields of a delivered observation's line, and what a decoder makes of them.
+OBS_FIELDS = ["row_id", "ts", "mme_ue_s1ap_id", "event_type", "mme_code", "eci", "mme_group_id", "id"]
+OBS_DECODED = """row_id long, ts long, mme_ue_s1ap_id long, event_type string, mme_code int, eci long, mme_group_id int,
+    id string, is_bad boolean, raw string"""
+
+
+def decode_lines(lines: list[str]) -> dict[str, list]:
+    """A decoder: one observation a line, with tabs; a line that is none, or one without a type, is bad and kept as text."""
+    numbers = {"row_id", "ts", "mme_ue_s1ap_id", "mme_code", "eci", "mme_group_id"}
+    out = {c: [] for c in [*OBS_FIELDS, "is_bad", "raw"]}
+    for line in lines:
+        parts = line.split("\t")
+        try:
+            values = [int(v) if c in numbers else v for c, v in zip(OBS_FIELDS, parts, strict=True)]
+            bad = not values[3]
+        except ValueError:
+            values, bad = [None] * len(OBS_FIELDS), True
+        for c, v in zip(out, [*values, bad, line if bad else None]):
+            out[c].append(v)
+    return out
+
+
 def obs_parts(spark, sf) -> DataFrame:
     """Each decoded observation in two records with parts of its neighbour lists."""
     parts = obs_decoded(spark, sf).withColumn("part", F.explode(F.array(F.lit(0), F.lit(1))))

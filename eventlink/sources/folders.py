@@ -6,6 +6,7 @@ import datetime as dt
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,6 +104,32 @@ def hour_paths(root: str, day: str, hour, advance_min=20, later_min=0, nested=Fa
     return [f"{root.rstrip('/')}/{d}{sep}{h}" for d, h in hours]
 
 
+def read_hours(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    day: str,
+    hour,
+    advance_min: int = 20,
+    later_min: int = 0,
+    nested: bool = False,
+    **scan,
+) -> DataFrame:
+    """Delimited text of the folders an hourly run reads, as they are found, with each row's file in ``_file``.
+
+    The folders are one pattern, so those that are not there are no error; if none is, there are no rows.
+    """
+    parts = [p.removeprefix(root.rstrip("/") + "/") for p in hour_paths(root, day, hour, advance_min, later_min, nested)]
+    try:
+        rows = scan_delimited(spark, f"{root.rstrip('/')}/{{{','.join(parts)}}}", schema, **scan)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], schema)
+        return rows.withColumn("_file", F.lit(None).cast("string"))
+    return rows.select(*rows.columns, F.col("_metadata.file_path").alias("_file"))
+
+
 def write_hours(df: DataFrame, path: str, fmt: str = "csv", by=("day", "hour"), **options) -> None:
     """Overwrite only the day/hour folders that occur in ``df``.
 
