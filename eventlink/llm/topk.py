@@ -9,10 +9,9 @@ equals them the smallest ids that are needed.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,23 +31,24 @@ BROADCAST_BYTES = 32 << 20
 def quantised(rows: DataFrame, scale: int = 64, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """(id, v): components floor(scale * x) as longs.
 
-    Rows without an id, without a vector, or with a null or non-finite component take no part.  An id that
-    occurs more than once counts once, with its smallest vector.
+    Rows without an id, without a vector, or with a null or non-finite component take no part.  Rows of one id are
+    rows of their own.
     """
     x = F.col(vector)
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) == float("inf")))
     own = rows.where(F.col(key).isNotNull() & x.isNotNull() & ~bad)
     v = F.transform(x, lambda c: F.floor(F.lit(float(scale)) * c.cast("double")).cast("long"))
-    return own.select(F.col(key).alias("id"), v.alias("v")).groupBy("id").agg(F.min("v").alias("v"))
+    return own.select(F.col(key).alias("id"), v.alias("v"))
 
 
 def _packed(rows: DataFrame, size: int) -> DataFrame:
     """Blocks of at most ``size`` vectors of one length: (block, dim, kind, ids, vs), packed within each task.
 
-    ``kind`` is the narrowest integer type that holds the components; the block's name is a digest of its ids.
+    ``kind`` is the narrowest integer type that holds the components; the block's name is its number in its task.
     """
 
     def pack(batches):
+        task, n = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
             lists = batch.column("v")
@@ -62,7 +62,7 @@ def _packed(rows: DataFrame, size: int) -> DataFrame:
                     m = values[begin[part][:, None] + np.arange(d)] if d else np.empty((len(part), 0), np.int64)
                     top = int(np.abs(m).max(initial=0))
                     kind = "int8" if top < 1 << 7 else "int16" if top < 1 << 15 else "int64"
-                    name = hashlib.blake2b(ids[part].tobytes(), digest_size=12).hexdigest()
+                    name, n = f"{task}-{n}", n + 1
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([name]),
@@ -88,9 +88,10 @@ def _scored(row, exact: bool):
     c, b = c[order], b[order]
     for i in range(0, len(q), AT_ONCE):
         part = slice(i, i + AT_ONCE)
-        at = np.minimum(np.searchsorted(c, q[part]), len(c) - 1)
-        same = np.flatnonzero(c[at] == q[part])
-        yield q[part], part, c, (a[part] @ b.T).astype(np.int64), (same, at[same])
+        first, last = np.searchsorted(c, q[part]), np.searchsorted(c, q[part], side="right")
+        same = np.repeat(np.arange(len(first)), last - first)
+        at = np.arange(len(same)) - np.repeat(np.cumsum(last - first) - last, last - first)
+        yield q[part], part, c, (a[part] @ b.T).astype(np.int64), (same, at)
 
 
 def _histograms(row, k: int, exact: bool, step: int, width: int):
@@ -145,10 +146,11 @@ def _listed(queries: DataFrame) -> DataFrame:
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
-    """The ``k`` greatest inner products of each query with all other rows: query_id, rank, vec_id, score.
+    """The ``k`` greatest inner products of each query with all rows of other ids: query_id, rank, vec_id, score.
 
-    Both tables have (id, v), ids unique; vectors of another length than the query's are not compared.
-    Ties go to the smaller id.  With fewer than k other rows all are returned; an empty table gives none.
+    Both tables have (id, v); vectors of another length than the query's are not compared.  Ties go to the smaller
+    id.  An id with several rows is found once for each; as a query it has the greatest of all its rows' scores
+    together.  With fewer than k other rows all are returned; an empty table gives none.
     """
     rows, queries = saved(_packed(rows, ROW_BLOCK), "rows"), saved(_packed(queries, QUERY_BLOCK), "queries")
     facts = [
@@ -164,7 +166,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     exact = bound < EXACT
     blocks = rows.repartition(max(1, min(facts[0]["n"], 10_000)), "block")
     listed = _listed(queries)
-    state = listed.select("id", F.lit(-bound).alias("lo"), F.lit(k).cast("long").alias("need"))
+    state = listed.select("id").distinct().select("id", F.lit(-bound).alias("lo"), F.lit(k).cast("long").alias("need"))
     own = queries.select("block", *[F.col(c).alias(f"q_{c}") for c in ("kind", "ids", "vs", "dim")])
 
     def pairs(state):

@@ -277,6 +277,21 @@ def test_top_k_with_ties(spark, scale, monkeypatch):
     assert got == brute_top(rows, [r for r in rows if r[0] % 20 == 0], 7)
 
 
+def test_top_k_of_repeated_ids(spark, monkeypatch):
+    """Rows of one id are found each; as a query the id has the best of all of them.  The same as the SQL."""
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "ROW_BLOCK", 7)
+    rng = np.random.default_rng(8)
+    rows = [(int(i), (rng.integers(-2, 3, 4) / 64).tolist()) for i in rng.integers(0, 45, 200)]
+    rows += [(20, [0.5, 0.0, 0.0, 0.0])] * 60 + [(1, [1.0, 0.0, 0.0, 0.0]), (1, [0.5, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    own = topk.quantised(df)
+    got = topk.top_k(own, own.where("id % 20 = 0")).toPandas()
+    con = duckdb.connect()
+    con.register("embeddings", df.toPandas())
+    assert canonical(got).equals(canonical(con.sql(topk.ORACLE).df())) and len(got) == 60
+
+
 def test_top_k_awkward(spark):
     rows = [
         (0, [0.5, 0.5]),
@@ -294,7 +309,7 @@ def test_top_k_awkward(spark):
     df = df.withColumns({c: F.lit(None).cast("string") for c in ("id", "v", "label")})
     own = topk.quantised(df)
     got = sorted(tuple(r) for r in topk.top_k(own, own.where("id % 20 = 0")).collect())
-    kept = [(0, [32, 32]), (20, [-1, 63]), (21, [32, 32]), (22, [64])]
+    kept = [(0, [32, 32]), (20, [-1, 63]), (21, [32, 32]), (21, [32, 32]), (22, [64])]
     assert got == brute_top(kept, kept[:2], 20)
     nothing = topk.quantised(df.limit(0))
     assert topk.top_k(nothing, nothing).count() == 0
@@ -573,6 +588,15 @@ def test_license_templates(spark):
     assert out[0].score == 1.0 and 0.75 <= out[3].score < 1 and out[1].score == out[2].score == 0.0
 
 
+def test_license_with_its_rarest_words_changed(spark):
+    """Common licence words weigh about the same; a text that lacks just the last of them is still found."""
+    mit = next(t for t in licenses.TEMPLATES if t.label == "mit").text
+    other = " ".join(mit.split()[:-3]) + " its other things"
+    texts = [(i, mit if i < 5 else other) for i in range(10)]
+    out = licenses.license_report(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.labels for r in out} == {"mit"} and {r.score < 1 for r in out if r.doc_id >= 5} == {True}
+
+
 # --- the pipeline ------------------------------------------------------------------------------------------------------------
 
 
