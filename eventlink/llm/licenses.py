@@ -1,8 +1,9 @@
 """Licence texts in files, found by a positional index of their rarest words.
 
 Each template lists its words.  Document frequencies over all files tell which of a template's words are
-rare; those with the highest IDF are its index, with their places (postings).  A file's index words and
-their places give candidates (template, start).  A candidate is accepted if enough of the template's words,
+rare; those with the highest IDF are its index, with their places (postings), as many as together weigh more than
+what may be missing, so that every text that will do holds one.  A file's index words and their places give
+candidates (template, start).  A candidate is accepted if enough of the template's words,
 weighed by IDF, stand at the same relative places, and if its key phrase stands there word by word.
 DataFrame functions only.
 """
@@ -10,6 +11,7 @@ DataFrame functions only.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -51,8 +53,8 @@ TEMPLATES = [
     ),
     Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
 ]
-#: Index words of a template, and the weight that must stand at its place.
-RARE, SHARE = 3, 0.75
+#: The share of a template's weight that must stand at its place.
+SHARE = 0.75
 
 
 def frequencies(w: Column, docs: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
@@ -90,9 +92,11 @@ def scan_licenses(
     cards, postings = [], []
     for k, t in enumerate(every):
         own_words = t.text.split()
-        rare = sorted(range(len(own_words)), key=lambda j: (-idf[own_words[j]], j))[: 1 if t in base else RARE]
-        postings += [(own_words[j], k, j) for j in rare]
         weight = [idf[x] for x in own_words]
+        rare = sorted(range(len(own_words)), key=lambda j: (-weight[j], j))
+        missing = 0.0 if t in base else (1 - SHARE) * sum(weight)
+        n = 1 + next(i for i, w in enumerate(accumulate(weight[j] for j in rare)) if w > missing * (1 + 1e-9))
+        postings += [(own_words[j], k, j) for j in rare[:n]]
         cards.append((t, own_words, weight, t.key.split(), t in base))
     index = _array(sorted({p[0] for p in postings}), F.lit)
     posting = _array(

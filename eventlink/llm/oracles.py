@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventlink.llm.licenses import BASE, RARE, SHARE, TEMPLATES
+from eventlink.llm.licenses import BASE, SHARE, TEMPLATES
 from eventlink.llm.secrets import BASE_RULES, RULES
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -70,11 +70,8 @@ def _licenses() -> str:
     tw AS (
       SELECT k, base, j, word, ln(1 + ((SELECT count(*) FROM doc) + 1) / (coalesce(n, 0) + 0.5)) AS idf
       FROM (SELECT k, base, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS j FROM t) LEFT JOIN seen USING (word)),
-    rare AS (
-      SELECT k, word, j FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY idf DESC, j) AS r FROM tw)
-      WHERE r <= CASE WHEN base THEN 1 ELSE {RARE} END),
     hit AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM doc),
-    cand AS (SELECT DISTINCT rid, k, i - j AS s FROM hit JOIN rare USING (word)),
+    cand AS (SELECT DISTINCT rid, k, i - j AS s FROM hit JOIN tw USING (word)),
     shared AS (
       SELECT rid, cand.k, s, sum(CASE WHEN s + j >= 0 AND w[s + j + 1] = word THEN idf ELSE 0 END) / sum(idf) AS share
       FROM cand JOIN tw ON tw.k = cand.k JOIN doc USING (rid) GROUP BY ALL),
