@@ -7,9 +7,10 @@ document however long it is.  Each dart belongs to one of k coordinates; the ear
 its entry in the signature, and two documents agree there with the probability of their weighted Jaccard
 similarity.  A document with an empty coordinate is thrown again with twice the limit.
 
-Documents with a band of the signature in common are compared exactly, first with some hubs of the band's
-bucket.  Where a bucket still holds several components, all its members of different components are compared,
-block with block.  Connected components of what is similar enough are the classes.
+Documents with a band of the signature in common are compared exactly.  First each is compared with one other, a hub of
+the largest bucket it is in; that joins most of what belongs together.  Then only pairs of different components
+count: all of a small bucket, and of a large one its members with the one that meets most others, then block with
+block.  Connected components of what is similar enough are the classes.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ SHINGLE = 5
 SIMILAR = 0.8
 #: 25 bands of 4: a pair at the threshold shares none with a probability of 2e-6.
 BANDS, BAND_SIZE = 25, 4
-#: Members of a bucket that all others are compared with: one at first, so many for what is left apart.
+#: Hubs of a bucket, but the first: one with no more members besides is compared whole by them.
 HUBS = 4
 #: Units of a block of documents that are compared with another block; each document counts as EACH more.
 BLOCK, EACH = 1 << 18, 256
@@ -224,12 +225,14 @@ def similar_across(left: np.ndarray, right: np.ndarray, label, sizes, unit, leas
     return found
 
 
-def _first_pairs(met: DataFrame) -> DataFrame:
-    """One pair (a, b) for each document: of those with a first hub that of the largest bucket."""
-    hub = met.where(F.col("j") == 0)
-    ends = hub.select(F.explode(F.array("a", "b")).alias("norm"), "a", "b", "n")
-    best = F.max_by(F.struct("a", "b"), F.struct("n", F.xxhash64("a", "b"))).alias("p")
-    return ends.groupBy("norm").agg(best).select("p.a", "p.b").distinct()
+def _pair(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _first_pairs(shared: DataFrame) -> DataFrame:
+    """For each document its pair (a, b) with the first hub of the largest of its buckets."""
+    hub = F.max_by("h0", F.struct("n", "band")).alias("hub")
+    return shared.where("norm <> h0").groupBy("norm").agg(hub).select(*_pair("norm", "hub")).distinct()
 
 
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
@@ -257,7 +260,7 @@ def _popular(members: DataFrame) -> DataFrame:
     hubs = members.join(meets, "norm").groupBy("band").agg(most)
     hubs = saved(hubs.select("band", F.col("most.norm").alias("hub"), F.col("most.label").alias("hub_label")), "hubs")
     pairs = members.join(hubs, "band").where("label <> hub_label")
-    return pairs.select(F.least("norm", "hub").alias("a"), F.greatest("norm", "hub").alias("b")).distinct()
+    return pairs.select(*_pair("norm", "hub")).distinct()
 
 
 def _across(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -317,13 +320,12 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: f
     order = lambda j: F.struct(F.xxhash64("norm", "band", F.lit(j)), "norm")
     hub = [F.min(order(j))["norm"].alias(f"h{j}") for j in range(HUBS + 1)]
     # a join with a table, not with an aggregation, can split a crowded bucket
-    buckets = saved(each.groupBy("band").agg(F.count("*").alias("n"), *hub).where("n > 1"), "buckets")
-    hubs = F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"h{j}").alias("hub")) for j in range(HUBS + 1)])
-    met = each.join(buckets, "band").select("norm", "n", F.inline(hubs)).where("norm <> hub")
-    pair = [F.least("norm", "hub").alias("a"), F.greatest("norm", "hub").alias("b")]
-    size = F.max(F.when(F.col("j") == 0, F.col("n"))).alias("n")
-    met = saved(met.groupBy(*pair).agg(F.min("j").alias("j"), size), "pairs")
-    seen = met.select(F.explode(F.array("a", "b")).alias("norm")).distinct()
+    buckets = each.groupBy("band").agg(F.count("*").alias("n"), *hub).where("n > 1")
+    # where all of a bucket's members but one are hubs, comparing with hubs compares all of it
+    tried = F.size(F.array_distinct(F.array(*[f"h{j}" for j in range(HUBS + 1)])))
+    buckets = saved(buckets.withColumn("whole", tried >= F.col("n") - 1), "buckets")
+    shared = saved(each.join(buckets.select("band", "n", "h0", "whole"), "band"), "shared")
+    seen = shared.select("norm").distinct()
     texts = reps.join(seen, "norm").select("norm", "first.key", "first.print")
     texts = texts.withColumnRenamed("key", "k").withColumnRenamed("print", "p")
     same = own["key"].eqNullSafe(texts["k"]) & (own["print"] == texts["p"])
@@ -331,13 +333,12 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similar: f
     sets = _with_units(texts, "text", ["norm"]).dropDuplicates(["norm"]).withColumn("n_units", F.size("units"))
     sets = saved(sets, "units")
     # one pair for each document connects most of what is similar; others matter only where they join two components
-    label = components(saved(_similar(_first_pairs(met), sets, similar), "similar"))
-    for some in (F.col("j") == 0, F.col("j") > 0):
-        more = _similar(_apart(met.where(some).select("a", "b"), label), sets, similar)
-        label = merged(label, saved(more, "similar"))
-    # hubs alone have compared all of a bucket where all its members but one were hubs
-    tried = F.size(F.array_distinct(F.array(*[f"h{j}" for j in range(HUBS + 1)])))
-    rest = each.join(buckets.where(tried < F.col("n") - 1).select("band"), "band")
+    label = components(saved(_similar(_first_pairs(shared), sets, similar), "similar"))
+    hubs = F.array(*[F.struct(F.col(f"h{j}").alias("hub")) for j in range(HUBS + 1)])
+    few = shared.where("whole").select("band", "norm").join(buckets.select("band", hubs.alias("hubs")), "band")
+    few = few.select("norm", F.inline("hubs")).where("norm <> hub").select(*_pair("norm", "hub")).distinct()
+    label = merged(label, saved(_similar(_apart(few, label), sets, similar), "similar"))
+    rest = shared.where("not whole")
     changed = True
     for find in (lambda m: _similar(_popular(m), sets, similar), lambda m: _across(m, sets, similar)):
         rest = _open(rest.select("band", "norm"), label) if changed else rest
