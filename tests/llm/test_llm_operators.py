@@ -184,6 +184,39 @@ def test_best_ends_is_optimal():
     assert packing.best_ends(np.array([]), np.array([]), 4) == []
 
 
+@pytest.mark.parametrize("top", [600, 20_000])
+def test_best_ends_on_long_lengths(top):
+    """Against the plain recursion over all beginnings of a bucket."""
+    rng = np.random.default_rng(top)
+    for buckets in (1, 4, 16):
+        lengths = np.unique(rng.integers(1, top, 700))
+        counts = (rng.pareto(1.0, len(lengths)) * 10).astype(int) + 1
+        n, t = np.concatenate([[0], np.cumsum(counts)]), np.concatenate([[0], np.cumsum(counts * lengths)])
+        best = np.full(len(n), np.inf)
+        best[0] = 0
+        totals = []
+        for _ in range(buckets):
+            best = np.array([np.inf] + [np.min(best[:j] + lengths[j - 1] * (n[j] - n[:j]) - (t[j] - t[:j])) for j in range(1, len(n))])
+            totals.append(best[-1])
+        ends = np.array(packing.best_ends(lengths, counts, buckets))
+        padded = ends[np.searchsorted(ends, lengths)]
+        assert len(ends) <= buckets and ((padded - lengths) * counts).sum() == min(totals)
+
+
+def test_histogram(spark, monkeypatch):
+    """Exact up to its bound; coarser beyond, with true sums."""
+    df = spark.range(1, 3000).select((F.col("id") * 7).alias("n"))
+    lengths, counts, sums = packing.histogram(df)
+    assert lengths.tolist() == list(range(7, 21_000, 7))[: len(lengths)] and set(counts.tolist()) == {1}
+    monkeypatch.setattr(packing, "MOST_LINES", 500)
+    monkeypatch.setattr(packing, "EXACT", 64)
+    monkeypatch.setattr(packing, "FINE", 5)
+    few, k, t = packing.histogram(df)
+    assert len(few) < 500 and k.sum() == 2999 and t.sum() == sums.sum() and few.max() == lengths.max()
+    assert (np.diff(few) > 0).all() and few[few <= 64].tolist() == lengths[lengths <= 64].tolist()
+    assert packing.histogram(df.limit(0))[0].size == 0
+
+
 def test_packing(spark, awkward, none, monkeypatch):
     out = packing.pack(awkward, buckets=3, budget=64).collect()
     assert len(out) == len(AWKWARD) and packing.pack(none).count() == 0
