@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlink.operators.sessions import number_rows
-from eventlink.operators.slicing import Slicing
 
 
 def tagged_union(**sources: DataFrame) -> DataFrame:
@@ -39,9 +38,7 @@ def merge_arrays(
     )
 
 
-def merge_arrays_long(
-    df: DataFrame, keys: list[str], arrays: list[str], order: list[str], slicing: Slicing = Slicing()
-) -> DataFrame:
+def merge_arrays_long(df: DataFrame, keys: list[str], arrays: list[str], order: list[str]) -> DataFrame:
     """The merged arrays as rows: keys, ``pos`` (1, 2, … in the group's order), one element of each array.
 
     No group is ever one record.  ``order[0]`` must be a whole number or a time; the arrays of a row are
@@ -50,5 +47,5 @@ def merge_arrays_long(
     zipped = F.arrays_zip(*[F.col(a).alias(a) for a in arrays])
     rows = df.select(*dict.fromkeys([*keys, *order]), F.posexplode(zipped).alias("_at", "_element"))
     rows = rows.withColumn("_first", F.col(order[0]).cast("long"))
-    rows = number_rows(rows, keys, "_first", [*order, "_at"], slicing, name="_place")
+    rows = number_rows(rows, keys, "_first", [*order, "_at"], name="_place")
     return rows.select(*keys, F.col("_place").alias("pos"), *[F.col("_element").getField(a).alias(a) for a in arrays])

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from eventlink.functions import geo, ids, times
 from eventlink.operators import clean, merge, words
-from eventlink.operators.slicing import Slicing
 from eventlink.sources import folders, schemas
 
 
@@ -169,7 +168,7 @@ def test_merge_arrays_is_one_row_per_group(spark):
 
 def test_long_merge_of_uneven_lists(spark):
     df = spark.createDataFrame([(1, 2, ["c"], [3]), (1, 1, ["a", "b"], [1]), (2, 1, [], [])], "g int, at int, a array<string>, b array<int>")
-    got = rows(merge.merge_arrays_long(df, ["g"], ["a", "b"], ["at"], Slicing(width=1000)), "g", "pos")
+    got = rows(merge.merge_arrays_long(df, ["g"], ["a", "b"], ["at"]), "g", "pos")
     assert got == [(1, 1, "a", 1), (1, 2, "b", None), (1, 3, "c", 3)]
 
 
