@@ -323,6 +323,16 @@ def coord_convert(spark, sf):
     )
 
 
+def coord_convert_files(spark, sf):
+    """As ``coord_convert``, with the correction grid loaded from one folder of text files for each system."""
+    path = folders.scratch_folder(spark, "grid")
+    g = views.grid(spark, sf)
+    for system in ("Bd", "Gd"):
+        g.where(F.col("system") == system).write.csv(f"{path}/{system}")
+    r = views.ref(spark, sf).where(clean.nonzero_lonlat())
+    return location.to_gps(r.select("row_id", "lon", "lat", "locate_system"), folders.load_grid(spark, path))
+
+
 # --- aggregations ---------------------------------------------------------------------------------
 
 
@@ -675,6 +685,7 @@ QUERIES = {
         location_nearest_preconverted,
         session_location,
         coord_convert,
+        coord_convert_files,
         merge_neighbours,
         merge_neighbours_long,
         quality_backfill,

@@ -403,6 +403,9 @@ ORACLES = {
     "coord_convert": sql(
         f", {GPS} select row_id, lon, lat, locate_system, converted from gps", "ref", "grid"
     ),
+    "coord_convert_files": sql(
+        f", {GPS} select row_id, lon, lat, locate_system, converted from gps", "ref", "grid"
+    ),
     "merge_neighbours": """select l_orderkey, first(l_suppkey order by {0}) first_supp,
         string_agg(l_partkey::varchar, ',' order by {0}) cells,
         string_agg(l_quantity::int::varchar, ',' order by {0}) rsrp, count(*) n_merged
