@@ -494,6 +494,26 @@ def test_a_large_group_of_near_copies(spark):
     assert {r.doc_id: r.class_id for r in got.collect()} == M.near_classes(rows)
 
 
+def test_near_copies_need_one_pair_each(spark, monkeypatch):
+    """A large group of copies that are all near one another: about one pair a member is compared."""
+    rng = np.random.default_rng(9)
+    base = [f"w{x}" for x in range(120)]
+    rows = []
+    for i in range(400):
+        own = list(base)
+        own[int(rng.integers(0, 120))] = f"new{i}"
+        rows.append((i, " ".join(own)))
+    compared, similar = [], minhash._similar
+
+    def counting(pairs, sets, least):
+        compared.append(pairs.count())
+        return similar(pairs, sets, least)
+
+    monkeypatch.setattr(minhash, "_similar", counting)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.class_id for r in got.collect()} == {0} and sum(compared) <= 2 * len(rows)
+
+
 def star(copies, seed=5):
     """One text and copies of it, each near it and far from one another."""
     rng = np.random.default_rng(seed)
