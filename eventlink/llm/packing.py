@@ -1,6 +1,7 @@
 """Batches of texts of similar length.
 
-The histogram of all lengths is global and bounded.  Dynamic programming over it chooses the upper ends of the
+The histogram of all lengths is global and exact: m different lengths add up to m * m / 2 tokens at least, so it has
+no more lines than the square root of twice the tokens.  Dynamic programming over it chooses the upper ends of the
 length buckets so that padding every text to its bucket's end costs least.  Inside a bucket texts are
 numbered without ever being gathered, and a batch takes as many as its token budget allows.
 """
@@ -15,8 +16,8 @@ from eventlink.llm.common import maybe_broadcast, saved
 
 BUCKETS = 16
 TOKENS = 65_536
-#: A histogram of up to so many lengths is taken as it is.  One with more is coarser above EXACT: a line there holds the
-#: lengths of a thousandth, with the true sum of their tokens.
+#: For :func:`histogram`, which :func:`pack` does not use.  One of up to so many lengths is taken as it is.  One with more
+#: is coarser above EXACT: a line there holds the lengths of a thousandth, with the true sum of their tokens.
 MOST_LINES, EXACT, FINE = 1 << 15, 1 << 14, 10
 #: A bucket's texts are numbered in lanes of about so many.
 LANE = 1_000_000
@@ -34,8 +35,16 @@ def rounded(n: Column) -> Column:
     return F.when(n <= EXACT, n).otherwise(F.ceil(n / step).cast("long") * step)
 
 
+def every_length(lengths: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(length, texts) of each length that occurs, by rising length; ``lengths`` has ``n``, whole numbers from 0."""
+    got = lengths.groupBy("n").agg(F.count("*").alias("k")).toArrow()
+    n, k = got["n"].to_numpy(), got["k"].to_numpy()
+    by = np.argsort(n)
+    return n[by], k[by]
+
+
 def histogram(lengths: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(greatest length, texts, tokens) of each line, by rising length; ``lengths`` has ``n``.
+    """(greatest length, texts, tokens) of each line, by rising length; ``lengths`` has ``n``.  A summary of bounded size.
 
     Not more than ``MOST_LINES`` lines as they are, or some 2,000 for each power of two above ``EXACT``.
     """
@@ -58,7 +67,8 @@ def best_ends(lengths: np.ndarray, counts: np.ndarray, buckets: int, sums: np.nd
     then with smaller ends.
 
     For a longer end it never pays to begin the last bucket earlier, so the best beginnings rise with the ends: those of the
-    lines between two ends lie between the two ends' own, and each layer takes m log m steps.
+    lines between two ends lie between the two ends' own, and each layer takes m log m steps.  The middles of all stretches
+    that are as deep are looked at together.
     """
     m = len(lengths)
     if not m:
@@ -72,18 +82,22 @@ def best_ends(lengths: np.ndarray, counts: np.ndarray, buckets: int, sums: np.nd
     steps, totals = [], []
     for _ in range(min(buckets, m)):
         new, back = np.full(m + 1, np.inf), np.zeros(m + 1, int)
-        todo = [(1, m, 0, m - 1)]
-        while todo:
-            first, last, low, high = todo.pop()
+        first, last, low, high = (np.array([x]) for x in (1, m, 0, m - 1))
+        while len(first):
             j = (first + last) // 2
-            i = np.arange(low, min(high, j - 1) + 1)
-            cost = best[i] + lengths[j - 1] * (texts[j] - texts[i]) - (tokens[j] - tokens[i])
-            back[j] = at = low + int(np.argmin(cost))
-            new[j] = cost[at - low]
-            if first < j:
-                todo.append((first, j - 1, low, at))
-            if j < last:
-                todo.append((j + 1, last, at, high))
+            size = np.minimum(high, j - 1) - low + 1
+            begin = np.cumsum(size) - size
+            i = np.arange(size.sum()) + np.repeat(low - begin, size)
+            end = np.repeat(j, size)
+            cost = best[i] + lengths[end - 1] * (texts[end] - texts[i]) - (tokens[end] - tokens[i])
+            new[j] = np.minimum.reduceat(cost, begin)
+            hits = np.flatnonzero(cost == new[end])
+            back[j] = at = i[hits[np.searchsorted(hits, begin)]]
+            left, right = first < j, j < last
+            first, last, low, high = (
+                np.concatenate([a[left], b[right]])
+                for a, b in ((first, j + 1), (j - 1, last), (low, at), (at, high))
+            )
         steps.append(back)
         totals.append(new[m])
         best = new
@@ -115,8 +129,8 @@ def pack(
     n = word_count(F.col(text)) if length is None else length
     own = docs.select(F.col(key).alias("key"), n.cast("long").alias("n"), F.xxhash64(F.col(key), F.col(text)).alias("u"))
     own = saved(own, "lengths")
-    lengths, counts, sums = histogram(own)
-    ends = best_ends(lengths, counts, buckets, sums)
+    lengths, counts = every_length(own)
+    ends = best_ends(lengths, counts, buckets)
     bounds = F.array(*[F.lit(e).cast("long") for e in ends]) if ends else F.array().cast("array<bigint>")
     bucket = F.size(F.filter(bounds, lambda e: e < F.col("n"))).cast("int")
     total = int(counts.sum())
