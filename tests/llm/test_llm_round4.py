@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -29,3 +30,15 @@ def test_every_length(spark):
     lengths, counts = packing.every_length(df)
     assert lengths.tolist() == [1, 7, 300] and counts.tolist() == [1, 2, 1]
     assert packing.every_length(df.limit(0))[0].size == 0
+
+
+def test_pipeline_packs_exactly(spark, monkeypatch):
+    """The pipeline's last stage, too, takes every length as it is."""
+    monkeypatch.setattr(packing, "MOST_LINES", 20)
+    monkeypatch.setattr(packing, "EXACT", 4)
+    monkeypatch.setattr(packing, "FINE", 1)
+    n = np.random.default_rng(9).integers(0, 300, 200).tolist()
+    docs = spark.createDataFrame([(i, "a " * k) for i, k in enumerate(n)], "doc_id long, text string")
+    lengths, counts = np.unique(np.array(n) + 1, return_counts=True)
+    out = corpus_pipeline.batches(spark, docs, "").collect()
+    assert {r.padded for r in out} == set(packing.best_ends(lengths, counts, packing.BUCKETS))
