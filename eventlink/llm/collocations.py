@@ -36,8 +36,9 @@ SCALE = 2_000_000
 UNKNOWN = "und"
 #: A bit table has so many bits for each run it holds, or up to twice as many, within these bounds (16 MB at most).
 BITS_EACH, LEAST_BITS, MOST_BITS = 8, 12, 27
-#: Hashes that a task sums up before it hands them on.
-AT_ONCE = 1 << 21
+#: Bytes of text that one pass of numpy works on, hashes that a task sums up before it hands them on, and counted phrases:
+#: small enough that a task's own arrays stay within some 100 MB.
+PIECE, AT_ONCE, PHRASES = 1 << 19, 1 << 20, 1 << 18
 #: Parts that a language's phrases are ranked in before the whole.
 PARTS = 64
 _BREAK = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
@@ -152,7 +153,7 @@ def _by_language(batches) -> Iterator[tuple[str, Runs]]:
     for batch in batches:
         texts, langs = texts_of(batch.column(0)), batch.column(1)
         for lang in pc.unique(langs).to_pylist():
-            for part in pieces(texts.filter(pc.equal(langs, lang))):
+            for part in pieces(texts.filter(pc.equal(langs, lang)), PIECE):
                 runs = Runs(part, _seed(lang))
                 if runs.n:
                     yield lang, runs
@@ -200,7 +201,7 @@ def exact_counts(docs: DataFrame, longest: int, wanted: Sieve) -> DataFrame:
                 cols = [pa.array([lang] * len(n)), pa.array(np.full(len(n), k, np.int32)), phrase.cast(pa.string()), pa.array(n)]
                 held.append(pa.table(cols, names=names))
                 size += len(n)
-            if size > AT_ONCE // 4:
+            if size > PHRASES:
                 yield from summed(held)
                 held, size = [], 0
         if held:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from eventlink.llm import packing
+from eventlink.llm import collocations, packing
 
 
 def test_packing_is_exact_at_every_size(spark, monkeypatch):
@@ -42,3 +43,12 @@ def test_pipeline_packs_exactly(spark, monkeypatch):
     lengths, counts = np.unique(np.array(n) + 1, return_counts=True)
     out = corpus_pipeline.batches(spark, docs, "").collect()
     assert {r.padded for r in out} == set(packing.best_ends(lengths, counts, packing.BUCKETS))
+
+
+def test_collocations_work_on_small_pieces():
+    """Two megabytes of one language are several pieces, which keeps the arrays of a task small; no word is lost."""
+    texts = [f"w{i} " * (50_000 // (len(str(i)) + 2)) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en"] * len(texts))], names=["text", "lang"])
+    parts = [runs for _, runs in collocations._by_language([batch])]
+    assert max(len(runs.buf) for runs in parts) <= 1 << 19
+    assert sum(runs.n for runs in parts) == sum(len(t.split()) for t in texts)
