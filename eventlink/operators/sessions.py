@@ -13,6 +13,8 @@ from eventlink.sources.folders import stored
 
 # Sessions of one key that are ordered together to find each one's successor.
 SESSION_BLOCK = 1_000_000
+# Rows of one key that a task numbers by itself, and the hash buckets that keys are counted in.
+KEY_ROWS, KEY_BUCKETS = 1_000_000, 1 << 16
 
 
 def sessionize(
@@ -49,10 +51,25 @@ def number_rows(
 ) -> DataFrame:
     """Position (1, 2, …) of each row within its key, by time.
 
-    This is the time-sorted list of a key, kept as rows: a key's list need not fit in one record.
+    This is the time-sorted list of a key, kept as rows: a key's list need not fit in one record.  Rows are counted
+    by a hash of their key.  Where a hash has up to ``KEY_ROWS`` rows, one shuffle brings its keys together; the rows of
+    the others, among them those of every key with more, are dealt out by ranges as in :func:`sessionize`.  The numbers
+    are the same either way.  Rows without a key or time stay, without a number.
     """
-    out = sessionize(df, on, time, order, gap=None)
-    return out.withColumnRenamed("session_pos", name).drop("session_seq")
+    on, order = list(on), list(order)
+    own = all_set(*on, "_t")
+    hashed = lambda cols: F.pmod(F.xxhash64(*cols), F.lit(KEY_BUCKETS)).cast("int")
+    # rows without a number are spread over negative buckets
+    bucket = F.when(own, hashed(on)).otherwise(-1 - hashed(order))
+    rows = df.withColumn("_t", micros(df, time)).withColumn("_bucket", bucket)
+    large = rows.where("_bucket >= 0").groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    large = F.broadcast(stored(large.where(F.col("_n") > KEY_ROWS).select("_bucket"), "large-keys"))
+    at = F.row_number().over(W.partitionBy(*on, "_bucket").orderBy("_t", *order))
+    at = F.when(F.col("_bucket") >= 0, at.cast("long")).alias(name)
+    small = rows.join(large, "_bucket", "left_anti").select(*df.columns, at)
+    dealt = rows.join(large, "_bucket", "left_semi").select(*df.columns)
+    dealt = sessionize(dealt, on, time, order, gap=None).select(*df.columns, F.col("session_pos").alias(name))
+    return small.unionByName(dealt)
 
 
 def limit_of(gap, inclusive: bool) -> int | None:
